@@ -13,8 +13,9 @@ import re
 
 import numpy as np
 
-MEMO = 300_000
-_LOOSE = re.compile(r"\s |^ | $")
+MEMO = 500_000
+#: New words are tokenized as texts of so many words; the tokens' bytes tell where each word ends.
+WORDS = 1000
 _CUT = re.compile(r"(?<=\S)(?= )")
 
 
@@ -40,31 +41,53 @@ class IdBytes:
         self.width = width
         if width == 2 and self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids do not fit two bytes")
-        self.memo: dict[str, bytes] = {}
-
-    @staticmethod
-    def parts(text: str) -> list[str]:
-        """Cut before spaces; every part but the first lacks its leading space where the plain split serves."""
-        return _CUT.split(text)
-
-    def _learn(self, words: list[str]) -> None:
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        new = list({w for w in words if w not in self.memo})
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.memo[w] = np.array(e.ids, self.kind).tobytes()
+        self.end = _byte_lengths(self.tokenizer)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.memo: dict[str, bytes] = {}  # by word, for the word with a space before it
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: set[str]) -> None:
+        new = list(words)
+        for i in range(0, len(new), WORDS):
+            part = new[i : i + WORDS]
+            text = " " + " ".join(part)
+            raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+            starts = np.flatnonzero(raw == 32)
+            if len(starts) != len(part) or any(s in text for s in self.special):
+                self.memo.update(zip(part, self._encode([" " + w for w in part]), strict=True))
+                continue
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+            ends = np.searchsorted(np.cumsum(self.end[ids]), np.r_[starts[1:], len(raw)]) + 1
+            data, ends = ids.tobytes(), (ends * self.width).tolist()
+            self.memo.update(zip(part, [data[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
 
     def of(self, texts: list[str]) -> list[bytes]:
         """The ids of each text. Whole texts, of any length."""
-        split = []
-        for t in texts:
-            if _LOOSE.search(t):
-                split.append(self.parts(t))
-            else:
-                words = t.split(" ")
-                split.append([words[0], *map(" ".__add__, words[1:])])
-        self._learn([w for s in split for w in s])
+        split = [t.split(" ") for t in texts]
+        if len(self.memo) > MEMO:
+            self.memo.clear()
+        new = set().union(*split) - self.memo.keys()
+        loose = {w for w in new if not w or w[-1].isspace()}
+        if loose:  # a space after white space is no place to cut
+            whole = {i for i, s in enumerate(split) if not loose.isdisjoint(s)}
+            parts = {i: _CUT.split(texts[i]) for i in whole}
+            split = [[] if i in whole else s for i, s in enumerate(split)]
+            new = set().union(*split, *([w[1:] for w in p[1:-1]] for p in parts.values())) - self.memo.keys()
+        self._learn(new)
         get = self.memo.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+        first = self._encode([s[0] if s else parts[i][0] for i, s in enumerate(split)])
+        out = [f + b"".join(map(get, s[1:])) for f, s in zip(first, split, strict=True)]
+        for i in whole if loose else ():
+            p = parts[i]
+            out[i] = first[i] + b"".join([get(w[1:]) for w in p[1:-1]]) + (self._encode([p[-1]])[0] if len(p) > 1 else b"")
+        return out
+
+
+def _byte_lengths(tokenizer) -> np.ndarray:
+    """Bytes of each id's token; the byte-level alphabet has one character for each byte."""
+    out = np.zeros(tokenizer.get_vocab_size(), np.int64)
+    for token, i in tokenizer.get_vocab().items():
+        out[i] = len(token)
+    return out
