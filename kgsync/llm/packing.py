@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .bpe_ids import IdBytes, tokenizer_path
+from .bpe_ids import IdBytes, ranks_path, tokenizer_path
 
 LENGTH = 2048
 END_ID = 1
@@ -111,9 +111,9 @@ def _rows(windows: list[tuple[int, list]], width: int) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, pa.int64()) for c in cols], names=[c.split()[0] for c in SCHEMA.split(", ")])
 
 
-def _pack(path: str, length: int, end_id: int):
+def _pack(path: str, ranks: str | None, length: int, end_id: int):
     def run(batches):
-        encode, packer = IdBytes(path), Packer(length)
+        encode, packer = IdBytes(path, ranks=ranks), Packer(length)
         end = np.array([end_id], "<u4").tobytes()
         number = TaskContext.get().partitionId() << 36
         done: list[tuple[int, list]] = []
@@ -136,6 +136,11 @@ def _pack(path: str, length: int, end_id: int):
     return run
 
 
-def pack(docs: DataFrame, path: str | None = None, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
-    """One row for each piece: its document, place in it and checksum, and its place in a sequence of `length` ids."""
-    return docs.select("doc_id", "text").mapInArrow(_pack(path or tokenizer_path(), length, end_id), SCHEMA)
+def pack(docs: DataFrame, path: str | None = None, ranks: str | None = None, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
+    """One row for each piece: its document, place in it and checksum, and its place in a sequence of `length` ids.
+
+    `path` is a tokenizer's file and `ranks`, if given, the same vocabulary for tiktoken, on every machine.
+    """
+    if path is None:
+        path, ranks = tokenizer_path(), ranks_path()
+    return docs.select("doc_id", "text").mapInArrow(_pack(path, ranks, length, end_id), SCHEMA)
