@@ -1,22 +1,23 @@
-"""Token ids of a byte-level BPE tokenizer as little-endian bytes, through a memo of words.
+"""Token ids of a byte-level BPE tokenizer for groups of whole texts.
 
-The tokenizer's own pattern never joins a non-space character with a space after it, so a text may be
-cut before any space that follows a character that is no white space; the ids of the whole are those of
-the parts, one after the other. Parts repeat, so each is given to the library once while it is in the
-memo, and a text's ids are the parts' bytes joined.
+The tokenizer's own pattern never joins a character with a space after it, unless the character is white
+space itself; so a text may be cut before any such space, and its ids are those of the parts, one after
+the other. A group's texts are split at spaces, their words dictionary-encoded by Arrow, each distinct
+word tokenized once, and the words' ids put in the texts' order by one gather. Texts with a space after
+white space, or with the string of a special token, go to the library whole.
 """
 
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-MEMO = 500_000
-#: New words are tokenized as texts of so many words; the tokens' bytes tell where each word ends.
+#: Distinct words that are tokenized as one text; the tokens' bytes tell where each word ends.
 WORDS = 1000
-_CUT = re.compile(r"(?<=\S)(?= )")
+WORDS_RANKS = 50_000
 
 
 def load(path: str):
@@ -51,58 +52,67 @@ def ranks_path(name: str = "byte_bpe_50k.tiktoken") -> str:
     return tokenizer_path(name)
 
 
-class IdBytes:
-    """`width` bytes for each id; uint16 holds vocabularies of up to 65,536 ids. `ranks`: a file of the same vocabulary for tiktoken, if there is one."""
+class Encoder:
+    """`ranks`: a file of the same vocabulary for tiktoken, if there is one."""
 
-    def __init__(self, path: str, width: int = 4, ranks: str | None = None):
+    def __init__(self, path: str, ranks: str | None = None):
         self.tokenizer = load(path)
-        self.kind = {2: "<u2", 4: "<u4"}[width]
-        self.width = width
-        if width == 2 and self.tokenizer.get_vocab_size() > 1 << 16:
-            raise ValueError("ids do not fit two bytes")
         self.ranks = load_ranks(ranks, self.tokenizer) if ranks else None
         self.end = _byte_lengths(self.tokenizer)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo: dict[str, bytes] = {}  # by word, for the word with a space before it
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: set[str]) -> None:
-        new = list(words)
-        for i in range(0, len(new), WORDS):
-            part = new[i : i + WORDS]
-            text = " " + " ".join(part)
-            raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    def _plain(self, text: str) -> np.ndarray:
+        return self.ranks.encode_to_numpy(text, disallowed_special=()) if self.ranks else self._whole([text])[0]
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of " " + word of each word, one after the other, and how many each has."""
+        ids, counts = [], []
+        step = WORDS_RANKS if self.ranks else WORDS
+        for i in range(0, len(words), step):
+            text = " " + " ".join(words[i : i + step])
+            raw = np.frombuffer(text.encode(), np.uint8)
             starts = np.flatnonzero(raw == 32)
-            if len(starts) != len(part) or any(s in text for s in self.special):
-                self.memo.update(zip(part, self._encode([" " + w for w in part]), strict=True))
-                continue
-            ids = self.ranks.encode_to_numpy(text, disallowed_special=()).astype(self.kind) if self.ranks else np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
-            ends = np.searchsorted(np.cumsum(self.end[ids]), np.r_[starts[1:], len(raw)]) + 1
-            data, ends = ids.tobytes(), (ends * self.width).tolist()
-            self.memo.update(zip(part, [data[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
-
-    def of(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text. Whole texts, of any length."""
-        split = [t.split(" ") for t in texts]
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        new = set().union(*split) - self.memo.keys()
-        loose = {w for w in new if not w or w[-1].isspace()}
-        if loose:  # a space after white space is no place to cut
-            whole = {i for i, s in enumerate(split) if not loose.isdisjoint(s)}
-            parts = {i: _CUT.split(texts[i]) for i in whole}
-            split = [[] if i in whole else s for i, s in enumerate(split)]
-            new = set().union(*split, *([w[1:] for w in p[1:-1]] for p in parts.values())) - self.memo.keys()
-        self._learn(new)
-        get = self.memo.__getitem__
-        first = self._encode([s[0] if s else parts[i][0] for i, s in enumerate(split)])
-        out = [f + b"".join(map(get, s[1:])) for f, s in zip(first, split, strict=True)]
-        for i in whole if loose else ():
-            p = parts[i]
-            out[i] = first[i] + b"".join([get(w[1:]) for w in p[1:-1]]) + (self._encode([p[-1]])[0] if len(p) > 1 else b"")
-        return out
+            got = self._plain(text)
+            ends = np.searchsorted(np.cumsum(self.end[got]), np.r_[starts[1:], len(raw)]) + 1
+            ids.append(got)
+            counts.append(np.diff(ends, prepend=0))
+        return np.concatenate(ids or [np.zeros(0, np.uint32)]), np.concatenate(counts or [np.zeros(0, np.int64)])
+
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids (uint32), and the edges of the texts in them (one more than texts). Null is empty."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        lists = pc.split_pattern(texts, " ")
+        edges = lists.offsets.to_numpy()
+        coded = lists.values.slice(edges[0], edges[-1] - edges[0]).dictionary_encode()
+        edges = edges - edges[0]
+        index, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        loose = pc.or_(pc.equal(words, ""), pc.utf8_is_space(pc.utf8_slice_codeunits(words, -1, None)))
+        for s in self.special:
+            loose = pc.or_(loose, pc.match_substring(words, s))
+        loose = loose.to_numpy(zero_copy_only=False)
+        ids, counts = self._words(words.filter(pa.array(~loose)).to_pylist())
+        size = np.zeros(len(words), np.int64)
+        size[~loose] = counts
+        # the first word of a text has no space before it; a loose text is one entry
+        whole = np.add.reduceat(loose[index].astype(np.int64), edges[:-1]) > 0 if len(texts) else np.zeros(0, bool)
+        heads = words.take(pa.array(index[edges[:-1]]))
+        heads = [t if w else h for t, h, w in zip((t.as_py() if w else None for t, w in zip(texts, whole, strict=True)), heads.to_pylist(), whole, strict=True)]
+        head_ids = self._whole(heads)
+        start = np.concatenate((np.cumsum(size) - size, len(ids) + np.cumsum([0, *map(len, head_ids)])[:-1])).astype(np.int64)
+        size = np.concatenate((size, [len(h) for h in head_ids])).astype(np.int64)
+        index[np.repeat(whole, np.diff(edges))] = -1
+        index[edges[:-1]] = len(words) + np.arange(len(texts))
+        index = index[index >= 0]
+        each = size[index]
+        last = np.cumsum(each)
+        total = int(last[-1]) if len(last) else 0
+        place = np.repeat(start[index] - (last - each), each) + np.arange(total)
+        first = np.flatnonzero(index >= len(words))
+        out_edges = np.r_[(last - each)[first], total].astype(np.int64)
+        return np.concatenate((ids, *head_ids)).astype(np.uint32)[place], out_edges
 
 
 def _byte_lengths(tokenizer) -> np.ndarray:

@@ -116,9 +116,10 @@ class Model:
 def _encode(path: str, seed: int, rate: float):
     def run(batches):
         m = Model(path, seed, rate)
-        for docs, texts in groups(batches):
+        for group in groups(batches):
             rows = []
-            for doc, t in zip(docs, texts, strict=True):
+            for doc, t in zip(group.column(0).to_pylist(), group.column(1), strict=True):
+                t = t.as_py() or ""
                 data, skipped = m.encode_bytes(t)
                 back = m.decode(np.frombuffer(data, "<u2").tolist())
                 rows.append((doc, len(t.encode("utf-8", "surrogatepass")), len(data) // 2, skipped, zlib.crc32(data), back == t.replace(MARK, " ")))
@@ -139,7 +140,7 @@ def token_ids(docs: DataFrame, path: str | None = None, seed: int = SEED, rate:
 
     def run(batches):
         m = Model(path or model_path(), seed, rate)
-        for docs_, texts in groups(batches):
-            yield pa.record_batch({"doc_id": pa.array(docs_, pa.int64()), "ids": pa.array([m.encode(t) for t in texts], pa.list_(pa.int32()))})
+        for group in groups(batches):
+            yield pa.record_batch({"doc_id": group.column(0), "ids": pa.array([m.encode(t.as_py() or "") for t in group.column(1)], pa.list_(pa.int32()))})
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")

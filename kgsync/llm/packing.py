@@ -6,8 +6,8 @@ after which the sum over the levels of squared counts of partially filled window
 holds the counts, a stack for each level the windows. When a task's documents end, the emptiest windows
 are cut to fill the fullest, so a task leaves one padded sequence at most.
 
-Placement is local to a task, so nothing is shuffled; memory is bounded by an Arrow batch, the memo and
-the windows that are partially filled. A task that runs again on the same rows gives the same rows.
+Placement is local to a task, so nothing is shuffled; memory is bounded by an Arrow batch, a group of
+texts and the windows that are partially filled. A task that runs again on the same rows gives the same rows.
 
 Null texts count as empty (one end id). Null and repeated doc_id are packed like others. Extra columns
 are ignored. An empty table gives no piece.
@@ -20,16 +20,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .bpe_ids import IdBytes, ranks_path, tokenizer_path
+from .bpe_ids import Encoder, ranks_path, tokenizer_path
 
 LENGTH = 2048
 END_ID = 1
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: Texts that are tokenized together, so that a batch of long ones is never held as ids at once.
-GROUP_CHARS = 4 << 20
+GROUP_CHARS = 8 << 20
 
 
 class Packer:
@@ -85,19 +86,15 @@ class Packer:
             yield left[i][1]
 
 
-def groups(batches, columns=("doc_id", "text")) -> Iterator[tuple[list, list[str]]]:
-    """Documents in groups of a bounded number of characters (or one document)."""
-    ids, texts, size = [], [], 0
+def groups(batches, limit: int = GROUP_CHARS) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches whose texts (second column) have a bounded number of bytes, or one row."""
     for batch in batches:
-        for i, t in zip(batch.column(columns[0]).to_pylist(), batch.column(columns[1]), strict=True):
-            ids.append(i)
-            texts.append(t.as_py() or "")
-            size += len(texts[-1])
-            if size >= GROUP_CHARS:
-                yield ids, texts
-                ids, texts, size = [], [], 0
-    if ids:
-        yield ids, texts
+        size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + limit, "right")))
+            yield batch.slice(at, to - at)
+            at = to
 
 
 def _rows(windows: list[tuple[int, list]], width: int) -> pa.RecordBatch:
@@ -113,13 +110,14 @@ def _rows(windows: list[tuple[int, list]], width: int) -> pa.RecordBatch:
 
 def _pack(path: str, ranks: str | None, length: int, end_id: int):
     def run(batches):
-        encode, packer = IdBytes(path, ranks=ranks), Packer(length)
+        encode, packer = Encoder(path, ranks), Packer(length)
         end = np.array([end_id], "<u4").tobytes()
         number = TaskContext.get().partitionId() << 36
         done: list[tuple[int, list]] = []
-        for ids, texts in groups(batches):
-            for doc, data in zip(ids, encode.of(texts), strict=True):
-                data += end
+        for group in groups(batches):
+            ids, edges = encode.of(group.column(1))
+            for doc, a, b in zip(group.column(0).to_pylist(), edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                data = ids[a:b].tobytes() + end
                 total = len(data) // 4
                 for start in range(0, total, length):
                     if window := packer.place((doc, start, data[4 * start : 4 * (start + length)], total)):
