@@ -1,9 +1,9 @@
 """Training-order materialisation: fixed-stride binary shards in a keyed random order.
 
-1. Each task counts the sequences of its documents (ids of a document, an end id, the next document; cut
-   every `length` ids; the last one padded). The counts of the tasks, one number each, give every task
-   the index of its first sequence.
-2. Each task makes its sequences again and sends them to their global slots: a keyed Feistel network over
+1. Each task makes the sequences of its documents (ids of a document, an end id, the next document; cut
+   every `length` ids; the last one padded) and writes them, compressed in blocks, to a table in the shared
+   folder. The tasks' counts, one number each, give every task the index of its first sequence.
+2. The sequences of the table are sent to their global slots: a keyed Feistel network over
    the smallest even number of bits, walked along its cycle until it falls below the number of sequences,
    is a permutation of the indices that anyone can compute for one index, either way.
 3. Slots are dealt to range partitions of `per_shard` slots; each sorts its slots and writes one shard,
@@ -11,8 +11,8 @@
    again only replaces a file by its equal. A slot's shard and byte are plain arithmetic; reading is
    sequential and can resume at any slot.
 
-Making sequences twice costs less than storing them unordered once. The input must be a deterministic
-scan (a table). Memory is bounded by a group of documents, a sequence and Spark's sort. Null texts count
+Texts are tokenized once, and later steps read the table, so a step that runs again sees the same
+sequences. Memory is bounded by a group of documents, a sequence and Spark's sort. Null texts count
 as empty; null and repeated doc_id are kept; extra columns are ignored; an empty table has no sequence.
 """
 
@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe_ids import IdBytes, tokenizer_path
+from .bpe_ids import Encoder, ranks_path, tokenizer_path
 from .common import checkpoint_dir
 from .packing import groups
 
@@ -35,6 +35,9 @@ LENGTH, PER_SHARD = 2048, 8192
 END_ID, PAD_ID = 50256, 50256
 KEY = 0x5DEECE66D
 ROUNDS = 6
+#: Sequences that are compressed together in the table.
+BLOCK = 64
+ZSTD = 3
 SCHEMA = "slot long, shard long, byte_offset long, sequence_index long, n_tokens long, first_doc_id long, first_start long, n_docs long, ids_crc32 long"
 
 
@@ -79,13 +82,17 @@ class Permutation:
         return self._walk(slots, True)
 
 
-def _sequences(batches, path: str, length: int):
+def _sequences(batches, path: str, ranks: str | None, length: int):
     """(first doc_id, its start there, documents, ids as bytes without padding)"""
-    encode, end, stride = IdBytes(path, width=2), np.array([END_ID], "<u2").tobytes(), 2 * length
+    encode, end, stride = Encoder(path, ranks), np.array([END_ID], "<u2").tobytes(), 2 * length
+    if encode.tokenizer.get_vocab_size() > 1 << 16:
+        raise ValueError("ids do not fit two bytes")
     held, size, spans = [], 0, []
-    for docs, texts in groups(batches):
-        for doc, data in zip(docs, encode.of(texts), strict=True):
-            data += end
+    for group in groups(batches):
+        ids, edges = encode.of(group.column(1))
+        ids = ids.astype("<u2")
+        for doc, a, b in zip(group.column(0).to_pylist(), edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            data = ids[a:b].tobytes() + end
             start = 0
             while start < len(data):
                 part = data[start : start + stride - size]
@@ -100,43 +107,46 @@ def _sequences(batches, path: str, length: int):
         yield *spans[0], len(spans), b"".join(held)
 
 
-def _count(path: str, length: int):
-    def run(batches):
-        end, total = 1, 0
-        encode = IdBytes(path, width=2)
-        for _, texts in groups(batches):
-            total += sum(len(d) // 2 + end for d in encode.of(texts))
-        yield pa.record_batch({"part": pa.array([TaskContext.get().partitionId()], pa.int32()), "n": pa.array([-(-total // length)], pa.int64())})
-
-    return run
+TABLE = "part int, local long, n long, first_doc_id array<long>, first_start array<long>, n_docs array<long>, n_tokens array<long>, ids binary"
 
 
-def _emit(path: str, length: int, per_shard: int, first: np.ndarray, order: Permutation):
-    def batch(index, rows):
-        slots = order.forward(np.arange(index, index + len(rows)))
+def _make(path: str, ranks: str | None, length: int):
+    def block(codec, local, rows):
         doc, start, n_docs, ids = zip(*rows, strict=True)
+        longs = lambda x: pa.array([list(x)], pa.list_(pa.int64()))
+        part = TaskContext.get().partitionId()
         return pa.record_batch(
-            {
-                "slot": pa.array(slots),
-                "shard": pa.array((slots // per_shard).astype(np.int32)),
-                "sequence_index": pa.array(np.arange(index, index + len(rows))),
-                "first_doc_id": pa.array(doc, pa.int64()),
-                "first_start": pa.array(start, pa.int64()),
-                "n_docs": pa.array(n_docs, pa.int64()),
-                "ids": pa.array([pa.compress(x, codec="zstd", asbytes=True) for x in ids], pa.binary()),
-                "n_tokens": pa.array([len(x) // 2 for x in ids], pa.int64()),
-            }
+            [pa.array([part], pa.int32()), pa.array([local]), pa.array([len(rows)]), longs(doc), longs(start), longs(n_docs), longs(len(x) // 2 for x in ids), pa.array([codec.compress(b"".join(ids), asbytes=True)], pa.binary())],
+            names=[c.split()[0] for c in TABLE.split(", ")],
         )
 
     def run(batches):
-        index, rows = int(first[TaskContext.get().partitionId()]), []
-        for row in _sequences(batches, path, length):
+        codec = pa.Codec("zstd", compression_level=ZSTD)
+        local, rows = 0, []
+        for row in _sequences(batches, path, ranks, length):
             rows.append(row)
-            if len(rows) == 512:
-                yield batch(index, rows)
-                index, rows = index + 512, []
+            if len(rows) == BLOCK:
+                yield block(codec, local, rows)
+                local, rows = local + BLOCK, []
         if rows:
-            yield batch(index, rows)
+            yield block(codec, local, rows)
+
+    return run
+
+
+def _emit(per_shard: int, first: np.ndarray, order: Permutation):
+    def run(batches):
+        codec = pa.Codec("zstd", compression_level=ZSTD)
+        for batch in batches:
+            for row in batch.to_pylist():
+                index = int(first[row["part"]]) + row["local"] + np.arange(row["n"])
+                slots = order.forward(index)
+                size = 2 * np.array(row["n_tokens"])
+                ends = np.cumsum(size)
+                data = codec.decompress(row["ids"], int(ends[-1]), asbytes=True)
+                parts = [codec.compress(data[b - n : b], asbytes=True) for b, n in zip(ends.tolist(), size.tolist(), strict=True)]
+                longs = {k: pa.array(row[k], pa.int64()) for k in ("first_doc_id", "first_start", "n_docs", "n_tokens")}
+                yield pa.record_batch({"slot": pa.array(slots), "shard": pa.array((slots // per_shard).astype(np.int32)), "sequence_index": pa.array(index), **longs, "ids": pa.array(parts, pa.binary())})
 
     return run
 
@@ -172,7 +182,7 @@ def _write(folder: str, length: int, per_shard: int):
                         shard.close()
                     shard, expected = _Shard(folder, number), number * per_shard
                 if slot != expected:
-                    raise RuntimeError(f"slot {slot} where {expected} was due: the input is not deterministic")
+                    raise RuntimeError(f"slot {slot} where {expected} was due")
                 expected += 1
                 data = pa.decompress(ids, decompressed_size=2 * n, codec="zstd", asbytes=True) + pad * (length - n)
                 shard.stream.write(data)
@@ -185,27 +195,29 @@ def _write(folder: str, length: int, per_shard: int):
     return run
 
 
-def materialise(docs: DataFrame, folder: str | None = None, path: str | None = None, length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY) -> DataFrame:
+def materialise(docs: DataFrame, folder: str | None = None, path: str | None = None, ranks: str | None = None, length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY) -> DataFrame:
     """Writes the shards when the result is used; one row for each slot. `folder` must be shared by all machines (default: one in the checkpoint folder)."""
     spark = docs.sparkSession
-    path = path or tokenizer_path()
-    texts = docs.select("doc_id", "text")
-    counted = texts.mapInArrow(_count(path, length), "part int, n long").collect()  # one number for each input partition
+    if path is None:
+        path, ranks = tokenizer_path(), ranks_path()
+    work = f"{checkpoint_dir(spark)}/training-order-{uuid.uuid4().hex}"
+    folder = folder or f"{work}/shards"
+    docs.select("doc_id", "text").mapInArrow(_make(path, ranks, length), TABLE).write.option("compression", "none").parquet(f"{work}/sequences")
+    table = spark.read.schema(TABLE).parquet(f"{work}/sequences")
+    counted = table.groupBy("part").agg(F.sum("n").alias("n")).collect()  # one number for each input partition
     counts = np.zeros(max((r.part for r in counted), default=-1) + 1, np.int64)
     for r in counted:
         counts[r.part] = r.n
     total = int(counts.sum())
     if not total:
         return spark.createDataFrame([], SCHEMA)
-    if folder is None:
-        folder = f"{checkpoint_dir(spark)}/training-order-{uuid.uuid4().hex}"
     from pyarrow import fs
 
     store, base = fs.FileSystem.from_uri(folder)
     store.create_dir(base, recursive=True)
-    emitted = texts.mapInArrow(
-        _emit(path, length, per_shard, np.cumsum(counts) - counts, Permutation(total, key)),
-        "slot long, shard int, sequence_index long, first_doc_id long, first_start long, n_docs long, ids binary, n_tokens long",
+    emitted = table.mapInArrow(
+        _emit(per_shard, np.cumsum(counts) - counts, Permutation(total, key)),
+        "slot long, shard int, sequence_index long, first_doc_id long, first_start long, n_docs long, n_tokens long, ids binary",
     )
     dealt = emitted.repartitionById(-(-total // per_shard), F.col("shard")).sortWithinPartitions("slot")
     return dealt.mapInArrow(_write(folder, length, per_shard), SCHEMA)
