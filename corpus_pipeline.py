@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kgsync.llm import packing, quality_rules
+from kgsync.llm import packing, quality_rules, simhash, substring_dedup
 from kgsync.llm.common import checkpoint_dir, table
 
 
@@ -14,11 +14,19 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality_rules.filter_documents(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.keep_one(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return substring_dedup.documents(docs)
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
-STAGES = [("quality rules", keep_quality), ("packing", pack_sequences)]
+STAGES = [("quality rules", keep_quality), ("SimHash near-dedup", drop_near_copies), ("substring dedup", cut_repeats), ("packing", pack_sequences)]
 
 #: Gear hashing, fingerprints and token ids have no SQL form; the tests hold run() against a brute-force version.
 ORACLE_SQL = None

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import media, merge_dropout, packing, quality_rules, token_counts, training_order
+from . import media, merge_dropout, packing, quality_rules, simhash, substring_dedup, token_counts, training_order
 from .common import table
 
 
@@ -22,10 +22,18 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_order.materialise(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digests(table(spark, sf_dir, "documents"))
 
@@ -39,7 +47,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_token_counts": op2_token_counts,
         "op3_quality_rules": op3_quality_rules,
         "op4_packing": op4_packing,
+        "op5_simhash": op5_simhash,
         "op6_training_order": op6_training_order,
+        "op7_substring_dedup": op7_substring_dedup,
         "op9_media_columns": op9_media_columns,
         "op10_merge_dropout": op10_merge_dropout,
     }
