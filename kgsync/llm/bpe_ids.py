@@ -52,6 +52,22 @@ def ranks_path(name: str = "byte_bpe_50k.tiktoken") -> str:
     return tokenizer_path(name)
 
 
+def spaced_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, pa.Array]:
+    """Distinct words between single spaces, each word's number in the texts' order, the texts' edges in those, and the texts without nulls."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    lists = pc.split_pattern(texts, " ")
+    edges = lists.offsets.to_numpy()
+    coded = lists.values.slice(edges[0], edges[-1] - edges[0]).dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy().astype(np.int64), edges - edges[0], texts
+
+
+def gather(start: np.ndarray, size: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the items of the runs (start, size) that `index` names, one run after the other, and where each run ends."""
+    each = size[index]
+    last = np.cumsum(each)
+    return np.repeat(start[index] - (last - each), each) + np.arange(int(last[-1]) if len(last) else 0), last
+
+
 class Encoder:
     """`ranks`: a file of the same vocabulary for tiktoken, if there is one."""
 
@@ -83,12 +99,7 @@ class Encoder:
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint32), and the edges of the texts in them (one more than texts). Null is empty."""
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        lists = pc.split_pattern(texts, " ")
-        edges = lists.offsets.to_numpy()
-        coded = lists.values.slice(edges[0], edges[-1] - edges[0]).dictionary_encode()
-        edges = edges - edges[0]
-        index, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        words, index, edges, texts = spaced_words(texts)
         loose = pc.or_(pc.equal(words, ""), pc.utf8_is_space(pc.utf8_slice_codeunits(words, -1, None)))
         for s in self.special:
             loose = pc.or_(loose, pc.match_substring(words, s))
@@ -106,12 +117,9 @@ class Encoder:
         index[np.repeat(whole, np.diff(edges))] = -1
         index[edges[:-1]] = len(words) + np.arange(len(texts))
         index = index[index >= 0]
-        each = size[index]
-        last = np.cumsum(each)
-        total = int(last[-1]) if len(last) else 0
-        place = np.repeat(start[index] - (last - each), each) + np.arange(total)
+        place, last = gather(start, size, index)
         first = np.flatnonzero(index >= len(words))
-        out_edges = np.r_[(last - each)[first], total].astype(np.int64)
+        out_edges = np.r_[(last - size[index])[first], len(place)].astype(np.int64)
         return np.concatenate((ids, *head_ids)).astype(np.uint32)[place], out_edges
 
 

@@ -7,24 +7,32 @@ the dropout rate. With rate 0 the result is the library's own. Characters withou
 pieces, so decoding gives back the text whatever was skipped.
 
 The key holds the pre-token, not the document: a seed (an epoch) gives one segmentation to each distinct
-pre-token, which is remembered; another seed gives others. Memory is bounded by the memo and one Arrow
-batch; nothing is shuffled. Null texts count as empty; null and repeated doc_id are kept; extra columns
-are ignored; an empty table gives an empty table.
+pre-token; another seed gives others. So the words of a group of texts are dictionary-encoded and each
+distinct one is segmented once. `segment` works on one pre-token with a heap; `segment_all` has the same
+agenda for many words of one length at once, as rows of arrays that take one candidate in each round.
+
+Memory is bounded by an Arrow batch and a group of texts; nothing is shuffled. Null texts count as empty;
+null and repeated doc_id are kept; extra columns are ignored; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import heapq
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from .bpe_ids import gather, spaced_words
 from .packing import groups
 from .token_counts import MARK, _PRE, check_model, model, model_path
 
-MEMO = 300_000
+#: Words up to this length are segmented many at a time, so many rows of them.
+ROW, ROWS = 32, 1 << 16
+_NONE = np.int32(2**31 - 1)
 SEED, RATE = 20_240_601, 0.1
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, n_skipped long, ids_crc32 long, lossless boolean"
 _MASK = (1 << 64) - 1
@@ -49,7 +57,7 @@ class Model:
         self.text = [bytes([int(p[1:-1], 16)]) if sp.is_byte(i) else p.replace(MARK, " ").encode() if p in normal else b"" for i, p in enumerate(self.pieces)]
         self.seed = (seed * 0xD6E8FEB86659FD93 + 1) & _MASK
         self.below = int(rate * (1 << 32))
-        self.memo: dict[str, tuple[bytes, int]] = {}
+        self._tables()
 
     def segment(self, pre: str) -> tuple[list[int], int]:
         """Ids of a pre-token (marks instead of spaces) and the number of skipped candidates."""
@@ -85,46 +93,201 @@ class Model:
                 out += [self.byte[c] for c in s.encode("utf-8", "surrogatepass")] if i is None else [i]
         return out, skipped
 
-    def encode_bytes(self, text: str) -> tuple[bytes, int]:
-        """Ids as little-endian uint16, and the number of skipped candidates."""
-        if not text:
-            return b"", 0
-        marked = MARK + text.replace(" ", MARK)
-        if MARK + MARK in marked or MARK in text or marked[-1] == MARK:
-            pre = _PRE.findall(marked)
-        else:
-            pre = marked[1:].split(MARK)
-            pre = list(map(MARK.__add__, pre))
-        memo = self.memo
-        if len(memo) > MEMO:
-            memo.clear()
-        for p in pre:
-            if p not in memo:
-                ids, skipped = self.segment(p)
-                memo[p] = np.array(ids, "<u2").tobytes(), skipped
-        found = list(map(memo.__getitem__, pre))
-        return b"".join([f[0] for f in found]), sum([f[1] for f in found])
+    def _tables(self) -> None:
+        size = len(self.pieces)
+        order = sorted(self.ids, key=self.score.get)
+        self.by_rank = np.array([self.ids[p] for p in order], np.int32)
+        rank = {p: r for r, p in enumerate(order)}
+        self.mixed_ids = np.zeros(size, np.uint64)
+        for p, i in self.ids.items():
+            self.mixed_ids[i] = self.mixed[p]
+        # characters: their piece, or beyond the pieces their code point
+        self.first = np.arange(0x110000, dtype=np.int32) + size
+        pairs = {}
+        for p, i in self.ids.items():
+            if len(p) == 1:
+                self.first[ord(p)] = i
+            for k in range(1, len(p)):
+                a, b = self.ids.get(p[:k]), self.ids.get(p[k:])
+                if a is not None and b is not None:
+                    pairs[a << 32 | b] = rank[p]
+        bits = max(4, (8 * len(pairs)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.pair_key = np.full(1 << bits, -1, np.int64)
+        self.pair_rank = np.full(1 << bits, _NONE, np.int32)
+        self.probes = 1
+        for key, r in pairs.items():
+            h, n = (key * 0x9E3779B97F4A7C15 & _MASK) >> (64 - bits), 1
+            while self.pair_key[h] >= 0:
+                h, n = (h + 1) & ((1 << bits) - 1), n + 1
+            self.pair_key[h], self.pair_rank[h] = key, r
+            self.probes = max(self.probes, n)
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of the merges of neighbouring symbols, _NONE where there is no such piece."""
+        key = a.astype(np.int64) << 32 | b
+        h = ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+        found = self.pair_key[h]
+        out = np.where(found == key, self.pair_rank[h], _NONE)
+        todo = np.flatnonzero((found != key) & (found >= 0))
+        for _ in range(self.probes - 1):
+            if not len(todo):
+                break
+            h[todo] = (h[todo] + 1) & (len(self.pair_key) - 1)
+            found = self.pair_key[h[todo]]
+            hit = found == key[todo]
+            out[todo[hit]] = self.pair_rank[h[todo[hit]]]
+            todo = todo[~hit & (found >= 0)]
+        return out
+
+    def _rows(self, sym: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Symbols of words of one length (rows), how many are left of each, and skipped candidates."""
+        n, width = sym.shape
+        size, skipped = np.full(n, width), np.zeros(n, np.int64)
+        out = np.zeros_like(sym)
+        at = np.broadcast_to(np.arange(width, dtype=np.int8), sym.shape).copy()
+        cand = np.full(sym.shape, _NONE, np.int32)
+        cand[:, :-1] = self._ranks(sym[:, :-1].ravel(), sym[:, 1:].ravel()).reshape(n, -1)
+        live, column = np.arange(n), np.arange(width)
+        while True:
+            best = cand.argmin(axis=1)
+            row = np.arange(len(live))
+            rank = cand[row, best]
+            ended = rank == _NONE
+            if ended.any():
+                out[live[ended]] = sym[ended]
+                go = ~ended
+                live, sym, at, cand, key, best, rank = (x[go] for x in (live, sym, at, cand, key, best, rank))
+                row = np.arange(len(live))
+            if not len(live):
+                return out, size, skipped
+            merged = self.by_rank[rank]
+            if self.below:
+                h = (key ^ self.mixed_ids[merged]) + at[row, best].astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
+                h = (h ^ h >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+                drop = h >> np.uint64(32) < np.uint64(self.below)
+                cand[row[drop], best[drop]] = _NONE
+                skipped[live[drop]] += 1
+                take, best, merged = row[~drop], best[~drop], merged[~drop]
+            else:
+                take = row
+            if not len(take):
+                continue
+            moved = np.minimum(column + (column > best[:, None]), width - 1)
+            for x in (sym, at, cand):
+                x[take] = np.take_along_axis(x[take], moved, axis=1)
+            sym[take, best] = merged
+            size[live[take]] -= 1
+            cand[take, -1] = _NONE
+            left = size[live[take]]
+            cand[take, np.minimum(left, width) - 1] = _NONE
+            ok = best + 1 < left
+            cand[take[ok], best[ok]] = self._ranks(sym[take[ok], best[ok]], sym[take[ok], best[ok] + 1])
+            ok = best > 0
+            cand[take[ok], best[ok] - 1] = self._ranks(sym[take[ok], best[ok] - 1], sym[take[ok], best[ok]])
+
+    def segment_all(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all pre-tokens in one array, how many each has, and how many candidates of each were skipped."""
+        counts, skipped = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        keys = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
+        keys = keys * np.uint64(0xC2B2AE3D27D4EB4F) ^ np.uint64(self.seed)
+        by = np.argsort(lengths, kind="stable")
+        edges = np.searchsorted(lengths[by], np.arange(ROW + 2))
+        parts, order = [], []
+        for n in range(1, ROW + 1):
+            for a in range(edges[n], edges[n + 1], ROWS):
+                some = by[a : min(a + ROWS, edges[n + 1])]
+                points = np.frombuffer("".join([words[i] for i in some]).encode("utf-32-le", "surrogatepass"), np.uint32)
+                sym, size, skip = self._rows(self.first[points].reshape(-1, n), keys[some])
+                flat = sym[np.arange(n) < size[:, None]]
+                ids, width = self._bytes(flat)
+                parts.append(ids)
+                counts[some] = np.add.reduceat(width, np.cumsum(size) - size)
+                skipped[some] = skip
+                order.append(some)
+        for i in by[edges[ROW + 1] :].tolist():
+            ids, skipped[i] = self.segment(words[i])
+            parts.append(np.array(ids, np.int32))
+            counts[i] = len(ids)
+            order.append(np.array([i]))
+        ids = np.concatenate(parts or [np.zeros(0, np.int32)]).astype(np.uint16)
+        order = np.concatenate(order or [np.zeros(0, np.int64)]).astype(np.int64)
+        start = np.zeros(len(words), np.int64)
+        start[order] = np.cumsum(counts[order]) - counts[order]
+        return ids[gather(start, counts, np.arange(len(words)))[0]], counts, skipped
+
+    def _bytes(self, sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols with byte pieces in place of characters that have no piece, and how many ids each symbol became."""
+        width = np.ones(len(sym), np.int64)
+        alone = np.flatnonzero(sym >= len(self.pieces))
+        if not len(alone):
+            return sym, width
+        data = [[self.byte[c] for c in chr(x - len(self.pieces)).encode("utf-8", "surrogatepass")] for x in sym[alone].tolist()]
+        width[alone] = [len(d) for d in data]
+        out = np.repeat(sym, width)
+        at = np.cumsum(width) - width
+        for i, d in zip(at[alone].tolist(), data, strict=True):
+            out[i : i + len(d)] = d
+        return out, width
+
+    def encode_group(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids (uint16) of a group of texts, the texts' edges in them, and the skipped candidates of each text."""
+        words, index, edges, texts = spaced_words(texts)
+        loose = pc.or_(pc.equal(words, ""), pc.match_substring(words, MARK)).to_numpy(zero_copy_only=False)
+        ids, counts, skipped = self.segment_all([MARK + w for w in words.filter(pa.array(~loose)).to_pylist()])
+        size, skip = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        size[~loose], skip[~loose] = counts, skipped
+        start = np.cumsum(size) - size
+        odd = np.add.reduceat(loose[index].astype(np.int64), edges[:-1]) > 0 if len(texts) else np.zeros(0, bool)
+        more = [_PRE.findall(MARK + texts[i].as_py().replace(" ", MARK)) if texts[i].as_py() else [] for i in np.flatnonzero(odd).tolist()]
+        names = {p: i for i, p in enumerate(dict.fromkeys(p for m in more for p in m))}
+        more_ids, more_counts, more_skipped = self.segment_all(list(names))
+        start = np.r_[start, len(ids) + np.cumsum(more_counts) - more_counts].astype(np.int64)
+        size, skip = np.r_[size, more_counts], np.r_[skip, more_skipped]
+        per_text = np.diff(edges)
+        pieces = iter(more)
+        if odd.any():
+            index = np.concatenate([np.array([len(words) + names[p] for p in next(pieces)], np.int64) if o else index[a:b] for o, a, b in zip(odd.tolist(), edges[:-1].tolist(), edges[1:].tolist(), strict=True)])
+            per_text[odd] = [len(m) for m in more]
+        bounds = np.r_[0, np.cumsum(per_text)]
+        place, last = gather(start, size, index)
+        ends, skips = np.r_[0, last], np.r_[0, np.cumsum(skip[index])]
+        return np.concatenate((ids, more_ids))[place], ends[bounds].astype(np.int64), np.diff(skips[bounds])
 
     def encode(self, text: str) -> list[int]:
-        return np.frombuffer(self.encode_bytes(text)[0], "<u2").tolist()
+        return self.encode_group(pa.array([text]))[0].tolist()
 
     def decode(self, ids) -> str:
         """The text; the space that stands for the leading mark is dropped."""
-        return b"".join(map(self.text.__getitem__, ids)).decode("utf-8", "surrogatepass")[1:]
+        return self.decode_bytes(np.asarray(ids, np.int64)).decode("utf-8", "surrogatepass")
+
+    def decode_bytes(self, ids: np.ndarray) -> bytes:
+        if not hasattr(self, "flat"):
+            self.flat = np.frombuffer(b"".join(self.text), np.uint8)
+            self.text_size = np.array([len(t) for t in self.text], np.int64)
+            self.text_start = np.cumsum(self.text_size) - self.text_size
+        return self.flat[gather(self.text_start, self.text_size, ids)[0]].tobytes()[1:]
+
+
+@lru_cache(maxsize=2)
+def shared_model(path: str, seed: int, rate: float) -> Model:
+    """One model for each Python worker."""
+    return Model(path, seed, rate)
 
 
 def _encode(path: str, seed: int, rate: float):
+    names = [c.split()[0] for c in SCHEMA.split(", ")]
+
     def run(batches):
-        m = Model(path, seed, rate)
+        m, mark = shared_model(path, seed, rate), MARK.encode()
         for group in groups(batches):
+            ids, edges, skipped = m.encode_group(group.column(1))
             rows = []
-            for doc, t in zip(group.column(0).to_pylist(), group.column(1), strict=True):
-                t = t.as_py() or ""
-                data, skipped = m.encode_bytes(t)
-                back = m.decode(np.frombuffer(data, "<u2").tolist())
-                rows.append((doc, len(t.encode("utf-8", "surrogatepass")), len(data) // 2, skipped, zlib.crc32(data), back == t.replace(MARK, " ")))
+            for doc, t, a, b, skip in zip(group.column(0).to_pylist(), group.column(1), edges[:-1].tolist(), edges[1:].tolist(), skipped.tolist(), strict=True):
+                raw = t.as_buffer().to_pybytes() if t.is_valid else b""
+                rows.append((doc, len(raw), b - a, skip, zlib.crc32(ids[a:b].astype("<u2").tobytes()), m.decode_bytes(ids[a:b]) == raw.replace(mark, b" ")))
             cols = list(zip(*rows, strict=True))
-            names = [c.split()[0] for c in SCHEMA.split(", ")]
             yield pa.record_batch([*(pa.array(c, pa.int64()) for c in cols[:5]), pa.array(cols[5], pa.bool_())], names=names)
 
     return run
@@ -139,7 +302,7 @@ def token_ids(docs: DataFrame, path: str | None = None, seed: int = SEED, rate:
     """doc_id and the ids themselves."""
 
     def run(batches):
-        m = Model(path or model_path(), seed, rate)
+        m = shared_model(path or model_path(), seed, rate)
         for group in groups(batches):
             yield pa.record_batch({"doc_id": group.column(0), "ids": pa.array([m.encode(t.as_py() or "") for t in group.column(1)], pa.list_(pa.int32()))})
 
