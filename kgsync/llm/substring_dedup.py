@@ -35,7 +35,7 @@ from .common import lanes
 
 DIVISOR = 4
 WINDOW = 2
-MIN_WORDS = 24
+MIN_WORDS = 22
 #: Bytes after which a chunk ends even without a white-space byte that fits.
 LONGEST = 1024
 SEED = 7
@@ -154,31 +154,51 @@ def _entries(n_lanes: int):
     return run
 
 
-def _marks(doc, key, place) -> pa.RecordBatch:
-    """One row for each document: the places of its repeated windows."""
-    by = np.lexsort((place, key, doc))
-    doc, key, place = doc[by], key[by], place[by]
-    new = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])]) if len(doc) else np.zeros(0, np.int64)
-    lists = pa.ListArray.from_arrays(pa.array(np.r_[new, len(doc)].astype(np.int32)), pa.array(place.astype(np.int32)))
-    return pa.record_batch({"doc": pa.array(doc[new]), "key": pa.array(key[new]), "places": lists})
+def _marks(n: int, doc, key, place) -> pa.RecordBatch:
+    """Places of repeated windows, one row for each of n groups of documents."""
+    group = ((doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ key.astype(np.uint64)) % np.uint64(n)).astype(np.int64)
+    by = np.argsort(group, kind="stable")
+    edges = np.searchsorted(group[by], np.arange(n + 1))
+    used = np.flatnonzero(np.diff(edges)).tolist()
+    data = [_blob(*(x[by[edges[g] : edges[g + 1]]] for x in (doc, key, place))) for g in used]
+    return pa.record_batch({"group": pa.array(used, pa.int32()), "data": pa.array(data, pa.binary())})
 
 
-def _repeats(batches):
-    parts: list[list[np.ndarray]] = []
-    for batch in batches:
-        for certain, data in zip(batch.column("certain").to_pylist(), batch.column("data").to_pylist(), strict=True):
-            if certain:
-                yield _marks(*_unblob(data, "<i8", "<i8", "<u4"))
-            else:
-                digest, docs, keys, at, place = _unblob(data, "<u8", "<i8", "<i8", "<u4", "<u4")
-                at = np.cumsum(at, dtype=np.int64)
-                parts.append([digest.reshape(-1, 2), docs[at], keys[at], place])
+def _repeats(n: int):
+    def run(batches):
+        parts: list[list[np.ndarray]] = []
+        for batch in batches:
+            for certain, data in zip(batch.column("certain").to_pylist(), batch.column("data").to_pylist(), strict=True):
+                if certain:
+                    yield _marks(n, *_unblob(data, "<i8", "<i8", "<u4"))
+                else:
+                    digest, docs, keys, at, place = _unblob(data, "<u8", "<i8", "<i8", "<u4", "<u4")
+                    at = np.cumsum(at, dtype=np.int64)
+                    parts.append([digest.reshape(-1, 2), docs[at], keys[at], place])
+        if parts:
+            digest, doc, key, place = (np.concatenate(p) for p in zip(*parts, strict=True))
+            parts.clear()
+            by, first = _order(digest, doc, key, place)
+            repeat = by[~first]
+            yield _marks(n, doc[repeat], key[repeat], place[repeat])
+
+    return run
+
+
+def _by_document(batches):
+    """(doc, key, places): one row for each document of the partition's groups."""
+    parts = [_unblob(d, "<i8", "<i8", "<u4") for batch in batches for d in batch.column("data").to_pylist()]
     if parts:
-        digest, doc, key, place = (np.concatenate(p) for p in zip(*parts, strict=True))
+        doc, key, place = (np.concatenate(p) for p in zip(*parts, strict=True))
         parts.clear()
-        by, first = _order(digest, doc, key, place)
-        repeat = by[~first]
-        yield _marks(doc[repeat], key[repeat], place[repeat])
+        by = np.lexsort((place, key, doc))
+        doc, key, place = doc[by], key[by], place[by]
+        new = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])])
+        edges = np.r_[new, len(doc)]
+        for i in range(0, len(new), 4096):
+            j = min(i + 4096, len(new))
+            lists = pa.ListArray.from_arrays(pa.array((edges[i : j + 1] - edges[i]).astype(np.int32)), pa.array(place[edges[i] : edges[j]].astype(np.int32)))
+            yield pa.record_batch({"doc": pa.array(doc[new[i:j]]), "key": pa.array(key[new[i:j]]), "places": lists})
 
 
 def spans(raw: bytes, places) -> list[tuple[int, int]]:
@@ -214,7 +234,7 @@ def _cut_rows(batches):
         texts, starts, lengths = [], [], []
         for t, places in zip(batch.column("text"), batch.column("places"), strict=True):
             if places.is_valid and t.is_valid:
-                text, gone = cut(t.as_py(), [x for p in places.as_py() for x in p])
+                text, gone = cut(t.as_py(), places.as_py())
             else:
                 text, gone = t.as_py(), []
             texts.append(text)
@@ -227,12 +247,12 @@ def _cut_rows(batches):
 
 
 def repeated_places(docs: DataFrame) -> DataFrame:
-    """(doc, key, places): for each document with repeats, lists of the places of repeated windows."""
+    """(doc, key, places): for each document with repeats, the numbers of its repeated windows."""
     n = lanes(docs.sparkSession)
     keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text"), "text")
     entries = keyed.mapInArrow(_entries(2 * n), "lane int, certain boolean, data binary")
-    found = entries.repartition(n, "lane").mapInArrow(_repeats, "doc long, key long, places array<int>")
-    return found.groupBy("doc", "key").agg(F.collect_list("places").alias("places"))  # bounded by a document's own length
+    found = entries.repartition(n, "lane").mapInArrow(_repeats(2 * n), "group int, data binary")
+    return found.repartition(n, "group").mapInArrow(_by_document, "doc long, key long, places array<int>")
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
