@@ -1,0 +1,152 @@
+"""The knowledge base as the engine sees it: lookups, item state, writes. Network access is a connector's matter."""
+
+from __future__ import annotations
+
+import logging
+import time
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..config import Config, Credentials
+from ..functions.identifiers import escape_sparql
+from ..plans.execute import DryRunError
+
+log = logging.getLogger("kgsync.remote")
+
+
+class RetryableError(RuntimeError):
+    """Too many requests, a server's fault, or no answer."""
+
+
+class ConnectionFailed(RuntimeError):
+    pass
+
+
+def retryable(status: int) -> bool:
+    return status == 429 or status >= 500
+
+
+def claim_values(datavalue: Column) -> Column:
+    """The text by which an existing value is compared, from its datavalue as JSON: id, text or time of a structured one, else itself."""
+    inner = lambda k: F.nullif(F.get_json_object(datavalue, f"$.value.{k}"), F.lit(""))
+    return F.coalesce(inner("id"), inner("text"), inner("time"), F.get_json_object(datavalue, "$.value"))
+
+
+@dataclass
+class Status:
+    api: bool = False
+    authenticated: bool = False
+    sparql: bool = False
+    errors: list[str] = field(default_factory=list)
+
+    @property
+    def ready_for_dry_run(self) -> bool:
+        return self.api and self.sparql
+
+    @property
+    def ready_for_live_writes(self) -> bool:
+        return self.ready_for_dry_run and self.authenticated
+
+
+class Client:
+    """`send(kind, payload)` talks to the knowledge base and raises RetryableError where another try may help; the rest is policy."""
+
+    def __init__(self, send: Callable[[str, dict], object], config: Config, credentials: Credentials | None = None, sleep: Callable[[float], None] = time.sleep):
+        self.send, self.config, self.credentials, self.sleep = send, config, credentials or Credentials(), sleep
+        self.api_calls = self.retries = 0
+
+    def _try(self, kind: str, payload: dict):
+        attempts = max(1, self.config.max_retries)
+        for n in range(attempts):
+            self.api_calls += 1
+            try:
+                return self.send(kind, payload)
+            except (RetryableError, OSError):
+                if n + 1 == attempts:
+                    raise
+                self.retries += 1
+                self.sleep(self.config.sleep_time_seconds * self.config.backoff_multiplier**n)
+
+    def traffic(self) -> dict[str, int]:
+        return {"api_calls": self.api_calls, "retries": self.retries}
+
+    def connect(self, require_write: bool = False) -> Status:
+        out = Status()
+        for name in ("api", "authenticated", "sparql"):
+            if name == "authenticated" and not self.credentials.is_complete:
+                if require_write:
+                    out.errors.append("credentials are incomplete")
+                continue
+            try:
+                setattr(out, name, bool(self._try("probe_" + name, {})))
+            except Exception as e:  # noqa: BLE001  reported, and the caller decides
+                out.errors.append(f"{name}: {e}")
+        if require_write and not out.ready_for_live_writes:
+            raise ConnectionFailed("; ".join(out.errors) or "not ready for writes")
+        return out
+
+    # ---- reads
+
+    @staticmethod
+    def lookup_query(base: str, pid: str, values: Iterable[str]) -> str:
+        listed = " ".join(f'"{escape_sparql(v)}"' for v in values)
+        return f"SELECT ?item ?value WHERE {{ VALUES ?value {{ {listed} }} ?item <{base.rstrip('/')}/prop/direct/{pid}> ?value . }}"
+
+    def find(self, pid: str, values: list[str]) -> dict[str, list[str]]:
+        """Items of each value that has any, the same item twice if it is given twice. A failure finds nothing."""
+        try:
+            bindings = self._try("sparql", {"query": self.lookup_query(self.credentials.wikibase_url, pid, values)})
+        except Exception as e:  # noqa: BLE001
+            log.warning("lookup failed: %s", e)
+            return {}
+        out: dict[str, list[str]] = {}
+        for b in bindings:
+            out.setdefault(b["value"]["value"], []).append(b["item"]["value"].rsplit("/", 1)[-1])
+        return out
+
+    def find_one(self, pid: str, value: str) -> list[str]:
+        return self.find(pid, [value]).get(value, [])
+
+    def snapshot(self, qid: str) -> dict | None:
+        """labels, descriptions, aliases and claims of an item, or None if it can't be read."""
+        try:
+            return self._try("item", {"qid": qid})
+        except Exception as e:  # noqa: BLE001
+            log.warning("no snapshot of %s: %s", qid, e)
+            return None
+
+    # ---- writes
+
+    def _write(self, kind: str, payload: dict):
+        if self.config.dry_run:
+            raise DryRunError(f"{kind} while dry_run is set")
+        out = self._try(kind, payload)
+        self.sleep(self.config.sleep_time_seconds)
+        return out
+
+    def create_item(self, labels: dict, descriptions: dict, aliases: dict) -> str:
+        return self._write("create", {"labels": labels, "descriptions": descriptions, "aliases": aliases})
+
+    def update_metadata(self, qid: str, labels: dict, descriptions: dict, aliases: dict) -> None:
+        self._write("metadata", {"qid": qid, "labels": labels, "descriptions": descriptions, "aliases": aliases})
+
+    def add_claim(self, qid: str, pid: str, datatype: str, datavalue: str) -> None:
+        self._write("claim", {"qid": qid, "pid": pid, "datatype": datatype, "datavalue": datavalue})
+
+
+def remote_matches(batches: DataFrame, make_client: Callable[[], Client], pid: str) -> DataFrame:
+    """(identity_value, qid) of the batches (batch, canonical_id): one request for each batch, made where the batch lies."""
+
+    def run(parts):
+        client = make_client()
+        for pdf in parts:
+            rows = []
+            for values in pdf["canonical_ids"]:
+                rows += [(v, q) for v, qids in client.find(pid, list(values)).items() for q in qids]
+            yield type(pdf)(rows, columns=["identity_value", "qid"])
+
+    grouped = batches.groupBy("batch").agg(F.sort_array(F.collect_list("canonical_id")).alias("canonical_ids"))  # batch_size each
+    return grouped.select("canonical_ids").mapInPandas(run, "identity_value string, qid string")
