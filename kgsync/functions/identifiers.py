@@ -24,20 +24,26 @@ def squeeze(text: Column) -> Column:
 
 def normalize(identifier: Column) -> Column:
     """An absolute identifier inside another one stands for the whole; http before https, each the first after the start."""
-    t = strip(identifier)
-    inner = lambda scheme: F.locate(scheme, t, 2)
-    return F.when(inner("http://") > 0, F.substring(t, inner("http://"), F.length(t))).when(inner("https://") > 0, F.substring(t, inner("https://"), F.length(t))).otherwise(t)
+    return F.regexp_replace(strip(identifier), r"(?s)^(?:.+?(?=http://)|.+?(?=https://))", "")
+
+
+def _local(t: Column) -> Column:
+    part = lambda pattern: F.nullif(F.regexp_extract(t, pattern, 1), F.lit(""))
+    return F.coalesce(part("#([^#]+)$"), part("([^/]+)/*$"), t)
 
 
 def local_name(identifier: Column) -> Column:
-    t = strip(identifier)
-    fragment = F.when(t.contains("#"), F.substring_index(t, "#", -1))
-    segment = F.when(t.contains("/"), F.substring_index(F.rtrim(t, F.lit("/")), "/", -1))
-    return F.coalesce(F.nullif(fragment, F.lit("")), F.nullif(segment, F.lit("")), t)
+    """What follows the last #, or else the last slash that is not at the end, or else all."""
+    return _local(strip(identifier))
+
+
+def normalized_local_name(identifier: Column) -> Column:
+    """`local_name` of `normalize`, which has no white space at its ends."""
+    return _local(normalize(identifier))
 
 
 def term_local_name(kind: Column, term: Column) -> Column:
-    return F.when(kind == "bnode", F.concat(F.lit("_:"), term)).otherwise(local_name(normalize(term)))
+    return F.when(kind == "bnode", F.concat(F.lit("_:"), term)).otherwise(normalized_local_name(term))
 
 
 def is_malformed(identifier: Column) -> Column:
@@ -45,20 +51,25 @@ def is_malformed(identifier: Column) -> Column:
     return F.size(F.regexp_extract_all(strip(identifier), F.lit("https?://"), 0)) > 1
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate `value` once for all its uses in `body`."""
+    return F.transform(F.array(value), body)[0]
+
+
 def comparable_uri(uri: Column) -> Column:
+    return let(squeeze(uri), comparable_squeezed_uri)
+
+
+def comparable_squeezed_uri(t: Column) -> Column:
     """Scheme and authority in lower case, without one slash at the path's end, an empty query or fragment."""
-    t = squeeze(uri)
     part = lambda i: F.regexp_extract(t, _URI, i)
-    path = F.when((F.length(part(3)) > 1) & part(3).endswith("/"), F.substring(part(3), F.lit(1), F.length(part(3)) - 1)).otherwise(part(3))
-    authority = F.when(part(2) == "//", "").otherwise(F.lower(part(2)))
-    query = F.when(part(4) == "?", "").otherwise(part(4))
-    fragment = F.when(part(5) == "#", "").otherwise(part(5))
-    return F.when(t.rlike(_URI), F.concat(F.lower(part(1)), F.lit(":"), authority, path, query, fragment)).otherwise(t)
+    without = lambda pattern, i: F.regexp_replace(part(i), pattern, "")
+    return F.when(t.rlike(_URI), F.concat(F.lower(part(1)), F.lit(":"), F.lower(without("^//$", 2)), without("(?<=.)/$", 3), without(r"^\?$", 4), without("^#$", 5))).otherwise(t)
 
 
 def property_key(predicate: Column) -> Column:
     """The predicate's key in the property map."""
-    return F.when(predicate == RDF_TYPE, "rdf:type").when(predicate == SUB_CLASS_OF, "rdfs:subClassOf").otherwise(local_name(normalize(predicate)))
+    return F.when(predicate == RDF_TYPE, "rdf:type").when(predicate == SUB_CLASS_OF, "rdfs:subClassOf").otherwise(normalized_local_name(predicate))
 
 
 def qid_of(uri: Column) -> Column:

@@ -2,16 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import tempfile
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """In the folder that spark.checkpoint.dir names; in a temporary one only where none is set (tests)."""
+    spark: SparkSession = df.sparkSession
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="kgsync-checkpoint-"))
+    return df.checkpoint(eager=True)
+
+
 def numbered(df: DataFrame, *order: Column | str, name: str = "n") -> DataFrame:
-    """Adds 1, 2, 3 ... in the given order, which must be total. Rows are range-partitioned; only one count for each partition meets in one place."""
+    """Adds 1, 2, 3 ... in the given order, which must be total.
+
+    Rows are range-partitioned and sorted; the result is written down, as ranges found by sampling may
+    differ from one evaluation to the next; one count for each partition meets in one place.
+    """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    placed = placed.withColumn("_id", F.monotonically_increasing_id())
-    placed = placed.withColumn("_part", F.shiftright("_id", 33)).withColumn("_at", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)))
+    placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    placed = checkpointed(placed).withColumn("_part", F.shiftright("_id", 33)).withColumn("_at", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)))
     counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
     before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
     return placed.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_at") + 1).drop("_id", "_part", "_at", "_before")

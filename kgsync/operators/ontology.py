@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.hashing import entity_hash, statement_hash, statement_json
-from ..functions.identifiers import local_name, normalize, property_key, squeeze, strip
+from ..functions.identifiers import normalize, normalized_local_name, property_key, squeeze, strip
 from ..sources.triples import Predicates
 from ..terms import DESCRIPTIONS, LABEL, META_TYPES, NOTHING, OWL, PROPERTY_TYPES, RDF_TYPE, SUB_CLASS_OF, THING, TYPE_PRECEDENCE
 
@@ -56,7 +56,7 @@ class Ontology:
     def subjects(self) -> DataFrame:
         """(s, canonical_id, entity_type, local_name): classes and individuals that are no blank nodes."""
         typed = self.type_triples().where(F.col("s_kind") == "iri").where(F.col("o").isin(OWL + "Class", OWL + "NamedIndividual"))
-        return typed.groupBy("s").agg(F.min(ranked_type(F.col("o")))["name"].alias("entity_type")).select("s", normalize(F.col("s")).alias("canonical_id"), "entity_type", local_name(normalize(F.col("s"))).alias("local_name"))
+        return typed.groupBy("s").agg(F.min(ranked_type(F.col("o")))["name"].alias("entity_type")).select("s", normalize(F.col("s")).alias("canonical_id"), "entity_type", normalized_local_name(F.col("s")).alias("local_name"))
 
     def _of_subjects(self, triples: DataFrame) -> DataFrame:
         return triples.join(self.subjects.select("s"), "s", "left_semi")
@@ -132,7 +132,7 @@ class Ontology:
             "s",
             normalize(F.col("s")).alias("subject_canonical_id"),
             p.alias("predicate_original"),
-            local_name(normalize(p)).alias("predicate_local_name"),
+            normalized_local_name(p).alias("predicate_local_name"),
             kind.alias("value_kind"),
             value.alias("value"),
             literal("o_datatype").alias("literal_datatype"),

@@ -187,8 +187,8 @@ class Planner:
     def compared_statements(self) -> DataFrame:
         """With `outcome`, `comparable`, `error` and `datavalue`."""
         c = F.col
-        converted = convert(c("value_kind"), c("value"), c("datatype"), c("language"), c("target_qid"), self.config.default_language)
-        out = self.planned_statements.withColumn("c", F.when(c("configured") & ~c("target_new"), converted))
+        converted = convert(c("value_kind"), c("value"), c("datatype"), c("language"), c("target_qid"), self.config.default_language, squeezed=c("squeezed"))
+        out = self.planned_statements.withColumn("squeezed", squeeze(c("value"))).withColumn("c", F.when(c("configured") & ~c("target_new"), converted))
         out = out.withColumn("comparable", F.when(c("target_new"), NEW_ITEM).otherwise(c("c.comparable_value"))).withColumn("error", c("c.error")).withColumn("datavalue", c("c.datavalue"))
         known = self._read(self.existing.claims)
         if known is None:

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.identifiers import local_name, normalize
+from ..functions.identifiers import normalized_local_name
 
 
 def python_local_name(identifier: str) -> str:
@@ -39,7 +39,7 @@ class Predicates:
     def column(self, predicate: Column) -> Column:
         found = predicate.isin(*self.identifiers) if self.identifiers else F.lit(False)
         if self.local_names:
-            found = found | F.lower(local_name(normalize(predicate))).isin(*self.local_names)
+            found = found | F.lower(normalized_local_name(predicate)).isin(*self.local_names)
         return ~found if self.other else found
 
     def negated(self) -> Predicates:
