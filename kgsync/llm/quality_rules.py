@@ -68,22 +68,11 @@ def with_features(docs: DataFrame, text: str = "text") -> DataFrame:
     lines = F.filter(F.split(t, "\n"), lambda x: F.translate(x, SPACES, "") != "")
     line_counts = let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup")))
     word_counts = let(words_of(t), lambda w: F.struct(F.size(w).cast("long").alias("n"), _repeat_words(w).alias("rep")))
-    return (
-        docs.withColumn("q_w", word_counts)
-        .withColumn("q_l", line_counts)
-        .withColumn(
-            "q",
-            F.struct(
-                F.col("q_w.n").alias("n_words"),
-                chars(SPACES).cast("long").alias("word_chars"),
-                (F.length(t) - chars(SYMBOLS)).cast("long").alias("n_symbols"),
-                F.col("q_l.dup").alias("n_dup_lines"),
-                F.col("q_w.rep").alias("n_repeat_words"),
-                F.col("q_l.n").alias("n_lines"),
-            ),
-        )
-        .drop("q_w", "q_l")
-    )
+    # a generated row is computed once; an alias would be computed again wherever the optimizer moves a condition on it
+    counted = docs.select("*", F.explode(F.array(F.struct(word_counts.alias("w"), line_counts.alias("l"), chars(SPACES).cast("long").alias("word_chars"), (F.length(t) - chars(SYMBOLS)).cast("long").alias("n_symbols")))).alias("q0"))
+    c = F.col
+    q = F.struct(c("q0.w.n").alias("n_words"), c("q0.word_chars"), c("q0.n_symbols"), c("q0.l.dup").alias("n_dup_lines"), c("q0.w.rep").alias("n_repeat_words"), c("q0.l.n").alias("n_lines"))
+    return counted.withColumn("q", q).drop("q0")
 
 
 def base_failed() -> Column:
