@@ -30,6 +30,9 @@ FENCES = {"symbols": (3, 500), "word_length": (3, 60), "dup_lines": (3, 4000)}
 #: Words a document needs before its mean word length says something.
 LENGTH_SUPPORT = 30
 
+#: Up to so many groups (some 100 bytes each) their fences are sent to all tasks, and no text is shuffled; with more, documents and fences meet by group.
+BROADCAST_GROUPS = 20_000
+
 FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 
 
@@ -143,16 +146,17 @@ def verdict() -> Column:
 
 
 def judge(features: DataFrame, limits: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """Adds base_failed and kept. `limits` has one row per group; Spark broadcasts it only where its measured size is small, and splits a hot group otherwise."""
+    """Adds base_failed and kept. `limits` has one row per group and is cheap to read again; beyond BROADCAST_GROUPS a hot group is split by Spark."""
+    few = limits.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
     limits = limits.select(F.col("lang").alias("f_lang"), F.col("source").alias("f_source"), F.struct(*(F.col(c) for c in limits.columns if c not in ("lang", "source"))).alias("f"))
-    joined = features.join(limits, (F.coalesce(lang, F.lit("")) == F.col("f_lang")) & (F.coalesce(source, F.lit("")) == F.col("f_source")), "left")
+    joined = features.join(F.broadcast(limits) if few else limits, (F.coalesce(lang, F.lit("")) == F.col("f_lang")) & (F.coalesce(source, F.lit("")) == F.col("f_source")), "left")
     return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & verdict()).drop("f_lang", "f_source", "f")
 
 
 def quality(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept of every document."""
     features = cut_lineage(with_features(docs.select("doc_id", "lang", "source", "text")).drop("text"))
-    judged = judge(features, fences(sketches(features)))
+    judged = judge(features, cut_lineage(fences(sketches(features))))
     return judged.select("doc_id", *(F.col(f"q.{c}").alias(c) for c in FEATURES[:5]), "base_failed", "kept")
 
 
