@@ -12,14 +12,19 @@ SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.\-]*://"
 _URI = r"^([a-zA-Z][a-zA-Z0-9+.\-]*):(//[^/?#]*)?([^?#]*)(\?[^#]*)?(#.*)?$"
 
 
+# White space, as text is split and stripped by it.
+_SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+_SPACE_RUN = f"[{_SPACES}]+"
+
+
 def strip(text: Column) -> Column:
     """White space in the Unicode sense, at both ends."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.trim(text, F.lit(_SPACES))
 
 
 def squeeze(text: Column) -> Column:
     """White space in the Unicode sense to single spaces, none at the ends."""
-    return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(text, _SPACE_RUN, " "))
 
 
 def normalize(identifier: Column) -> Column:

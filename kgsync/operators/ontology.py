@@ -82,32 +82,47 @@ class Ontology:
         return self.source.scan(keep).where("o_kind = 'literal'").select("s", "p", lang.alias("lang"), strip(F.col("o")).alias("text")).where("text <> ''")
 
     @cached_property
-    def labels(self) -> DataFrame:
-        """(s, lang, text): the least label of each language."""
-        own = self._of_subjects(self.language_values(Predicates((LABEL,)))).groupBy("s", "lang").agg(F.min("text").alias("text"))
+    def all_labels(self) -> DataFrame:
+        """(s, lang, text, is_thing): the least label of each language, of whatever has one. Joins with entities keep theirs."""
+        own = self.language_values(Predicates((LABEL,))).groupBy("s", "lang").agg(F.min("text").alias("text"))
         thing = self.thing.select("s", F.lit(self.config.default_language).alias("lang"), F.lit("Thing").alias("text"), F.lit(True).alias("is_thing"))
         return own.withColumn("is_thing", F.lit(False)).unionByName(thing)
 
     @cached_property
-    def descriptions(self) -> DataFrame:
+    def labels(self) -> DataFrame:
+        """Those of entities."""
+        return self.all_labels.where("is_thing").unionByName(self._of_subjects(self.all_labels.where("not is_thing")).select("s", "lang", "text", "is_thing"))
+
+    @cached_property
+    def all_descriptions(self) -> DataFrame:
         """(s, lang, text): by the order of the predicates, then the least."""
         rank = F.array_position(F.array(*map(F.lit, DESCRIPTIONS)), F.col("p"))
-        return self._of_subjects(self.language_values(Predicates(tuple(DESCRIPTIONS)))).groupBy("s", "lang").agg(F.min(F.struct(rank.alias("rank"), "text"))["text"].alias("text"))
+        return self.language_values(Predicates(tuple(DESCRIPTIONS))).groupBy("s", "lang").agg(F.min(F.struct(rank.alias("rank"), "text"))["text"].alias("text"))
+
+    @cached_property
+    def descriptions(self) -> DataFrame:
+        return self._of_subjects(self.all_descriptions)
 
     @cached_property
     def alias_predicates(self) -> Predicates:
         return Predicates((), tuple(n.lower() for n in self.config.alias_local_names))
 
     @cached_property
-    def aliases(self) -> DataFrame:
+    def all_aliases(self) -> DataFrame:
         """(s, lang, text): distinct, white space squeezed."""
-        return self._of_subjects(self.language_values(self.alias_predicates)).select("s", "lang", squeeze(F.col("text")).alias("text")).distinct()
+        return self.language_values(self.alias_predicates).select("s", "lang", squeeze(F.col("text")).alias("text")).distinct()
+
+    @cached_property
+    def aliases(self) -> DataFrame:
+        return self._of_subjects(self.all_aliases)
 
     @cached_property
     def display_labels(self) -> DataFrame:
-        """Entities with `label`: that of the default language, else of the least language, else the local name."""
-        chosen = self.labels.groupBy("s", "is_thing").agg(F.max(F.when(F.col("lang") == self.config.default_language, F.col("text"))).alias("own"), F.min_by("text", "lang").alias("other"))
-        return self.entities.join(chosen, ["s", "is_thing"], "left").withColumn("label", F.coalesce("own", "other", "local_name")).drop("own", "other")
+        """Entities with `label`: that of the default language, else of the least language, else the local name. Types and labels meet by subject, in one exchange each."""
+        text, lang = F.col("text"), F.col("lang")
+        chosen = self.language_values(Predicates((LABEL,))).groupBy("s").agg(F.min(F.when(lang == self.config.default_language, text)).alias("own"), F.min(F.struct(lang, text))["text"].alias("other"))
+        own = self.subjects.join(chosen, "s", "left").select(*self.subjects.columns, F.lit(False).alias("is_thing"), F.coalesce("own", "other", "local_name").alias("label"))
+        return own.unionByName(self.thing.select("*", F.lit(True).alias("is_thing"), F.lit("Thing").alias("label")))
 
     @cached_property
     def property_labels(self) -> DataFrame:
@@ -121,10 +136,15 @@ class Ontology:
     @cached_property
     def statements(self) -> DataFrame:
         """One row for each statement of an entity, with its key in the property map."""
+        return self._of_subjects(self.all_statements)
+
+    @cached_property
+    def all_statements(self) -> DataFrame:
+        """The same of whatever has any."""
         about = Predicates((LABEL, *DESCRIPTIONS), self.alias_predicates.local_names, other=True)
         p, o = F.col("p"), F.col("o")
         trivial = ((p == RDF_TYPE) & o.isin(META_TYPES)) | ((p == SUB_CLASS_OF) & (o == NOTHING))
-        rows = self._of_subjects(self.source.scan(about).where(~trivial))
+        rows = self.source.scan(about).where(~trivial)
         kind = F.when(F.col("o_kind") == "literal", "literal").when(F.col("o_kind") == "bnode", "blank_node").otherwise("resource")
         value = F.when(F.col("o_kind") == "literal", strip(o)).when(F.col("o_kind") == "bnode", F.concat(F.lit("_:"), o)).otherwise(normalize(o))
         literal = lambda c: F.when(F.col("o_kind") == "literal", F.nullif(F.col(c), F.lit("")))

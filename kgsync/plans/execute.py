@@ -42,6 +42,7 @@ class Execution:
 
     def __init__(self, planner: Planner, create):
         self.planner, self.create = planner, create
+        planner.settle()
 
     @cached_property
     def created(self) -> DataFrame:
@@ -80,10 +81,10 @@ class Execution:
     # ---- statements
 
     @cached_property
-    def bound(self) -> DataFrame:
-        """Statements to add with the items of their subject and object, and what became of them."""
+    def judged(self) -> DataFrame:
+        """All statement rows with the items of their subject and object, and what becomes of those that are to be added."""
         c = F.col
-        rows = self.planner.statement_rows().where("action = 'ADD_STATEMENT'")
+        rows = self.planner.statement_rows()
         subject = self.qids.select(c("canonical_id").alias("source_identifier"), c("qid").alias("subject_qid"))
         target = self.qids.select(c("canonical_id").alias("target_key"), c("qid").alias("target_qid"))
         is_item = c("target_source_identifier") != ""
@@ -91,33 +92,40 @@ class Execution:
         out = rows.join(subject, "source_identifier", "left").withColumn("target_key", key).join(target, "target_key", "left")
         datavalue = F.when(is_item, to_item(c("target_qid"))["datavalue"]).otherwise(c("datavalue"))
         status = F.when(c("subject_qid").isNull(), "error").when(is_item & c("target_qid").isNull(), "unresolved_target").when(datavalue.isNull(), "error").otherwise("added")
-        return out.withColumn("datavalue", datavalue).withColumn("status", status).select("source_identifier", "subject_qid", "pid", "property_name", "target_source_identifier", "target_qid", "datavalue", "status")
+        return out.withColumn("datavalue", datavalue).withColumn("status", F.when(c("action") == "ADD_STATEMENT", status).otherwise(""))
+
+    @property
+    def bound(self) -> DataFrame:
+        """The statements to add."""
+        names = ["source_identifier", "subject_qid", "pid", "property_name", "target_source_identifier", "target_qid", "datavalue", "status"]
+        return self.judged.where("action = 'ADD_STATEMENT'").select(*names)
 
     # ---- the result
 
     def result(self, run_id: str) -> DataFrame:
         """One row of counters. Unresolved entities are those of the plan, as reports count them; objects that had no item at write time are a column of their own."""
-        plan = self.planner.plan()
         count = lambda *a: F.count_if(F.col("action").isin(*a))
-        planned = plan.agg(
-            count("CONFLICT", "UNRESOLVED_OBJECT").alias("unresolved_entities"),
+        status = lambda s: F.count_if(F.col("status") == s)
+        planned = self.judged.agg(
+            count("UNRESOLVED_OBJECT").alias("unresolved_objects"),
             count("SKIP_UNMAPPED_PROPERTY").alias("unresolved_properties"),
-            count("CONFLICT").alias("conflicts"),
-            F.count_if((F.col("action") == "SKIP_UNCHANGED") & (F.col("pid") != "")).alias("statements_skipped_unchanged"),
+            count("SKIP_UNCHANGED").alias("statements_skipped_unchanged"),
+            status("added").alias("statements_added"),
+            status("error").alias("statement_errors"),
+            status("unresolved_target").alias("unresolved_targets"),
         )
+        conflicts = self.planner.resolution.where("source = 'conflict'").agg(F.count("*").alias("conflicts"))
         made = self.created.agg(F.count("*").alias("items_created"))
         reused = self.planner.resolution.where("qid is not null").agg(F.count_distinct("canonical_id").alias("items_reused"))
         size = lambda c: F.coalesce(F.sum(F.size(c)), F.lit(0)).cast("long")
         meta = self.metadata_updates().agg(F.count_if(F.col("qid").isNull()).alias("metadata_errors"), size(F.when(F.col("qid").isNotNull(), F.map_keys("labels")).otherwise(F.array())).alias("labels_updated"), size(F.when(F.col("qid").isNotNull(), F.map_keys("descriptions")).otherwise(F.array())).alias("descriptions_updated"), size(F.when(F.col("qid").isNotNull(), F.col("aliases")).otherwise(F.array())).alias("aliases_added"))
-        status = lambda s: F.count_if(F.col("status") == s)
-        written = self.bound.agg(status("added").alias("statements_added"), status("error").alias("statement_errors"), status("unresolved_target").alias("unresolved_targets"))
         out = planned.withColumn("k", F.lit(1))
-        for part in (made, reused, meta, written):
+        for part in (conflicts, made, reused, meta):
             out = out.join(part.withColumn("k", F.lit(1)), "k")
         errors = F.col("metadata_errors") + F.col("statement_errors")
         return out.select(
             F.lit(run_id).alias("run_id"), F.when(errors == 0, "completed").otherwise("completed_with_errors").alias("status"), "items_created", "items_reused", "labels_updated", "descriptions_updated", "aliases_added",
-            "statements_added", "statements_skipped_unchanged", "unresolved_entities", "unresolved_properties", "unresolved_targets", "conflicts", errors.alias("errors"),
+            "statements_added", "statements_skipped_unchanged", (F.col("unresolved_objects") + F.col("conflicts")).alias("unresolved_entities"), "unresolved_properties", "unresolved_targets", "conflicts", errors.alias("errors"),
         )
 
 

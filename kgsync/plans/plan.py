@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.identifiers import squeeze
 from ..functions.values import comparable, convert
-from ..operators.numbering import numbered
+from ..operators.numbering import checkpointed, numbered
 from ..operators.ontology import Ontology
 from ..operators.validate import message
 from ..terms import ATTENTION, NEW_ITEM, PLAN_COLUMNS
@@ -141,14 +141,14 @@ class Planner:
         )
 
     def label_rows(self) -> DataFrame:
-        return self._metadata(self.onto.labels, "label", "UPDATE_LABEL", "UPDATE_LABEL")
+        return self._metadata(self.onto.all_labels, "label", "UPDATE_LABEL", "UPDATE_LABEL")
 
     def description_rows(self) -> DataFrame:
-        return self._metadata(self.onto.descriptions.withColumn("is_thing", F.lit(False)), "description", "ADD_DESCRIPTION", "UPDATE_DESCRIPTION")
+        return self._metadata(self.onto.all_descriptions.withColumn("is_thing", F.lit(False)), "description", "ADD_DESCRIPTION", "UPDATE_DESCRIPTION")
 
     def alias_rows(self) -> DataFrame:
         c = F.col
-        wanted = self._with_item(self.onto.aliases.withColumn("is_thing", F.lit(False)))
+        wanted = self._with_item(self.onto.all_aliases.withColumn("is_thing", F.lit(False)))
         known = self._read(self.existing.metadata)
         if known is not None:
             known = known.where("kind = 'alias'").select(c("qid").alias("item"), "lang", squeeze(c("text")).alias("text")).distinct()
@@ -167,7 +167,7 @@ class Planner:
     @cached_property
     def wanted_statements(self) -> DataFrame:
         """Statements of all entities, with those of their identity if it is mapped in full."""
-        own = self.onto.statements.withColumn("is_thing", F.lit(False))
+        own = self.onto.all_statements.withColumn("is_thing", F.lit(False))
         return own.unionByName(self.onto.identity_statements) if self.identity[1] else own
 
     @cached_property
@@ -233,8 +233,13 @@ class Planner:
     def pass_b(self) -> DataFrame:
         return self.statement_rows().drop("datavalue")
 
+    def settle(self) -> None:
+        """Write the resolution down, so that all that builds on it reads the same rows and none makes them again."""
+        self.resolution = checkpointed(self.resolution)
+
     def plan(self) -> DataFrame:
         """All rows; `datavalue` is null but for statements."""
+        self.settle()
         a = self.pass_a().withColumn("datavalue", F.lit(None).cast("string"))
         return a.unionAll(self.statement_rows()) if self.config.update_statements else a
 
