@@ -168,5 +168,5 @@ def filter_documents(docs: DataFrame) -> DataFrame:
     """
     names = docs.columns
     taken = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("doc"), F.col("doc_id"), F.col("lang"), F.col("source"), F.col("text"))
-    limits = cut_lineage(fences(sketches(with_features(taken.drop("doc")))))
+    limits = cut_lineage(fences(cut_lineage(sketches(with_features(taken.drop("doc"))))))
     return judge(with_features(taken), limits).where("kept").select("doc.*")
