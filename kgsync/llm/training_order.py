@@ -37,7 +37,7 @@ KEY = 0x5DEECE66D
 ROUNDS = 6
 #: Sequences that are compressed together in the table.
 BLOCK = 64
-ZSTD = 3
+ZSTD = 9
 SCHEMA = "slot long, shard long, byte_offset long, sequence_index long, n_tokens long, first_doc_id long, first_start long, n_docs long, ids_crc32 long"
 
 
