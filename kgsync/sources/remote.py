@@ -21,10 +21,6 @@ class RetryableError(RuntimeError):
     """Too many requests, a server's fault, or no answer."""
 
 
-class ConnectionFailed(RuntimeError):
-    pass
-
-
 def retryable(status: int) -> bool:
     return status == 429 or status >= 500
 
@@ -44,7 +40,7 @@ class Status:
 
     @property
     def ready_for_dry_run(self) -> bool:
-        return self.api and self.sparql
+        return self.api
 
     @property
     def ready_for_live_writes(self) -> bool:
@@ -74,18 +70,23 @@ class Client:
         return {"api_calls": self.api_calls, "retries": self.retries}
 
     def connect(self, require_write: bool = False) -> Status:
+        """What can be reached, in the order of need: the API, then a login, then queries. Nothing is raised."""
         out = Status()
-        for name in ("api", "authenticated", "sparql"):
-            if name == "authenticated" and not self.credentials.is_complete:
-                if require_write:
-                    out.errors.append("credentials are incomplete")
+        if not self.credentials.has_read_endpoints:
+            out.errors.append("the addresses of the knowledge base and its API are not set")
+            return out
+        steps = {"api": True, "authenticated": bool(self.credentials.username and self.credentials.password), "sparql": bool(self.credentials.sparql_url)}
+        for name, wanted in steps.items():
+            if not wanted:
+                if name == "authenticated" and require_write:
+                    out.errors.append("no credentials: live writes are not possible")
                 continue
             try:
                 setattr(out, name, bool(self._try("probe_" + name, {})))
             except Exception as e:  # noqa: BLE001  reported, and the caller decides
                 out.errors.append(f"{name}: {e}")
-        if require_write and not out.ready_for_live_writes:
-            raise ConnectionFailed("; ".join(out.errors) or "not ready for writes")
+            if name == "api" and not out.api:
+                break
         return out
 
     # ---- reads
@@ -98,7 +99,7 @@ class Client:
     def find(self, pid: str, values: list[str]) -> dict[str, list[str]]:
         """Items of each value that has any, the same item twice if it is given twice. A failure finds nothing."""
         try:
-            bindings = self._try("sparql", {"query": self.lookup_query(self.credentials.wikibase_url, pid, values)})
+            bindings = self._try("sparql", {"query": self.lookup_query(self.credentials.url, pid, values)})
         except Exception as e:  # noqa: BLE001
             log.warning("lookup failed: %s", e)
             return {}

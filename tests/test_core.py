@@ -278,7 +278,7 @@ def test_client():
             raise RetryableError("busy")
         return [{"value": {"value": "v"}, "item": {"value": "http://kb/entity/Q4"}}] * 2
 
-    c = Client(send, Config(max_retries=5), Credentials(wikibase_url="http://kb/"), naps.append)
+    c = Client(send, Config(max_retries=5), Credentials(url="http://kb/"), naps.append)
     assert c.find("P1", ["v", 'w"']) == {"v": ["Q4", "Q4"]}
     assert (c.traffic(), naps) == ({"api_calls": 3, "retries": 2}, [0.5, 1.0])
     assert '"w\\""' in Client.lookup_query("http://kb/", "P1", ['w"']) and "<http://kb/prop/direct/P1>" in Client.lookup_query("http://kb/", "P1", [])
@@ -288,6 +288,72 @@ def test_client():
     assert failing.find("P1", ["v"]) == {} and failing.snapshot("Q1") is None
 
 
+def test_live_run_against_a_server(spark, onto, tmp_path):
+    """The API of a knowledge base, on this machine: items are numbered, claims kept."""
+    import threading
+    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+    from urllib.parse import parse_qs
+
+    from kgsync.plans.live import run_live
+    from kgsync.sources.http import Transport
+
+    items, claims, failed = {}, [], []
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_POST(self):
+            q = {k: v[0] for k, v in parse_qs(self.rfile.read(int(self.headers["Content-Length"])).decode()).items()}
+            if "query" in q:
+                return self.reply({"results": {"bindings": []}})
+            if q["action"] == "query":
+                return self.reply({"query": {"tokens": {"logintoken": "L", "csrftoken": "C"}, "general": {}}})
+            if q["action"] == "login":
+                return self.reply({"login": {"result": "Success" if q["lgtoken"] == "L" else "Failed"}})
+            if not failed:
+                failed.append(1)
+                self.send_response(503)
+                self.end_headers()
+                return None
+            assert q["token"] == "C"
+            if q["action"] == "wbeditentity":
+                qid = q.get("id") or f"Q{len(items) + 1}"
+                items.setdefault(qid, []).append(json.loads(q["data"]))
+                return self.reply({"entity": {"id": qid}})
+            claims.append((q["entity"], q["property"], json.loads(q["value"])))
+            return self.reply({"success": 1})
+
+        def reply(self, value):
+            data = json.dumps(value).encode()
+            self.send_response(200)
+            self.send_header("Content-Length", str(len(data)))
+            self.end_headers()
+            self.wfile.write(data)
+
+        def log_message(self, *_):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        at = f"http://127.0.0.1:{server.server_port}"
+        config = Config(dry_run=False, sleep_time_seconds=0.0, cache_dir=str(tmp_path))
+        cred = Credentials(at, at + "/api", at + "/sparql", "bot", "secret")
+        client = Client(Transport(cred, config), config, cred)
+        status = client.connect(require_write=True)
+        assert status.ready_for_live_writes and status.sparql and not status.errors
+        live = Ontology(onto.source, config)
+        state = stores.RunState(str(tmp_path / "state.json"), "r", "f", "c", at)
+        result = run_live(planner(spark, live), client, str(tmp_path / "cache.json"), state, "r", "2024-01-01")
+    finally:
+        server.shutdown()
+    assert (result["items_created"], result["status"], len(items), result["errors"]) == (4, "completed", 4, 0)
+    assert result["statements_added"] == len(claims) and result["retries"] == 1
+    names = {i[0]["labels"][k]["value"]: q for q, i in items.items() for k in i[0]["labels"]}
+    assert (names["thing one"], "P1", {"entity-type": "item", "id": names["Widget"]}) in claims
+    assert stores.load_cache(spark, tmp_path / "cache.json")[0].count() == 4
+    with pytest.raises(DryRunError):
+        run_live(planner(spark, onto), client, str(tmp_path / "x.json"), state, "r", "t")
+
+
 def test_reports(spark, onto, tmp_path):
     p = planner(spark, onto)
     plan = p.plan()
@@ -306,4 +372,4 @@ def test_reports(spark, onto, tmp_path):
 def test_config():
     a, b = Config(), Config(update_labels=False)
     assert a.config_hash() == Config(report_dir="x").config_hash() != b.config_hash()
-    assert Credentials(password="x").describe_safe()["password"] == "set"
+    assert Credentials(password="x").describe_safe()["password"] == "<redacted>"
