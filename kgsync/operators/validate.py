@@ -1,4 +1,7 @@
-"""Findings: (check, severity, message, source_identifier, details as JSON)."""
+"""Findings: (check, severity, message, source_identifier, details as JSON).
+
+Fixed values: the names of checks, their severities and the texts of messages, which readers of reports know.
+"""
 
 from __future__ import annotations
 

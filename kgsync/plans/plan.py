@@ -5,6 +5,8 @@ aliases; pass B compares statements. Both are joins; rows are a bag, all columns
 
 Left joins whose key may be missing use a key of the row's own instead of null, so that rows without a
 partner are spread like all others.
+
+Fixed values: the names of actions and the texts of reasons, which readers of plans know.
 """
 
 from __future__ import annotations
