@@ -19,6 +19,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .html_tree import Maker, Node, parse
 
@@ -232,4 +233,4 @@ def _extract(model: Boosted):
 
 def main_text(pages: DataFrame, model: Boosted | None = None) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
-    return pages.select("page_id", "url", "html").mapInArrow(_extract(model or train()), SCHEMA)
+    return pages.select(F.col("page_id").cast("long"), "url", "html").mapInArrow(_extract(model or train()), SCHEMA)

@@ -23,6 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .bpe_ids import Encoder, ranks_path, tokenizer_path
 
@@ -30,7 +31,7 @@ LENGTH = 2048
 END_ID = 1
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: Texts that are tokenized together, so that a batch of long ones is never held as ids at once.
-GROUP_CHARS = 8 << 20
+GROUP_CHARS = 4 << 20
 
 
 class Packer:
@@ -141,4 +142,4 @@ def pack(docs: DataFrame, path: str | None = None, ranks: str | None = None, len
     """
     if path is None:
         path, ranks = tokenizer_path(), ranks_path()
-    return docs.select("doc_id", "text").mapInArrow(_pack(path, ranks, length, end_id), SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_pack(path, ranks, length, end_id), SCHEMA)
