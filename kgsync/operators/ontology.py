@@ -16,6 +16,7 @@ from ..functions.hashing import entity_hash, statement_hash, statement_json
 from ..functions.identifiers import normalize, normalized_local_name, property_key, squeeze, strip
 from ..sources.triples import Predicates
 from ..terms import DESCRIPTIONS, LABEL, META_TYPES, NOTHING, OWL, PROPERTY_TYPES, RDF_TYPE, SUB_CLASS_OF, THING, TYPE_PRECEDENCE
+from .numbering import checkpointed
 
 
 def entity_type(types: Column) -> Column:
@@ -58,22 +59,48 @@ class Ontology:
         typed = self.type_triples().where(F.col("s_kind") == "iri").where(F.col("o").isin(OWL + "Class", OWL + "NamedIndividual"))
         return typed.groupBy("s").agg(F.min(ranked_type(F.col("o")))["name"].alias("entity_type")).select("s", normalize(F.col("s")).alias("canonical_id"), "entity_type", normalized_local_name(F.col("s")).alias("local_name"))
 
+    @cached_property
+    def named_subjects(self) -> DataFrame:
+        """Subjects with `label` (that of the default language, else of the least language, else the local name) and whether they have any. Types and labels meet by subject."""
+        text, lang = F.col("text"), F.col("lang")
+        chosen = self.language_values(Predicates((LABEL,))).groupBy("s").agg(F.min(F.when(lang == self.config.default_language, text)).alias("own"), F.min(F.struct(lang, text))["text"].alias("other"))
+        return self.subjects.join(chosen, "s", "left").select(*self.subjects.columns, F.coalesce("own", "other", "local_name").alias("label"), F.col("other").isNotNull().alias("labeled"))
+
+    def settle(self) -> Ontology:
+        """Write the named subjects down, once, for all that builds on them in one plan or several."""
+        if not self.__dict__.get("settled"):
+            self.settled = True
+            self.named_subjects = checkpointed(self.named_subjects)
+            self.subjects = self.named_subjects.drop("label", "labeled")
+        return self
+
     def _of_subjects(self, triples: DataFrame) -> DataFrame:
         return triples.join(self.subjects.select("s"), "s", "left_semi")
 
     # ---- owl:Thing
 
+    @cached_property
+    def has_thing(self) -> bool:
+        """Whether a class has owl:Thing above it. Asked for once, so that no plan carries the question along."""
+        above = self.source.scan(Predicates((SUB_CLASS_OF,))).where("o_kind = 'iri'").where(normalize(F.col("o")) == THING)
+        return not self._of_subjects(above).isEmpty()
+
     @cached_property
     def thing(self) -> DataFrame:
-        """One row like those of `subjects` if a class has owl:Thing above it, else none. It is added even if it is declared."""
-        above = self._of_subjects(self.source.scan(Predicates((SUB_CLASS_OF,))).where("o_kind = 'iri'").where(normalize(F.col("o")) == THING))
-        return above.limit(1).select(F.lit(THING).alias("s"), F.lit(THING).alias("canonical_id"), F.lit("OwlClass").alias("entity_type"), F.lit("Thing").alias("local_name"))
+        """One row like those of `subjects`, or none. It is added even if it is declared."""
+        spark = self.subjects.sparkSession
+        return spark.createDataFrame([(THING, THING, "OwlClass", "Thing")] if self.has_thing else [], "s string, canonical_id string, entity_type string, local_name string")
 
     @cached_property
     def entities(self) -> DataFrame:
         """`subjects` and the synthesized owl:Thing; `is_thing` tells it apart."""
         return self.subjects.withColumn("is_thing", F.lit(False)).unionByName(self.thing.withColumn("is_thing", F.lit(True)))
 
+    @cached_property
+    def display_labels(self) -> DataFrame:
+        """Entities with `label` and `labeled`."""
+        return self.named_subjects.withColumn("is_thing", F.lit(False)).unionByName(self.thing.select("*", F.lit("Thing").alias("label"), F.lit(True).alias("labeled"), F.lit(True).alias("is_thing")))
+
     # ---- values by language
 
     def language_values(self, keep: Predicates) -> DataFrame:
@@ -116,14 +143,6 @@ class Ontology:
     def aliases(self) -> DataFrame:
         return self._of_subjects(self.all_aliases)
 
-    @cached_property
-    def display_labels(self) -> DataFrame:
-        """Entities with `label`: that of the default language, else of the least language, else the local name. Types and labels meet by subject, in one exchange each."""
-        text, lang = F.col("text"), F.col("lang")
-        chosen = self.language_values(Predicates((LABEL,))).groupBy("s").agg(F.min(F.when(lang == self.config.default_language, text)).alias("own"), F.min(F.struct(lang, text))["text"].alias("other"))
-        own = self.subjects.join(chosen, "s", "left").select(*self.subjects.columns, F.lit(False).alias("is_thing"), F.coalesce("own", "other", "local_name").alias("label"))
-        return own.unionByName(self.thing.select("*", F.lit(True).alias("is_thing"), F.lit("Thing").alias("label")))
-
     @cached_property
     def property_labels(self) -> DataFrame:
         """(canonical_id, label) of declared properties: of the least language, the least."""
@@ -141,10 +160,14 @@ class Ontology:
     @cached_property
     def all_statements(self) -> DataFrame:
         """The same of whatever has any."""
+        return self.statements_of(None)
+
+    def statements_of(self, keep: Predicates | None) -> DataFrame:
+        """Those of some predicates."""
         about = Predicates((LABEL, *DESCRIPTIONS), self.alias_predicates.local_names, other=True)
         p, o = F.col("p"), F.col("o")
         trivial = ((p == RDF_TYPE) & o.isin(META_TYPES)) | ((p == SUB_CLASS_OF) & (o == NOTHING))
-        rows = self.source.scan(about).where(~trivial)
+        rows = (self.source.scan(about) if keep is None else self.source.scan(keep).where(about.column(p))).where(~trivial)
         kind = F.when(F.col("o_kind") == "literal", "literal").when(F.col("o_kind") == "bnode", "blank_node").otherwise("resource")
         value = F.when(F.col("o_kind") == "literal", strip(o)).when(F.col("o_kind") == "bnode", F.concat(F.lit("_:"), o)).otherwise(normalize(o))
         literal = lambda c: F.when(F.col("o_kind") == "literal", F.nullif(F.col(c), F.lit("")))
@@ -178,6 +201,7 @@ class Ontology:
 
     def nested(self) -> DataFrame:
         """One row for each entity with maps of labels, descriptions and aliases, an array of statements, and the content hash."""
+        self.settle()
         by = ["s", "is_thing"]
         flag = lambda df: df.withColumn("is_thing", F.lit(False))
         as_map = lambda df, name: df.groupBy(*by).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("lang", "text")))).alias(name))

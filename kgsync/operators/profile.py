@@ -27,7 +27,7 @@ def entity_type_counts(onto: Ontology) -> DataFrame:
 
 
 def unlabeled(onto: Ontology) -> DataFrame:
-    return onto.entities.join(onto.labels.select("s", "is_thing"), ["s", "is_thing"], "left_anti")
+    return onto.display_labels.where("not labeled").drop("label", "labeled")
 
 
 def unlabeled_sample(onto: Ontology, n: int = 25) -> DataFrame:
@@ -37,6 +37,7 @@ def unlabeled_sample(onto: Ontology, n: int = 25) -> DataFrame:
 
 def ontology_statistics(onto: Ontology, mapping: DataFrame) -> DataFrame:
     """(metric, value): counts as text, lists as JSON text. The graph is passed over once for its counts, exact distinct ones included."""
+    onto.settle()
     triples = onto.source.scan()
     p, o = F.col("p"), F.col("o")
     node = lambda kind, term: F.struct(kind, term)

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.identifiers import WELL_FORMED, is_malformed, strip
-from ..terms import ATTENTION, FINDING_COLUMNS, RESOURCE_DATATYPES, SEVERITIES
+from ..sources.triples import Predicates
+from ..terms import ATTENTION, FINDING_COLUMNS, RDF_TYPE, RESOURCE_DATATYPES, SEVERITIES, SUB_CLASS_OF
 from .ontology import Ontology
 from .profile import duplicate_labels, predicate_usage, unlabeled
 
@@ -101,19 +102,28 @@ def duplicate_canonical_ids(onto: Ontology) -> DataFrame:
     return onto.entities.groupBy("canonical_id").agg(F.count("*").alias("n")).where("n > 1")
 
 
-def mapped_statements(onto: Ontology, mapping: DataFrame) -> DataFrame:
+def mapped_statements(onto: Ontology, mapping: DataFrame, statements: DataFrame | None = None) -> DataFrame:
     """Statements with pid, wikibase_datatype and whether there is an entry. The map is small and Spark, which knows its size, broadcasts it."""
     entry = mapping.select(F.col("source_predicate").alias("map_key"), F.nullif("pid", F.lit("")).alias("pid"), F.nullif("wikibase_datatype", F.lit("")).alias("wikibase_datatype"), F.lit(True).alias("has_entry"))
-    return onto.statements.join(entry, "map_key", "left").withColumn("has_entry", F.coalesce("has_entry", F.lit(False)))
+    return (onto.statements if statements is None else statements).join(entry, "map_key", "left").withColumn("has_entry", F.coalesce("has_entry", F.lit(False)))
+
+
+def item_predicates(mapping: DataFrame) -> Predicates:
+    """The predicates that point to items, as far as their keys tell. The map is kept by hand: a row for each predicate."""
+    keys = [r[0] for r in mapping.where("wikibase_datatype = 'wikibase-item'").select("source_predicate").collect()]
+    fixed = {"rdf:type": RDF_TYPE, "rdfs:subClassOf": SUB_CLASS_OF}
+    return Predicates(tuple(fixed[k] for k in keys if k in fixed), tuple(k.lower() for k in keys if k not in fixed))
 
 
 def unresolved_objects(onto: Ontology, mapping: DataFrame) -> DataFrame:
     """Statements whose object should be an item of ours and is none."""
     known = onto.entities.select(F.col("canonical_id").alias("value")).distinct()
-    return mapped_statements(onto, mapping).where("value_kind = 'resource' and wikibase_datatype = 'wikibase-item'").join(known, "value", "left_anti")
+    pointing = onto.statements_of(item_predicates(mapping)).where("value_kind = 'resource'").join(known, "value", "left_anti")
+    return mapped_statements(onto, mapping, pointing.join(onto.subjects.select("s"), "s", "left_semi")).where("wikibase_datatype = 'wikibase-item'")
 
 
 def quality_findings(onto: Ontology, mapping: DataFrame) -> DataFrame:
+    onto.settle()
     c, me = F.col, F.col("canonical_id")
     supported = [*onto.config.supported_languages, onto.config.default_language]
     of_entities = from_rows(

@@ -237,7 +237,10 @@ class Planner:
 
     def settle(self) -> None:
         """Write the resolution down, so that all that builds on it reads the same rows and none makes them again."""
-        self.resolution = checkpointed(self.resolution)
+        if not self.__dict__.get("settled"):
+            self.settled = True
+            self.onto.settle()
+            self.resolution = checkpointed(self.resolution)
 
     def plan(self) -> DataFrame:
         """All rows; `datavalue` is null but for statements."""
