@@ -29,7 +29,9 @@ def squeeze(text: Column) -> Column:
 
 def normalize(identifier: Column) -> Column:
     """An absolute identifier inside another one stands for the whole; http before https, each the first after the start."""
-    return F.regexp_replace(strip(identifier), r"(?s)^(?:.+?(?=http://)|.+?(?=https://))", "")
+    t = strip(identifier)
+    # nearly all identifiers have none inside, which a plain search tells
+    return F.when(F.locate("http", t, 2) > 0, F.regexp_replace(t, r"(?s)^(?:.+?(?=http://)|.+?(?=https://))", "")).otherwise(t)
 
 
 def _local(t: Column) -> Column:
