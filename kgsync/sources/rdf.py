@@ -19,6 +19,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from ..terms import RDF, RDF_TYPE, TRIPLES
 from .triples import TableSource
 
@@ -336,6 +337,7 @@ PARSERS = {"xml": parse_xml, "turtle": parse_turtle, "n3": parse_turtle, "json-l
 def read_documents(spark: SparkSession, path: str, syntax: str) -> DataFrame:
     """Triples of whole documents. Blank nodes carry their file's name, as they mean nothing outside it."""
     parse = PARSERS[syntax]
+    ship(spark)
 
     def run(batches):
         for batch in batches:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..config import Config, Credentials
 from ..functions.identifiers import escape_sparql
 from ..plans.execute import DryRunError
+from ..shipping import ship
 
 log = logging.getLogger("kgsync.remote")
 
@@ -140,6 +141,7 @@ class Client:
 
 def remote_matches(batches: DataFrame, make_client: Callable[[], Client], pid: str) -> DataFrame:
     """(identity_value, qid) of the batches (batch, canonical_id): one request for each batch, made where the batch lies."""
+    ship(batches.sparkSession)
 
     def run(parts):
         client = make_client()
