@@ -7,6 +7,8 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+
 #: ASCII white space: U+0020 and U+0009 to U+000D. Words are the runs of all other characters.
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -38,6 +40,12 @@ def lanes(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def arrow(df: DataFrame, function, schema) -> DataFrame:
+    """mapInArrow, for workers that can import this package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def let(value: Column, body) -> Column:
     """Evaluate `value` once and use it many times in `body` (a one-element transform)."""
     return F.transform(F.array(value), body)[0]

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import arrow
 from .html_tree import Maker, Node, parse
 
 TRAIN_PAGES, SEED = 900, 11
@@ -233,4 +234,4 @@ def _extract(model: Boosted):
 
 def main_text(pages: DataFrame, model: Boosted | None = None) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
-    return pages.select(F.col("page_id").cast("long"), "url", "html").mapInArrow(_extract(model or train()), SCHEMA)
+    return arrow(pages.select(F.col("page_id").cast("long"), "url", "html"), _extract(model or train()), SCHEMA)

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import arrow
+
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 WIDTH = 64
 IDAT_BYTES = 1 << 16
@@ -195,7 +197,7 @@ def _digest(batches):
 
 def media_digests(docs: DataFrame) -> DataFrame:
     """Stores each whole text as an image, reads the stored bytes back and describes both."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_digest, SCHEMA)
+    return arrow(docs.select(F.col("doc_id").cast("long"), "text"), _digest, SCHEMA)
 
 
 def media_columns(docs: DataFrame) -> DataFrame:
@@ -206,4 +208,4 @@ def media_columns(docs: DataFrame) -> DataFrame:
             images = [to_image(t.as_py()) for t in batch.column(1)]
             yield pa.record_batch({"doc_id": batch.column(0), "media": pa.array(map(encode_png, images), pa.binary()), "feature": pa.array([dct_hash(i).to_bytes(8, "big") for i in images], pa.binary())})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, media binary, feature binary")
+    return arrow(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, media binary, feature binary")

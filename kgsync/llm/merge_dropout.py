@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe_ids import gather, spaced_words
+from .common import arrow
 from .packing import groups
 from .token_counts import MARK, _PRE, check_model, model, model_path
 
@@ -296,7 +297,7 @@ def _encode(path: str, seed: int, rate: float):
 
 def encode_documents(docs: DataFrame, path: str | None = None, seed: int = SEED, rate: float = RATE) -> DataFrame:
     """Encodes every whole text and decodes it again. A space mark in a text reads back as a space, as in the library."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_encode(path or model_path(), seed, rate), SCHEMA)
+    return arrow(docs.select(F.col("doc_id").cast("long"), "text"), _encode(path or model_path(), seed, rate), SCHEMA)
 
 
 def token_ids(docs: DataFrame, path: str | None = None, seed: int = SEED, rate: float = RATE) -> DataFrame:
@@ -307,4 +308,4 @@ def token_ids(docs: DataFrame, path: str | None = None, seed: int = SEED, rate:
         for group in groups(batches):
             yield pa.record_batch({"doc_id": group.column(0), "ids": pa.array([m.encode(t.as_py() or "") for t in group.column(1)], pa.list_(pa.int32()))})
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids array<int>")
+    return arrow(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, ids array<int>")

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe_ids import Encoder, ranks_path, tokenizer_path
+from .common import arrow
 
 LENGTH = 2048
 END_ID = 1
@@ -142,4 +143,4 @@ def pack(docs: DataFrame, path: str | None = None, ranks: str | None = None, len
     """
     if path is None:
         path, ranks = tokenizer_path(), ranks_path()
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_pack(path, ranks, length, end_id), SCHEMA)
+    return arrow(docs.select(F.col("doc_id").cast("long"), "text"), _pack(path, ranks, length, end_id), SCHEMA)

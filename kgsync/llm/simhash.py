@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, lanes
+from .common import arrow, cut_lineage, lanes
 from .components import components
 
 SHINGLE, SEED, RADIUS, BLOCKS = 4, 42, 4, 6
@@ -107,7 +107,7 @@ def _fingerprint(batches):
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, fp (the fingerprint's 64 bits as a signed long)."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_fingerprint, "doc_id long, fp long")
+    return arrow(docs.select(F.col("doc_id").cast("long"), "text"), _fingerprint, "doc_id long, fp long")
 
 
 def _planes(fp: np.ndarray) -> np.ndarray:
@@ -252,7 +252,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataF
     dealt = rows.join(hot, ["choice", "key"], "left").withColumn("groups", F.coalesce("groups", F.lit(1))).select("choice", "key", F.explode(grid).alias("cell"), "fp", "node")
     # choice, key and cell as longs, so that a batch's keys are one array
     cells = dealt.select(F.col("choice").cast("long"), "key", "cell", "fp", "node").repartition(n, "choice", "key", "cell").sortWithinPartitions("choice", "key", "cell")
-    return cells.mapInArrow(_link(radius), "a long, b long")
+    return arrow(cells, _link(radius), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:

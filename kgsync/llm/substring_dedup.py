@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from .common import lanes
+from .common import arrow, lanes
 
 DIVISOR = 4
 WINDOW = 2
@@ -250,7 +250,7 @@ def repeated_places(docs: DataFrame) -> DataFrame:
     """(doc, key, places): for each document with repeats, the numbers of its repeated windows."""
     n = lanes(docs.sparkSession)
     keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text"), "text")
-    entries = keyed.mapInArrow(_entries(2 * n), "lane int, certain boolean, data binary")
+    entries = arrow(keyed, _entries(2 * n), "lane int, certain boolean, data binary")
     found = entries.repartition(n, "lane").mapInArrow(_repeats(2 * n), "group int, data binary")
     return found.repartition(n, "group").mapInArrow(_by_document, "doc long, key long, places array<int>")
 

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lanes
+from .common import arrow, lanes
 
 #: Distinct pre-tokens whose counts a task remembers before it starts afresh.
 MEMO = 400_000
@@ -215,6 +215,6 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = 4096) ->
     """doc_id, n_bytes, n_tokens, over_limit of every document; `path` is the model's file on every machine."""
     n = lanes(docs.sparkSession)
     path = path or model_path()
-    posted = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_postings(2 * n), "block string, lane int, is_header boolean, data binary, words binary")
+    posted = arrow(docs.select(F.col("doc_id").cast("long"), "text"), _postings(2 * n), "block string, lane int, is_header boolean, data binary, words binary")
     counted = posted.repartition(n, "lane").mapInArrow(_lookups(path), "block string, is_header boolean, data binary")
     return counted.repartition(n, "block").sortWithinPartitions("block").mapInArrow(_totals(limit), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")

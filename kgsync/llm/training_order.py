@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe_ids import Encoder, ranks_path, tokenizer_path
-from .common import checkpoint_dir
+from .common import arrow, checkpoint_dir
 from .packing import groups
 
 LENGTH, PER_SHARD = 2048, 8192
@@ -202,7 +202,7 @@ def materialise(docs: DataFrame, folder: str | None = None, path: str | None = N
         path, ranks = tokenizer_path(), ranks_path()
     work = f"{checkpoint_dir(spark)}/training-order-{uuid.uuid4().hex}"
     folder = folder or f"{work}/shards"
-    docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_make(path, ranks, length), TABLE).write.option("compression", "none").parquet(f"{work}/sequences")
+    arrow(docs.select(F.col("doc_id").cast("long"), "text"), _make(path, ranks, length), TABLE).write.option("compression", "none").parquet(f"{work}/sequences")
     table = spark.read.schema(TABLE).parquet(f"{work}/sequences")
     counted = table.groupBy("part").agg(F.sum("n").alias("n")).collect()  # one number for each input partition
     counts = np.zeros(max((r.part for r in counted), default=-1) + 1, np.int64)
