@@ -27,8 +27,9 @@ SKETCH_BITS = 6
 MIN_SUPPORT = 200
 #: Metric: (steps of the inter-quartile range beyond the quartiles, least width of a fence in the metric's unit).
 FENCES = {"symbols": (3, 500), "word_length": (3, 60), "dup_lines": (3, 4000)}
-#: Words a document needs before its mean word length says something.
-LENGTH_SUPPORT = 30
+#: Spread of the lengths of words, in the metric's unit. A mean of few words strays: a document's mean word
+#: length must lie outside its fences by over two standard errors of the mean of so many words.
+WORD_SPREAD = 300
 
 #: Up to so many groups (some 100 bytes each) their fences are sent to all tasks, and no text is shuffled; with more, documents and fences meet by group.
 BROADCAST_GROUPS = 20_000
@@ -139,10 +140,12 @@ def fences(sketch: DataFrame) -> DataFrame:
 
 
 def verdict() -> Column:
-    """True where every metric lies within its fences. Mean word length counts from LENGTH_SUPPORT words on."""
-    inside = lambda m, v: v.between(F.col(f"f.{m}_lo"), F.col(f"f.{m}_hi"))
+    """True where every metric lies within its fences, or, for the mean word length, so near that chance may have moved it."""
+    low, high = (lambda m: F.col(f"f.{m}_lo")), (lambda m: F.col(f"f.{m}_hi"))
     m = metrics()
-    return F.coalesce(inside("symbols", m["symbols"]) & inside("dup_lines", m["dup_lines"]) & (inside("word_length", m["word_length"]) | (F.col("q.n_words") < LENGTH_SUPPORT)), F.lit(True))
+    inside = lambda n: m[n].between(low(n), high(n))
+    stray = F.greatest(low("word_length") - m["word_length"], m["word_length"] - high("word_length"), F.lit(0))
+    return F.coalesce(inside("symbols") & inside("dup_lines") & (stray * stray * F.col("q.n_words") <= (2 * WORD_SPREAD) ** 2), F.lit(True))
 
 
 def judge(features: DataFrame, limits: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:

@@ -180,7 +180,7 @@ chosen AS (
 outside AS (
   SELECT m.doc_id, count(*) AS n FROM m JOIN chosen c ON c.lang = m.lang AND c.source = m.source AND c.k = 1
   WHERE (c.metric = 'symbols' AND m.symbols NOT BETWEEN c.lo AND c.hi) OR (c.metric = 'dup_lines' AND m.dup_lines NOT BETWEEN c.lo AND c.hi)
-    OR (c.metric = 'word_length' AND m.n_words >= 30 AND m.word_length NOT BETWEEN c.lo AND c.hi)
+    OR (c.metric = 'word_length' AND greatest(c.lo - m.word_length, m.word_length - c.hi, 0) ** 2 * m.n_words > 360000)
   GROUP BY m.doc_id)
 SELECT m.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
   CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, NOT base_failed AND o.n IS NULL AS kept
