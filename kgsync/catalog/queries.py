@@ -108,17 +108,30 @@ def convert_quantity(spark, d):
 _CONVERT = sql.converted("value_kind", "value", "dt", "language", "'Q' || length(value)")
 
 
-@query(
+_CONVERSIONS = (
     f"SELECT s, map_key, value, dt, {_CONVERT} AS comparable_value, CASE WHEN {_CONVERT} IS NULL THEN {sql.conversion_error('value_kind', 'value', 'dt', chr(39) + 'Q' + chr(39) + ' || length(value)')} END AS error "
-    "FROM (SELECT *, unnest(['wikibase-item', 'string', 'external-id', 'url', 'monolingualtext', 'time', 'quantity', 'commonsMedia', 'geo-shape']) AS dt FROM st WHERE s LIKE '%Supplier%' OR s LIKE '%Page%' OR s LIKE '%Nation%')"
+    "FROM (SELECT *, unnest(['wikibase-item', 'string', 'external-id', 'url', 'monolingualtext', 'time', 'quantity', 'commonsMedia', 'geo-shape']) AS dt FROM st"
 )
-def convert_values(spark, d):
+
+
+def conversions(statements: DataFrame) -> DataFrame:
+    """Each statement's value converted to each datatype, and to one that is not known."""
     kinds = [*values.DATATYPES, "geo-shape"]
-    some = onto(spark, d).statements.where("s like '%Supplier%' or s like '%Page%' or s like '%Nation%'")
-    out = some.withColumn("dt", F.explode(F.array(*map(F.lit, kinds)))).withColumn("c", values.convert(F.col("value_kind"), F.col("value"), F.col("dt"), F.col("language"), F.concat(F.lit("Q"), F.length("value"))))
+    out = statements.withColumn("dt", F.explode(F.array(*map(F.lit, kinds)))).withColumn("c", values.convert(F.col("value_kind"), F.col("value"), F.col("dt"), F.col("language"), F.concat(F.lit("Q"), F.length("value"))))
     return out.select("s", "map_key", "value", "dt", "c.comparable_value", "c.error")
 
 
+@query(f"{_CONVERSIONS} WHERE s LIKE '%Supplier%' OR s LIKE '%Page%' OR s LIKE '%Nation%')")
+def convert_values(spark, d):
+    """Of suppliers, pages and nations alone; convert_all_values is the whole."""
+    return conversions(onto(spark, d).statements.where("s like '%Supplier%' or s like '%Page%' or s like '%Nation%'"))
+
+
+@query(f"{_CONVERSIONS})")
+def convert_all_values(spark, d):
+    return conversions(onto(spark, d).statements)
+
+
 @query("SELECT qid, map_key, cmp AS comparable FROM have")
 def normalize_claims(spark, d):
     keys = mapping(spark).where("pid is not null").select("pid", F.col("source_predicate").alias("map_key"), "wikibase_datatype")
