@@ -3,7 +3,8 @@
 A gear hash rolls over the bytes of a text: 16 bits wide, so it depends on the last 16 bytes alone, which
 is what lets the boundaries of a passage fall into step again after an insertion before it. A chunk ends
 at a white-space byte whose hash (its upper half, which all 16 bytes reach) is 0 modulo DIVISOR, about every DIVISOR words, and never depends on
-where the chunk began. The digest of a window of WINDOW chunks (128 bits) stands for it; a window that
+where the chunk began. Of REACH words in a row none of which ends so, the one with the least hash ends a chunk
+(all of them, if several have it): a line that is repeated may hold no byte that fits. The digest of a window of WINDOW chunks (128 bits) stands for it; a window that
 occurred before, by (doc_id, place), marks its chunks as repeated. Runs of repeated chunks of at least
 MIN_WORDS words are cut out; the first occurrence stays.
 
@@ -34,6 +35,8 @@ from pyspark.sql.types import ArrayType, LongType
 from .common import arrow, lanes
 
 DIVISOR = 4
+#: Of so many words in a row, one ends a chunk.
+REACH = 6
 WINDOW = 2
 MIN_WORDS = 22
 #: Bytes after which a chunk ends even without a white-space byte that fits.
@@ -53,7 +56,17 @@ def cuts(raw: bytes) -> np.ndarray:
     h = _GEAR[b]
     for k in (1, 2, 4, 8):  # h[i] = sum of gear[b[i - j]] << j for j < 16, by doubling
         h[k:] = h[k:] + (h[:-k] << np.uint16(k))
-    ends = np.flatnonzero(_SPACE[b] & ((h >> np.uint16(8)) % DIVISOR == 0)) + 1
+    space = _SPACE[b]
+    fits = space & ((h >> np.uint16(8)) % DIVISOR == 0)
+    at = np.flatnonzero(fits | space & ~np.r_[True, space[:-1]])  # words' ends
+    if len(at) >= REACH:
+        rank = np.where(fits[at], np.uint16(0), h[at])  # over 0 where the byte does not fit
+        n = len(at) - REACH + 1
+        least = np.minimum.reduce([rank[k : k + n] for k in range(REACH)])
+        least = np.pad(least, REACH - 1)
+        at = at[rank == np.maximum.reduce([least[k : k + len(at)] for k in range(REACH)])]
+        fits[at] = True
+    ends = np.flatnonzero(fits) + 1
     ends = np.unique(np.r_[ends, len(raw)])
     gaps = np.diff(ends, prepend=0)
     if (gaps > LONGEST).any():
