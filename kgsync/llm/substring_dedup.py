@@ -4,9 +4,10 @@ A gear hash rolls over the bytes of a text: 16 bits wide, so it depends on the l
 is what lets the boundaries of a passage fall into step again after an insertion before it. A chunk ends
 at a white-space byte whose hash (its upper half, which all 16 bytes reach) is 0 modulo DIVISOR, about every DIVISOR words, and never depends on
 where the chunk began. Of REACH words in a row none of which ends so, the one with the least hash ends a chunk
-(all of them, if several have it): a line that is repeated may hold no byte that fits. The digest of a window of WINDOW chunks (128 bits) stands for it; a window that
-occurred before, by (doc_id, place), marks its chunks as repeated. Runs of repeated chunks of at least
-MIN_WORDS words are cut out; the first occurrence stays.
+(all of them, if several have it): a line that is repeated may hold no byte that fits. A window is a sequence of chunks of at least MIN_WORDS words that
+is no longer than it must be, from its first chunk on or back from its last one, so that a passage is covered up to
+both its ends. A digest (128 bits) stands for it; a window that occurred before, by (doc_id, place), is cut out: what
+goes lies in sequences of MIN_WORDS words that each occurred before as a whole. The first occurrence stays.
 
 1. Each Arrow batch of documents (a block) keeps one row of every digest that it holds twice: the later
    ones are repeats for certain. What is left goes, compressed by lane (a part of the digest), through one
@@ -37,7 +38,6 @@ from .common import arrow, lanes
 DIVISOR = 4
 #: Of so many words in a row, one ends a chunk.
 REACH = 6
-WINDOW = 2
 MIN_WORDS = 22
 #: Bytes after which a chunk ends even without a white-space byte that fits.
 LONGEST = 1024
@@ -76,12 +76,28 @@ def cuts(raw: bytes) -> np.ndarray:
     return ends
 
 
+def windows(raw: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The windows' first chunks, and the chunks after their last ones."""
+    if not raw:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    space = _SPACE[np.frombuffer(raw, np.uint8)]
+    begins = ~space & np.r_[True, space[:-1]]
+    before = np.r_[0, np.cumsum(begins)[ends - 1]]  # words that begin before each chunk, and in all
+    k = np.arange(len(before))
+    after = np.searchsorted(before, before + MIN_WORDS)
+    first = np.searchsorted(before, before - MIN_WORDS, side="right") - 1
+    forward, back = after < len(before), first >= 0
+    pairs = np.unique(np.r_[k[forward] * len(before) + after[forward], first[back] * len(before) + k[back]])
+    return pairs // len(before), pairs % len(before)
+
+
 def _digests(raw: bytes, ends: np.ndarray) -> bytes:
-    """16 bytes for each window of WINDOW chunks."""
+    """16 bytes for each window."""
     from xxhash import xxh3_128_digest
 
-    e = ends.tolist()
-    return b"".join([xxh3_128_digest(raw[a:b]) for a, b in zip([0, *e], e[WINDOW - 1 :], strict=False)])
+    starts = np.r_[0, ends]
+    first, after = windows(raw, ends)
+    return b"".join([xxh3_128_digest(raw[a:b]) for a, b in zip(starts[first].tolist(), starts[after].tolist(), strict=True)])
 
 
 def _order(digest: np.ndarray, doc: np.ndarray, key: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -217,18 +233,14 @@ def _by_document(batches):
 def spans(raw: bytes, places) -> list[tuple[int, int]]:
     """Byte ranges to cut out, given the numbers of the repeated windows."""
     ends = cuts(raw)
-    marked = np.zeros(len(ends) + 1, bool)
+    first, after = windows(raw, ends)
     places = np.unique(np.asarray(places, np.int64))
-    for k in range(WINDOW):
-        marked[places + k] = True
-    flips = np.flatnonzero(np.diff(np.r_[False, marked, False].astype(np.int8)))
+    depth = np.zeros(len(ends) + 1, np.int64)
+    np.add.at(depth, first[places], 1)
+    np.add.at(depth, after[places], -1)
+    flips = np.flatnonzero(np.diff(np.r_[False, np.cumsum(depth) > 0].astype(np.int8)))
     starts = np.r_[0, ends]
-    out = []
-    for a, b in zip(flips[::2].tolist(), flips[1::2].tolist(), strict=True):
-        x, y = int(starts[a]), int(starts[min(b, len(ends))])
-        if len(raw[x:y].split()) >= MIN_WORDS:
-            out.append((x, y))
-    return out
+    return [(int(starts[a]), int(starts[b])) for a, b in zip(flips[::2], flips[1::2], strict=True)]
 
 
 def cut(text: str, places) -> tuple[str, list[tuple[int, int]]]:

@@ -40,3 +40,16 @@ def test_passages_of_a_repeated_line(spark):
         passage = shapes[i // 2][0] * shapes[i // 2][1]
         assert sum(want[i]) == passage
         assert len(texts[i].split()) - len(left[i]) >= passage // 2, shapes[i // 2]
+
+
+def test_what_goes_occurred_before_in_one_place(spark):
+    """Short repeats from several documents, side by side, are no passage."""
+    rng = random.Random(12)
+    texts = []
+    for _ in range(60):
+        parts = [words(rng, 18) for _ in range(3)]
+        texts += [f"{words(rng, 40)} {p} {words(rng, 40)}" for p in parts]
+        texts.append(f"{words(rng, 40)} {' '.join(parts)} {words(rng, 40)}")
+    assert not any(map(any, repeated(texts, 22)))
+    df = spark.createDataFrame([(i, t, "en", "a") for i, t in enumerate(texts)], SCHEMA)
+    assert [r.text for r in substring_dedup.documents(df).select("doc_id", "text").orderBy("doc_id").collect()] == texts
