@@ -101,8 +101,9 @@ def _fingerprint(batches):
     for batch in batches:
         for i in range(0, batch.num_rows, 512):
             part = batch.slice(i, 512)
-            fp = fingerprints_of(x.as_py() for x in part.column(1))
-            yield pa.record_batch({"doc_id": part.column(0), "fp": pa.array(fp.view(np.int64))})
+            *others, _ = part.schema.names
+            fp = fingerprints_of(x.as_py() for x in part.column("text"))
+            yield pa.record_batch({**{c: part.column(c) for c in others}, "fp": pa.array(fp.view(np.int64))})
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -265,10 +266,19 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS)
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each component, with all its columns: the one with the least doc_id. Rows without doc_id stay."""
-    kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    # rows that share a doc_id: the least text stays, and of equals one
-    by = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first())
-    taken = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), "doc_id", "text")
-    chosen = taken.join(kept, "doc_id", "left_semi").withColumn("n", F.row_number().over(by)).where("n = 1")
+    """One row of each component of fingerprints, with all its columns: one with the least doc_id. Rows without doc_id stay.
+
+    Rows that share a doc_id are told apart by their texts: each stands for its own component. Of several
+    texts with the least doc_id in one component, the one with the least hash stays.
+    """
+    key = F.xxhash64("text").alias("key")
+    keyed = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), key, "text")
+    printed = arrow(keyed, _fingerprint, "doc_id long, key long, fp long")
+    nodes = cut_lineage(printed.groupBy("fp").agg(F.min(F.struct("doc_id", "key")).alias("least")).select("fp", F.col("fp").alias("node"), "least"))
+    found = components(links(nodes))
+    kept = nodes.join(found, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("least").alias("least")).select("least.*")
+    # of rows with the same doc_id and text one stays
+    by = Window.partitionBy("doc_id", "key").orderBy(F.col("text").asc_nulls_first())
+    taken = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.col("doc_id").cast("long"), key, "text")
+    chosen = taken.join(kept, ["doc_id", "key"], "left_semi").withColumn("n", F.row_number().over(by)).where("n = 1")
     return chosen.select("doc.*").unionByName(docs.where("doc_id is null"))
