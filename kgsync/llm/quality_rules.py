@@ -4,32 +4,40 @@ Every document gets word statistics. For each (lang, source) a mergeable quantil
 is kept: a log-linear histogram whose buckets are exact below 2**SKETCH_BITS and at most 2**-SKETCH_BITS
 wide relative to their value above. Sketches merge by adding counts, so Spark's partial aggregation
 builds them, a hot source costs no more than any other, and the sketches of a language (or of all rows)
-are sums of those of its sources. The fences that follow from the quantiles replace fixed cutoffs; a
-join of documents and fences then decides.
+are sums of those of its sources.
 
-Null texts count as empty; null lang or source count as ''. Extra columns are kept. Repeated rows are
-judged alike. An empty table gives an empty table.
+The thresholds replace fixed cutoffs: fences REACH inter-quartile ranges beyond the quartiles of a group's
+own sketch. No number in them has a metric's unit. Each group's fences are a mean of its own and those of
+its language, weighted by its number of documents against PRIOR, and those of a language likewise a mean
+with those of all rows: a small group leans on what surrounds it, a large one stands for itself, without a
+size at which one turns into the other. A document joins its group's fences; one unusual value may be
+chance, so it is rejected if VOTES of its metrics lie outside.
+
+Null texts count as empty; null lang or source count as ''. Values on a fence lie inside. Extra columns are
+kept, whatever their names. Repeated rows are judged alike. An empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, cut_lineage, let
+from .common import SPACES, cut_lineage, let, write_down
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 SKETCH_BITS = 6
-#: A group with fewer documents takes the fences of its language, and that of all rows if the language has as few.
-MIN_SUPPORT = 200
-#: Metric: (steps of the inter-quartile range beyond the quartiles, least width of a fence in the metric's unit).
-FENCES = {"symbols": (3, 500), "word_length": (3, 60), "dup_lines": (3, 4000)}
-#: Spread of the lengths of words, in the metric's unit. A mean of few words strays: a document's mean word
-#: length must lie outside its fences by over two standard errors of the mean of so many words.
-WORD_SPREAD = 300
+#: Steps of the inter-quartile range from the quartiles to the fences, as a fraction: the usual 1.5.
+REACH = (3, 2)
+#: Documents that a group's surroundings count for.
+PRIOR = 50
+#: Metrics outside their fences that reject a document.
+VOTES = 2
+#: Fences are whole numbers in so many parts of a metric's unit, so that means are exact everywhere.
+SCALE = 64
+METRICS = ["symbols", "word_length", "dup_lines"]
 
 #: Up to so many groups (some 100 bytes each) their fences are sent to all tasks, and no text is shuffled; with more, documents and fences meet by group.
 BROADCAST_GROUPS = 20_000
@@ -73,7 +81,8 @@ def with_features(docs: DataFrame, text: str = "text") -> DataFrame:
     line_counts = let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup")))
     word_counts = let(words_of(t), lambda w: F.struct(F.size(w).cast("long").alias("n"), _repeat_words(w).alias("rep")))
     # a generated row is computed once; an alias would be computed again wherever the optimizer moves a condition on it
-    counted = docs.select("*", F.explode(F.array(F.struct(word_counts.alias("w"), line_counts.alias("l"), chars(SPACES).cast("long").alias("word_chars"), (F.length(t) - chars(SYMBOLS)).cast("long").alias("n_symbols")))).alias("q0"))
+    word_chars, symbols = chars(SPACES).cast("long").alias("word_chars"), (F.length(t) - chars(SYMBOLS)).cast("long").alias("n_symbols")
+    counted = docs.select("*", F.explode(F.array(F.struct(word_counts.alias("w"), line_counts.alias("l"), word_chars, symbols))).alias("q0"))
     c = F.col
     q = F.struct(c("q0.w.n").alias("n_words"), c("q0.word_chars"), c("q0.n_symbols"), c("q0.l.dup").alias("n_dup_lines"), c("q0.w.rep").alias("n_repeat_words"), c("q0.l.n").alias("n_lines"))
     return counted.withColumn("q", q).drop("q0")
@@ -112,53 +121,50 @@ def sketches(features: DataFrame, lang: str = "lang", source: str = "source") ->
 
 
 def fences(sketch: DataFrame) -> DataFrame:
-    """(lang, source, <metric>_lo, <metric>_hi) for every group in the sketches."""
-    from pyspark.sql import Window
-
+    """(lang, source, <metric>_lo, <metric>_hi) in 1/SCALE of a unit, for every group in the sketches."""
     levels = [["lang", "source"], ["lang"], []]
     marked = [
-        sketch.groupBy(*keys, "metric", "low").agg(F.sum("n").alias("n")).select(*((F.col(k) if k in keys else F.lit(None).cast("string")).alias(k) for k in levels[0]), F.lit(i).alias("level"), "metric", "low", "n")
+        sketch.groupBy(*keys, "metric", "low")
+        .agg(F.sum("n").alias("n"))
+        .select(*((F.col(k) if k in keys else F.lit("")).alias(k) for k in levels[0]), F.lit(i).alias("level"), "metric", "low", "n")
         for i, keys in enumerate(levels)
     ]
     by = Window.partitionBy("level", "lang", "source", "metric")
     running = reduce(DataFrame.unionByName, marked).select("*", F.sum("n").over(by.orderBy("low")).alias("cum"), F.sum("n").over(by).alias("total"))
     at = lambda p: F.min(F.when(F.col("cum") * 100 >= F.col("total") * p, F.col("low")))
     q = running.groupBy("level", "lang", "source", "metric", "total").agg(at(25).alias("q25"), at(75).alias("q75"))
-    width = lambda name, i: F.greatest(F.lit(FENCES[name][i] if i else 0), (F.col("q75") - F.col("q25")) * FENCES[name][0])
-    fence = reduce(lambda c, name: c.when(F.col("metric") == name, width(name, 1)), FENCES, F.when(F.lit(False), F.lit(0)))
-    wide = (
-        q.select("level", "lang", "source", "metric", "total", (F.col("q25") - fence).alias("lo"), (F.col("q75") + fence).alias("hi"))
-        .groupBy("level", "lang", "source", "total")
-        .agg(*(F.max(F.when(F.col("metric") == m, F.col(e))).alias(f"{m}_{e}") for m in FENCES for e in ("lo", "hi")))
-    )
-    names = [f"{m}_{e}" for m in FENCES for e in ("lo", "hi")]
-    steps = F.array(*(F.struct(F.lit(i).alias("level"), *((F.col(k) if k in keys else F.lit("")).alias(f"k_{k}") for k in levels[0])) for i, keys in enumerate(levels)))
-    asked = sketch.select("lang", "source").distinct().select("lang", "source", F.explode(steps).alias("s")).select("lang", "source", "s.*")
-    found = wide.select("level", F.coalesce("lang", F.lit("")).alias("k_lang"), F.coalesce("source", F.lit("")).alias("k_source"), "total", *names)
-    usable = asked.join(found, ["level", "k_lang", "k_source"]).where((F.col("total") >= MIN_SUPPORT) | (F.col("level") == len(levels) - 1))
-    return usable.groupBy("lang", "source").agg(F.min_by(F.struct(*names), "level").alias("f")).select("lang", "source", "f.*")
+    reach = F.expr(f"(q75 - q25) * {SCALE * REACH[0] // REACH[1]}")
+    q = q.select("level", "lang", "source", "metric", "total", F.greatest(F.lit(0), F.col("q25") * SCALE - reach).alias("lo"), (F.col("q75") * SCALE + reach).alias("hi"))
+
+    def blended(own: DataFrame, around: DataFrame, keys: list[str]) -> DataFrame:
+        around = around.select(*keys, "metric", F.col("lo").alias("lo_"), F.col("hi").alias("hi_"))
+        mean = lambda e: F.expr(f"(total * {e} + {PRIOR} * {e}_) div (total + {PRIOR})").alias(e)
+        return own.join(around, [*keys, "metric"]).select("lang", "source", "metric", mean("lo"), mean("hi"))
+
+    own, language, everything = (q.where(F.col("level") == i) for i in range(3))
+    found = blended(own, blended(language, everything, []), ["lang"])
+    return found.groupBy("lang", "source").agg(*(F.max(F.when(F.col("metric") == m, F.col(e))).alias(f"{m}_{e}") for m in METRICS for e in ("lo", "hi")))
 
 
 def verdict() -> Column:
-    """True where every metric lies within its fences, or, for the mean word length, so near that chance may have moved it."""
-    low, high = (lambda m: F.col(f"f.{m}_lo")), (lambda m: F.col(f"f.{m}_hi"))
+    """True where fewer than VOTES metrics lie outside their fences."""
     m = metrics()
-    inside = lambda n: m[n].between(low(n), high(n))
-    stray = F.greatest(low("word_length") - m["word_length"], m["word_length"] - high("word_length"), F.lit(0))
-    return F.coalesce(inside("symbols") & inside("dup_lines") & (stray * stray * F.col("q.n_words") <= (2 * WORD_SPREAD) ** 2), F.lit(True))
+    votes = [(~(m[k] * SCALE).between(F.col(f"f.{k}_lo"), F.col(f"f.{k}_hi"))).cast("int") for k in METRICS]
+    return F.coalesce(reduce(Column.__add__, votes) < VOTES, F.lit(True))
 
 
 def judge(features: DataFrame, limits: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
     """Adds base_failed and kept. `limits` has one row per group and is cheap to read again; beyond BROADCAST_GROUPS a hot group is split by Spark."""
     few = limits.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
     limits = limits.select(F.col("lang").alias("f_lang"), F.col("source").alias("f_source"), F.struct(*(F.col(c) for c in limits.columns if c not in ("lang", "source"))).alias("f"))
-    joined = features.join(F.broadcast(limits) if few else limits, (F.coalesce(lang, F.lit("")) == F.col("f_lang")) & (F.coalesce(source, F.lit("")) == F.col("f_source")), "left")
+    met = (F.coalesce(lang, F.lit("")) == F.col("f_lang")) & (F.coalesce(source, F.lit("")) == F.col("f_source"))
+    joined = features.join(F.broadcast(limits) if few else limits, met, "left")
     return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & verdict()).drop("f_lang", "f_source", "f")
 
 
 def quality(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept of every document."""
-    features = cut_lineage(with_features(docs.select("doc_id", "lang", "source", "text")).drop("text"))
+    features = write_down(with_features(docs.select("doc_id", "lang", "source", "text")).drop("text"))
     judged = judge(features, cut_lineage(fences(sketches(features))))
     return judged.select("doc_id", *(F.col(f"q.{c}").alias(c) for c in FEATURES[:5]), "base_failed", "kept")
 

@@ -165,23 +165,21 @@ levels AS (
   SELECT 0 AS level, lang AS kl, source AS ks, metric, low FROM low
   UNION ALL SELECT 1, lang, '', metric, low FROM low UNION ALL SELECT 2, '', '', metric, low FROM low),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY level, kl, ks, metric ORDER BY low) AS r, count(*) OVER (PARTITION BY level, kl, ks, metric) AS total FROM levels),
+  SELECT *, row_number() OVER (PARTITION BY level, kl, ks, metric ORDER BY low) AS r, count(*) OVER (PARTITION BY level, kl, ks, metric) AS n FROM levels),
 q AS (
-  SELECT level, kl, ks, metric, total, min(CASE WHEN r * 100 >= total * 25 THEN low END) AS q25, min(CASE WHEN r * 100 >= total * 75 THEN low END) AS q75
+  SELECT level, kl, ks, metric, n, min(CASE WHEN r * 100 >= n * 25 THEN low END) AS q25, min(CASE WHEN r * 100 >= n * 75 THEN low END) AS q75
   FROM ranked GROUP BY ALL),
-fence AS (
-  SELECT *, greatest(CASE metric WHEN 'symbols' THEN 500 WHEN 'word_length' THEN 60 ELSE 4000 END, 3 * (q75 - q25)) AS width FROM q),
-groups AS (SELECT DISTINCT lang, source FROM low),
+fence AS (SELECT level, kl, ks, metric, n, greatest(0, 64 * q25 - 96 * (q75 - q25)) AS lo, 64 * q75 + 96 * (q75 - q25) AS hi FROM q),
+language AS (
+  SELECT l.kl, metric, (l.n * l.lo + 50 * a.lo) // (l.n + 50) AS lo, (l.n * l.hi + 50 * a.hi) // (l.n + 50) AS hi
+  FROM fence l JOIN fence a USING (metric) WHERE l.level = 1 AND a.level = 2),
 chosen AS (
-  SELECT g.lang, g.source, x.metric, x.q25 - x.width AS lo, x.q75 + x.width AS hi,
-    row_number() OVER (PARTITION BY g.lang, g.source, x.metric ORDER BY x.level) AS k
-  FROM groups g JOIN fence x ON (x.level = 0 AND x.kl = g.lang AND x.ks = g.source) OR (x.level = 1 AND x.kl = g.lang) OR x.level = 2
-  WHERE x.total >= 200 OR x.level = 2),
+  SELECT g.kl AS lang, g.ks AS source, metric, (g.n * g.lo + 50 * l.lo) // (g.n + 50) AS lo, (g.n * g.hi + 50 * l.hi) // (g.n + 50) AS hi
+  FROM fence g JOIN language l USING (kl, metric) WHERE g.level = 0),
 outside AS (
-  SELECT m.doc_id, count(*) AS n FROM m JOIN chosen c ON c.lang = m.lang AND c.source = m.source AND c.k = 1
-  WHERE (c.metric = 'symbols' AND m.symbols NOT BETWEEN c.lo AND c.hi) OR (c.metric = 'dup_lines' AND m.dup_lines NOT BETWEEN c.lo AND c.hi)
-    OR (c.metric = 'word_length' AND greatest(c.lo - m.word_length, m.word_length - c.hi, 0) ** 2 * m.n_words > 360000)
-  GROUP BY m.doc_id)
+  SELECT m.doc_id, count(*) AS n FROM m JOIN chosen c USING (lang, source)
+  WHERE 64 * CASE metric WHEN 'symbols' THEN m.symbols WHEN 'word_length' THEN m.word_length ELSE m.dup_lines END NOT BETWEEN lo AND hi
+  GROUP BY m.doc_id HAVING count(*) >= 2)
 SELECT m.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
   CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, NOT base_failed AND o.n IS NULL AS kept
 FROM m LEFT JOIN outside o ON o.doc_id = m.doc_id
