@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from kgsync.llm import bpe_ids, media, merge_dropout, packing, quality_rules, token_counts, training_order
 
+from . import brute
 from .helpers import edge_docs, edge_rows, empty_docs, text
 
 SF = "/root/testdata/sf0.001"
@@ -39,7 +40,7 @@ def test_pretokens(t):
 
 # ---- quality rules
 
-def brute(t):
+def base(t):
     w = WORD.findall(t or "")
     windows = [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
     n = Counter(windows)
@@ -53,7 +54,7 @@ def test_quality_base(spark):
     more = spark.createDataFrame([(100, "a b c d e a b c d e x y z", "en", "a"), (101, "a a a a a a a a a a a", "en", "a"), (102, text(5, 50) + " " + text(5, 7) + " end", "en", "a")], "doc_id long, text string, lang string, source string")
     df = edge_docs(spark).select("doc_id", "text", "lang", "source").union(more).union(small(spark).select("doc_id", "text", "lang", "source"))
     got = Counter(tuple(r)[:7] for r in quality_rules.quality(df).collect())
-    assert got == Counter((r.doc_id, *brute(r.text)) for r in df.collect())
+    assert got == Counter((r.doc_id, *base(r.text)) for r in df.collect())
     assert quality_rules.quality(empty_docs(spark)).count() == 0
 
 
@@ -76,6 +77,34 @@ def test_quality_filter_keeps_columns_and_clean_documents(spark):
     assert quality_rules.filter_documents(empty_docs(spark)).count() == 0
 
 
+def test_verdict_against_brute_force(spark):
+    rows = small(spark).select("doc_id", "text", "lang", "source").collect() + [r for r in edge_rows() if r[0] != 7]
+    rows += [(5000 + i, text(i, 40) + " #" * (i % 4) + " longerword" * (i % 9), "en", f"s{i % 3}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = Counter((r.doc_id, r.kept) for r in quality_rules.quality(df).collect())
+    want = brute.quality(rows)
+    assert got == Counter((r[0], k) for r, k in zip(rows, want, strict=True)) and len(set(want)) == 2
+
+
+def test_fences_follow_the_data(spark):
+    """No fence holds a number in a metric's unit: with all values times seven, every fence is seven times as far."""
+    rows = [("en", f"s{g}", "symbols", v, 1 + (v * 7 + g) % 5) for g in range(4) for v in range(10 + g, 60 + 9 * g)]
+    schema = "lang string, source string, metric string, low long, n long"
+    one, seven = ({r.source: (r.symbols_lo, r.symbols_hi) for r in quality_rules.fences(spark.createDataFrame([(*r[:3], k * r[3], r[4]) for r in rows], schema)).collect()} for k in (1, 7))
+    assert len(set(one.values())) == 4
+    for g, (lo, hi) in one.items():
+        assert abs(seven[g][0] - 7 * lo) <= 14 and abs(seven[g][1] - 7 * hi) <= 14
+
+
+def test_values_on_a_fence_lie_inside(spark):
+    """A document with a vote for its symbols, and mean word lengths on a fence and beside it."""
+    names = [f"{m}_{e}" for m in quality_rules.METRICS for e in ("lo", "hi")]
+    limits = spark.createDataFrame([("en", "a", 0, 0, 400 * 64, 500 * 64, 0, 0)], "lang string, source string, " + ", ".join(f"{n} long" for n in names))
+    q = "select 'en' lang, 'a' source, struct(100L n_words, {}L word_chars, 1L n_symbols, 0L n_dup_lines, 0L n_repeat_words, 1L n_lines) q"
+    rows = spark.sql(" union all ".join(q.format(n) for n in (399, 400, 500, 501)))
+    assert {r.q.word_chars: r.kept for r in quality_rules.judge(rows, limits).collect()} == {399: False, 400: True, 500: True, 501: False}
+
+
 # ---- token ids and packing
 
 TRICKY = ["", " ", "  a  b ", "it's  'll \n\n 12 \t x", "<|endoftext|> x  <|endoftext|>y", "x\x1c y \x85 z 漢字", "a b c", " lead", "trail ", "two\n lines", None, "a <|endoftext|> b a"]
@@ -248,12 +277,40 @@ def test_rate_zero_is_the_library():
 
 
 @pytest.mark.parametrize("rate", [0.1, 0.5, 1.0])
-def test_dropout_rows_agree_with_the_agenda_and_decode(rate):
+def test_dropout_against_brute_force(rate):
+    """Every occurrence by a plain agenda of its own, with the same draws."""
     m = merge_dropout.Model(merge_dropout.model_path(), 5, rate)
-    for t in [*(t for t in TRICKY if t), *(r[1] for r in edge_rows() if r[1])]:
-        ids = m.encode(t)
-        assert ids == [i for p in merge_dropout._PRE.findall("▁" + t.replace(" ", "▁")) for i in m.segment(p)[0]]
-        assert m.decode(ids) == t.replace("▁", " ")
+    for doc, t in enumerate([*(t for t in TRICKY if t), *(r[1][:9000] for r in edge_rows() if r[1]), "a▁b ▁ c", "x" * 200]):
+        pre = re.findall("▁+[^▁]*", "▁" + t.replace("▁", merge_dropout.LITERAL).replace(" ", "▁"))
+        want = []
+        keys = m.keys([doc], np.arange(len(pre)), np.array([len(pre)]))
+        for p, key in zip(pre, keys, strict=True):
+            draws = m.skips(key, np.arange(3 * len(p) + 1)).tolist()
+            symbols = brute.merge(p, m.score, draws.__getitem__)
+            want += [i for s in symbols for i in ([m.ids[s]] if s in m.ids else [m.byte[c] for c in s.replace(merge_dropout.LITERAL, "▁").encode()])]
+        ids = m.encode(t, doc)
+        assert ids == want
+        assert m.decode(ids) == t
+
+
+def test_a_word_varies_within_a_text_and_between_texts():
+    m = merge_dropout.Model(merge_dropout.model_path(), 1, 0.3)
+    pieces = lambda t, d: Counter(tuple(m.encode_group(pa.array([t]), [d])[0].tolist()) for _ in range(1))
+    alone = {tuple(m.encode("wonderful", d)) for d in range(40)}
+    assert len(alone) > 4 and {m.decode(x) for x in alone} == {"wonderful"}
+    ids, n = m.encode(" ".join(["wonderful"] * 40), 7), m.encode("wonderful", 7)
+    starts = [i for i, x in enumerate(ids) if m.pieces[x].startswith("▁")]
+    forms = {tuple(ids[a:b]) for a, b in zip(starts, [*starts[1:], len(ids)], strict=True)}
+    assert len(forms) > 4 and ids[: len(n)] == n
+    assert pieces("wonderful words", 3) == pieces("wonderful words", 3)
+
+
+def test_rate_is_the_share_of_skipped_candidates():
+    m = merge_dropout.Model(merge_dropout.model_path(), 3, 0.1)
+    words = text(77, 20_000)
+    skipped = int(m.encode_group(pa.array([words]), [1])[2][0])
+    merges = len(words.replace(" ", "")) + words.count(" ") + 1 - len(m.encode(words, 1))  # one for each symbol less
+    assert 0.09 < skipped / (skipped + merges) < 0.11
 
 
 def test_seeds_vary():
@@ -266,6 +323,8 @@ def test_encode_documents(spark):
     for df in (small(spark), edge_docs(spark)):
         rows = merge_dropout.encode_documents(df).collect()
         assert len(rows) == df.count() and all(r.lossless for r in rows)
+    marked = merge_dropout.encode_documents(edge_docs(spark), rate=0.0).where("not lossless").collect()
+    assert [r.doc_id for r in marked] == [11]
     assert merge_dropout.encode_documents(empty_docs(spark)).count() == 0
     ids = merge_dropout.token_ids(edge_docs(spark).where("doc_id = 1")).first().ids
     assert merge_dropout.Model(merge_dropout.model_path()).decode(ids) == edge_rows()[0][1]
