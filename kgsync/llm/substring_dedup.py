@@ -1,31 +1,44 @@
 """Substring deduplication by content-defined chunks.
 
 A gear hash rolls over the bytes of a text: 16 bits wide, so it depends on the last 16 bytes alone, which
-is what lets the boundaries of a passage fall into step again after an insertion before it. A chunk ends
-at a white-space byte whose hash (its upper half, which all 16 bytes reach) is 0 modulo DIVISOR, about every DIVISOR words, and never depends on
-where the chunk began. Of REACH words in a row none of which ends so, the one with the least hash ends a chunk
-(all of them, if several have it): a line that is repeated may hold no byte that fits. A window is a sequence of chunks of at least MIN_WORDS words that
-is no longer than it must be, from its first chunk on or back from its last one, so that a passage is covered up to
-both its ends. A digest (128 bits) stands for it; a window that occurred before, by (doc_id, place), is cut out: what
-goes lies in sequences of MIN_WORDS words that each occurred before as a whole. The first occurrence stays.
+is what lets the boundaries of a passage fall into step again after an insertion before it. Chunks end
+where the hash says so, never by where they began, and always between characters:
+
+- after a word, if the hash's upper half (which all 16 bytes reach) is 0 modulo DIVISOR, about every
+  DIVISOR words. Of REACH words in a row none of which ends so, the one with the least hash ends a chunk
+  (all of them, if several have it): a line that is repeated may hold no byte that fits.
+- in a run without white space (Chinese, Thai, minified code), after any character that has RUN bytes of
+  the run before it, if that half is 0 modulo RUN_DIVISOR, and of RUN_REACH such characters one at least
+  as well. Where the text is periodic, cuts of one hash follow each other closely; one in RUN_REACH stays.
+
+A window is a sequence of chunks as long as MIN_WORDS words, and no longer than it must be, from its first
+chunk on or back from its last one, so that a passage is covered up to both its ends. In a run the
+WORD_BYTES bytes beyond its first RUN count as a word. A digest (128 bits) stands for a window; one that
+occurred before, by (doc_id, place), is cut out: what goes lies in sequences of MIN_WORDS words that each
+occurred before as a whole. The first occurrence stays.
 
 1. Each Arrow batch of documents (a block) keeps one row of every digest that it holds twice: the later
-   ones are repeats for certain. What is left goes, compressed by lane (a part of the digest), through one
-   exchange. A passage that is in every document is one entry in a block, so it makes no hot key.
-2. The partition of a lane holds all remaining entries of its digests, and passes on the places of all but
-   the first of each.
-3. The places meet their documents, which are chunked again and cut.
+   ones are repeats for certain. What is left goes, compressed by lane (a part of the digest), through an
+   exchange. A passage that is in every document is one entry in a block, so it makes no hot key. There
+   are as many lanes as the input asks for (`common.deal`); beyond MOST_LANES each of that many coarse
+   lanes is dealt once more.
+2. A partition holds its lanes in order, one of them in memory at a time, and passes on the places of all
+   but the first entry of each digest, by groups of documents.
+3. A group's places are brought in order by document and meet their documents, which are chunked again and
+   cut.
 
 Documents are told apart by doc_id and a hash of their text: rows that repeat in full are one document
 and are cut alike. Null doc_id come first. Null texts stay null. All columns are kept, whatever their
-names. An empty table gives an empty table. Memory is bounded by a block, a lane's digests in a
-partition, and a text.
+names. An empty table gives an empty table. Memory is bounded by a block, a lane, a group of documents'
+places, and a text.
 """
 
 from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from itertools import groupby, islice
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -33,14 +46,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from .common import arrow, lanes
+from .common import MOST_LANES, arrow, deal, text_bytes, write_down
 
 DIVISOR = 4
 #: Of so many words in a row, one ends a chunk.
 REACH = 6
 MIN_WORDS = 22
-#: Bytes after which a chunk ends even without a white-space byte that fits.
-LONGEST = 1024
+#: Bytes of a run without white space before which it is a word like others.
+RUN = 32
+#: In a longer run: how rarely a character ends a chunk, of how many one does, and the bytes that count as a word.
+RUN_DIVISOR, RUN_REACH, WORD_BYTES = 16, 32, 6
 SEED = 7
 BLOCK_BYTES = 16 << 20
 _SPACE = np.zeros(256, bool)
@@ -48,44 +63,84 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _GEAR = np.random.default_rng(SEED).integers(0, 1 << 16, 256, dtype=np.uint16)
 
 
+def _hashes(b: np.ndarray) -> np.ndarray:
+    """h[i] = the sum of gear[b[i - j]] << j for j < 16, by doubling."""
+    h = _GEAR[b]
+    for k in (1, 2, 4, 8):
+        h[k:] = h[k:] + (h[:-k] << np.uint16(k))
+    return h
+
+
+def _least(h: np.ndarray, fits: np.ndarray, reach: int) -> np.ndarray:
+    """Which of the places are the least of some `reach` in a row, where those that fit are less than all others."""
+    if len(h) < reach:
+        return fits
+    rank = np.where(fits, np.uint16(0), h)
+    least = _running(np.minimum, rank, reach)
+    return rank == _running(np.maximum, np.pad(least, reach - 1), reach)
+
+
+def _running(op: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
+    """op over each `width` neighbours, by doubling."""
+    n, have = len(x) - width + 1, 1
+    while 2 * have <= width:
+        x = op(x[:-have], x[have:])
+        have *= 2
+    return op(x[:n], x[width - have : width - have + n])
+
+
+def _in_runs(b: np.ndarray, space: np.ndarray) -> np.ndarray:
+    """For each byte, how many bytes of its run without white space are before it, less RUN, plus one; 0 if none."""
+    i = np.arange(len(b))
+    last = np.maximum.accumulate(np.where(space, i, -1))
+    return np.maximum(i - last - RUN, 0)
+
+
+def _run_cuts(b: np.ndarray, h: np.ndarray, beyond: np.ndarray) -> np.ndarray:
+    """Bytes in runs after which a chunk ends."""
+    whole = np.r_[(b[1:] & 0xC0) != 0x80, True]  # the last byte of a character
+    at = np.flatnonzero((beyond > 0) & whole)
+    fits = (h[at] >> np.uint16(8)) % RUN_DIVISOR == 0
+    chosen = np.flatnonzero(_least(h[at], fits, RUN_REACH))
+    if len(chosen):
+        same = np.r_[False, (np.diff(h[at[chosen]].astype(np.int32)) == 0) & (np.diff(chosen) < RUN_REACH)]
+        begin = np.maximum.accumulate(np.where(same, 0, np.arange(len(chosen))))  # of the cuts of one hash
+        step = (chosen - chosen[begin]) // RUN_REACH
+        chosen = chosen[~same | np.r_[True, step[1:] != step[:-1]]]
+    return at[chosen]
+
+
 def cuts(raw: bytes) -> np.ndarray:
     """Ends of the chunks of a text's bytes, the last one its length."""
     if not raw:
         return np.zeros(0, np.int64)
     b = np.frombuffer(raw, np.uint8)
-    h = _GEAR[b]
-    for k in (1, 2, 4, 8):  # h[i] = sum of gear[b[i - j]] << j for j < 16, by doubling
-        h[k:] = h[k:] + (h[:-k] << np.uint16(k))
-    space = _SPACE[b]
-    fits = space & ((h >> np.uint16(8)) % DIVISOR == 0)
-    at = np.flatnonzero(fits | space & ~np.r_[True, space[:-1]])  # words' ends
-    if len(at) >= REACH:
-        rank = np.where(fits[at], np.uint16(0), h[at])  # over 0 where the byte does not fit
-        n = len(at) - REACH + 1
-        least = np.minimum.reduce([rank[k : k + n] for k in range(REACH)])
-        least = np.pad(least, REACH - 1)
-        at = at[rank == np.maximum.reduce([least[k : k + len(at)] for k in range(REACH)])]
-        fits[at] = True
-    ends = np.flatnonzero(fits) + 1
-    ends = np.unique(np.r_[ends, len(raw)])
-    gaps = np.diff(ends, prepend=0)
-    if (gaps > LONGEST).any():
-        long = gaps > LONGEST
-        extra = [np.arange(e - g + LONGEST, e, LONGEST) for e, g in zip(ends[long].tolist(), gaps[long].tolist(), strict=True)]
-        ends = np.unique(np.r_[ends, *extra])
-    return ends
+    h, space = _hashes(b), _SPACE[b]
+    at = np.flatnonzero(space & ~np.r_[True, space[:-1]])  # the bytes after words
+    ends = [at[_least(h[at], (h[at] >> np.uint16(8)) % DIVISOR == 0, REACH)] + 1, [len(raw)]]
+    if _has_run(space):
+        ends.append(_run_cuts(b, h, _in_runs(b, space)) + 1)
+    return np.unique(np.concatenate(ends)).astype(np.int64)
+
+
+def _has_run(space: np.ndarray) -> bool:
+    at = np.flatnonzero(space)
+    return bool(np.diff(at, prepend=-1, append=len(space)).max() > RUN + 1)
 
 
 def windows(raw: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The windows' first chunks, and the chunks after their last ones."""
     if not raw:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    space = _SPACE[np.frombuffer(raw, np.uint8)]
-    begins = ~space & np.r_[True, space[:-1]]
-    before = np.r_[0, np.cumsum(begins)[ends - 1]]  # words that begin before each chunk, and in all
+    b = np.frombuffer(raw, np.uint8)
+    space = _SPACE[b]
+    size = (~space & np.r_[True, space[:-1]]).astype(np.int64) * WORD_BYTES
+    if _has_run(space):
+        size += _in_runs(b, space) > 0
+    before = np.r_[0, np.cumsum(size)[ends - 1]]  # what begins before each chunk, and in all
     k = np.arange(len(before))
-    after = np.searchsorted(before, before + MIN_WORDS)
-    first = np.searchsorted(before, before - MIN_WORDS, side="right") - 1
+    after = np.searchsorted(before, before + MIN_WORDS * WORD_BYTES)
+    first = np.searchsorted(before, before - MIN_WORDS * WORD_BYTES, side="right") - 1
     forward, back = after < len(before), first >= 0
     pairs = np.unique(np.r_[k[forward] * len(before) + after[forward], first[back] * len(before) + k[back]])
     return pairs // len(before), pairs % len(before)
@@ -146,80 +201,124 @@ def _blocks(batches) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
         yield np.array(docs), np.array(keys), raws
 
 
+def _by_lane(n_lanes: int, digest: np.ndarray, row: np.ndarray, place: np.ndarray, docs: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """Entries of each lane, compressed."""
+    lane = (digest[:, 0] % np.uint64(n_lanes)).astype(np.int64)
+    by = np.lexsort((place, row, lane))
+    edges = np.r_[np.flatnonzero(np.diff(lane[by], prepend=-1)), len(by)]
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        part = by[a:b]
+        used, at = np.unique(row[part], return_inverse=True)
+        yield int(lane[part[0]]), _blob(digest[part].reshape(-1), docs[used], keys[used], np.diff(at, prepend=0).astype(np.uint32), place[part])
+
+
+def _lane_rows(found: Iterator[tuple[int, bool, bytes]]) -> Iterator[pa.RecordBatch]:
+    while part := list(islice(found, 256)):
+        a, b, c = zip(*part, strict=True)
+        yield pa.record_batch({"lane": pa.array(a, pa.int64()), "certain": pa.array(b), "data": pa.array(c, pa.binary())})
+
+
 def _entries(n_lanes: int):
     """Rows (lane, certain, data): entries by lane, and the places of certain repeats."""
 
+    def block(docs, keys, raws) -> Iterator[tuple[int, bool, bytes]]:
+        found = [_digests(raw, cuts(raw)) for raw in raws]
+        digest = np.frombuffer(b"".join(found), np.uint64).reshape(-1, 2)
+        counts = np.array([len(f) // 16 for f in found])
+        row = np.repeat(np.arange(len(raws)), counts)
+        place = (np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)).astype(np.uint32)
+        by, first = _order(digest, docs[row], keys[row], place)
+        repeat = np.sort(by[~first])
+        if len(repeat):
+            yield int(repeat[0] + len(raws)) % n_lanes, True, _blob(docs[row[repeat]], keys[row[repeat]], place[repeat])
+        # of an occurrence that is there again as a whole, one entry is enough
+        lone = np.ones(len(by), bool)
+        lone[1:] = (digest[by[1:]] != digest[by[:-1]]).any(axis=1)
+        keep = by[first & lone]
+        for lane, data in _by_lane(n_lanes, digest[keep], row[keep], place[keep], docs, keys):
+            yield lane, False, data
+
     def run(batches):
         for docs, keys, raws in _blocks(batches):
-            found = [_digests(raw, cuts(raw)) for raw in raws]
-            digest = np.frombuffer(b"".join(found), np.uint64).reshape(-1, 2)
-            counts = np.array([len(f) // 16 for f in found])
-            row = np.repeat(np.arange(len(raws)), counts)
-            place = (np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)).astype(np.uint32)
-            doc, key = docs[row], keys[row]
-            by, first = _order(digest, doc, key, place)
-            repeat = by[~first]
-            # of an occurrence that is there again as a whole, one entry is enough
-            lone = np.ones(len(by), bool)
-            lone[1:] = (digest[by[1:]] != digest[by[:-1]]).any(axis=1)
-            keep = by[first & lone]
-            lane = (digest[keep, 0] % np.uint64(n_lanes)).astype(np.int64)
-            keep = keep[np.lexsort((place[keep], row[keep], lane))]
-            lane = (digest[keep, 0] % np.uint64(n_lanes)).astype(np.int64)
-            edges = np.searchsorted(lane, np.arange(n_lanes + 1))
-            out = []
-            if len(repeat):
-                repeat = np.sort(repeat)
-                out.append((int(repeat[0] + len(raws)) % n_lanes, True, _blob(doc[repeat], key[repeat], place[repeat])))
-            for n in range(n_lanes):
-                part = keep[edges[n] : edges[n + 1]]
-                if len(part):
-                    used, at = np.unique(row[part], return_inverse=True)
-                    out.append((n, False, _blob(digest[part].reshape(-1), docs[used], keys[used], np.diff(at, prepend=0).astype(np.uint32), place[part])))
-            for i in range(0, len(out), 256):
-                a, b, c = zip(*out[i : i + 256], strict=True)
-                yield pa.record_batch({"lane": pa.array(a, pa.int32()), "certain": pa.array(b), "data": pa.array(c, pa.binary())})
+            yield from _lane_rows(block(docs, keys, raws))
+
+    return run
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, ...]:
+    digest, docs, keys, at, place = _unblob(data, "<u8", "<i8", "<i8", "<u4", "<u4")
+    at = np.cumsum(at, dtype=np.int64)
+    return digest.reshape(-1, 2), docs[at], keys[at], place
+
+
+def _deal_again(n_lanes: int):
+    """Entries of coarse lanes, gathered up to a block's size, by finer lanes."""
+
+    def block(parts) -> Iterator[tuple[int, bool, bytes]]:
+        digest, doc, key, place = (np.concatenate(p) for p in zip(*parts, strict=True))
+        for lane, data in _by_lane(n_lanes, digest, np.arange(len(place)), place, doc, key):
+            yield lane, False, data
+
+    def run(batches):
+        parts, size = [], 0
+        for batch in batches:
+            for certain, data in zip(batch.column("certain").to_pylist(), batch.column("data").to_pylist(), strict=True):
+                if certain:
+                    yield from _lane_rows(iter([(len(data) % n_lanes, True, data)]))
+                    continue
+                parts.append(_unpacked(data))
+                size += len(parts[-1][3])
+                if size * 16 > BLOCK_BYTES:
+                    yield from _lane_rows(block(parts))
+                    parts, size = [], 0
+        if parts:
+            yield from _lane_rows(block(parts))
 
     return run
 
 
 def _marks(n: int, doc, key, place) -> pa.RecordBatch:
-    """Places of repeated windows, one row for each of n groups of documents."""
+    """Places of repeated windows, one row for each group of documents that has any."""
     group = ((doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ key.astype(np.uint64)) % np.uint64(n)).astype(np.int64)
     by = np.argsort(group, kind="stable")
-    edges = np.searchsorted(group[by], np.arange(n + 1))
-    used = np.flatnonzero(np.diff(edges)).tolist()
-    data = [_blob(*(x[by[edges[g] : edges[g + 1]]] for x in (doc, key, place))) for g in used]
-    return pa.record_batch({"group": pa.array(used, pa.int32()), "data": pa.array(data, pa.binary())})
+    edges = np.r_[np.flatnonzero(np.diff(group[by], prepend=-1)), len(by)]
+    pairs = list(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True))
+    data = [_blob(*(x[by[a:b]] for x in (doc, key, place))) for a, b in pairs]
+    return pa.record_batch({"group": pa.array([int(group[by[a]]) for a, _ in pairs], pa.int64()), "data": pa.array(data, pa.binary())})
+
+
+def _in_order(batches, name: str) -> Iterator[tuple[int, Iterator]]:
+    """Rows with one value of the sorted first column, together."""
+    rows = (r for batch in batches for r in zip(batch.column(name).to_pylist(), *(batch.column(c) for c in batch.schema.names if c != name), strict=True))
+    return groupby(rows, key=itemgetter(0))
 
 
 def _repeats(n: int):
+    """The places of all entries but the first of each digest; the rows come in order of their lanes."""
+
     def run(batches):
-        parts: list[list[np.ndarray]] = []
-        for batch in batches:
-            for certain, data in zip(batch.column("certain").to_pylist(), batch.column("data").to_pylist(), strict=True):
-                if certain:
-                    yield _marks(n, *_unblob(data, "<i8", "<i8", "<u4"))
+        for _, rows in _in_order(batches, "lane"):
+            parts = []
+            for _, certain, data in rows:
+                if certain.as_py():
+                    yield _marks(n, *_unblob(data.as_py(), "<i8", "<i8", "<u4"))
                 else:
-                    digest, docs, keys, at, place = _unblob(data, "<u8", "<i8", "<i8", "<u4", "<u4")
-                    at = np.cumsum(at, dtype=np.int64)
-                    parts.append([digest.reshape(-1, 2), docs[at], keys[at], place])
-        if parts:
-            digest, doc, key, place = (np.concatenate(p) for p in zip(*parts, strict=True))
-            parts.clear()
-            by, first = _order(digest, doc, key, place)
-            repeat = by[~first]
-            yield _marks(n, doc[repeat], key[repeat], place[repeat])
+                    parts.append(_unpacked(data.as_py()))
+            if parts:
+                digest, doc, key, place = (np.concatenate(p) for p in zip(*parts, strict=True))
+                parts.clear()
+                by, first = _order(digest, doc, key, place)
+                repeat = by[~first]
+                if len(repeat):
+                    yield _marks(n, doc[repeat], key[repeat], place[repeat])
 
     return run
 
 
 def _by_document(batches):
-    """(doc, key, places): one row for each document of the partition's groups."""
-    parts = [_unblob(d, "<i8", "<i8", "<u4") for batch in batches for d in batch.column("data").to_pylist()]
-    if parts:
-        doc, key, place = (np.concatenate(p) for p in zip(*parts, strict=True))
-        parts.clear()
+    """(doc, key, places): one row for each document with repeats; the rows come in order of their groups."""
+    for _, rows in _in_order(batches, "group"):
+        doc, key, place = (np.concatenate(p) for p in zip(*(_unblob(data.as_py(), "<i8", "<i8", "<u4") for _, data in rows), strict=True))
         by = np.lexsort((place, key, doc))
         doc, key, place = doc[by], key[by], place[by]
         new = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])])
@@ -250,8 +349,7 @@ def cut(text: str, places) -> tuple[str, list[tuple[int, int]]]:
     for a, b in gone:
         kept.append(raw[at:a])
         at = b
-    # chunks end after white space or, in very long words, anywhere: a cut character is dropped whole
-    return b"".join([*kept, raw[at:]]).decode("utf-8", "ignore"), gone
+    return b"".join([*kept, raw[at:]]).decode("utf-8", "surrogatepass"), gone
 
 
 def _cut_rows(batches):
@@ -266,18 +364,22 @@ def _cut_rows(batches):
             starts.append([a for a, _ in gone])
             lengths.append([b - a for a, b in gone])
         yield pa.record_batch(
-            [*(batch.column(k) for k in range(batch.num_columns - 2)), pa.array(texts, pa.string()), pa.array(starts, pa.list_(pa.int64())), pa.array(lengths, pa.list_(pa.int64()))],
-            names=[*batch.schema.names[:-2], "text", "starts", "lengths"],
+            [batch.column(0), pa.array(texts, pa.string()), pa.array(starts, pa.list_(pa.int64())), pa.array(lengths, pa.list_(pa.int64()))],
+            names=["row", "text", "starts", "lengths"],
         )
 
 
-def repeated_places(docs: DataFrame) -> DataFrame:
+def repeated_places(docs: DataFrame, most_lanes: int = MOST_LANES) -> DataFrame:
     """(doc, key, places): for each document with repeats, the numbers of its repeated windows."""
-    n = lanes(docs.sparkSession)
+    parts, n = deal(docs.sparkSession, text_bytes(docs))
+    schema = "lane long, certain boolean, data binary"
     keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text"), "text")
-    entries = arrow(keyed, _entries(2 * n), "lane int, certain boolean, data binary")
-    found = entries.repartition(n, "lane").mapInArrow(_repeats(2 * n), "group int, data binary")
-    return found.repartition(n, "group").mapInArrow(_by_document, "doc long, key long, places array<int>")
+    entries = arrow(keyed, _entries(min(n, most_lanes)), schema)
+    if n > most_lanes:  # of coarse lanes, numbers modulo the least multiple that is fine enough
+        n = -(-n // most_lanes) * most_lanes
+        entries = write_down(entries.repartition(max(parts, most_lanes), "lane").mapInArrow(_deal_again(n), schema))
+    found = entries.repartition(parts, "lane").sortWithinPartitions("lane").mapInArrow(_repeats(n), "group long, data binary")
+    return found.repartition(parts, "group").sortWithinPartitions("group").mapInArrow(_by_document, "doc long, key long, places array<int>")
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
@@ -299,4 +401,5 @@ def report(docs: DataFrame) -> DataFrame:
     """doc_id, text after deduplication, n_bytes before, n_removed bytes, n_spans."""
     cleaned = deduplicate(docs.select("doc_id", "text", F.octet_length("text").alias("n")))
     removed = F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x)
-    return cleaned.select(F.col("row.doc_id").alias("doc_id"), "text", F.coalesce("row.n", F.lit(0)).cast("long").alias("n_bytes"), removed.alias("n_removed"), F.size("starts").cast("long").alias("n_spans"), "starts", "lengths")
+    n_bytes, n_spans = F.coalesce("row.n", F.lit(0)).cast("long"), F.size("starts").cast("long")
+    return cleaned.select(F.col("row.doc_id").alias("doc_id"), "text", n_bytes.alias("n_bytes"), removed.alias("n_removed"), n_spans.alias("n_spans"), "starts", "lengths")
