@@ -1,7 +1,7 @@
 """SimHash near-duplicates: every pair of fingerprints within a Hamming radius, by bit-sliced comparison.
 
-1. A fingerprint is made of each whole text; equal fingerprints are one node, named by the least doc_id.
-2. The 64 bits are cut into `blocks` blocks. Two fingerprints within the radius agree in at least
+1. A fingerprint is made of each whole text; equal fingerprints are one node.
+2. The 64 bits are cut into `blocks` blocks, as many as the number of nodes asks for. Two fingerprints within the radius agree in at least
    blocks - radius of them, so a node goes into one bucket for each choice of that many blocks, and no
    link is lost. A bucket over BUCKET nodes is cut into groups, and one cell made of each pair of groups:
    cells are of bounded size, whatever the bucket.
@@ -12,7 +12,8 @@
 4. A cell passes on a spanning star of each of its components, not its pairs. Components of all stars
    are found by joins.
 
-Null and empty texts have fingerprint zero and are linked like others. Rows without doc_id are no nodes:
+Null and empty texts have fingerprint zero and are linked like others. A doc_id is one document: rows that
+share it are linked, whatever their texts, and get one component_id. Rows without doc_id link nothing:
 they get the component of their fingerprint, or null. Repeated rows are kept. Extra columns are ignored.
 An empty table gives an empty table.
 """
@@ -30,8 +31,10 @@ from pyspark.sql import functions as F
 from .common import arrow, cut_lineage, lanes
 from .components import components
 
-SHINGLE, SEED, RADIUS, BLOCKS = 4, 42, 4, 6
+SHINGLE, SEED, RADIUS = 4, 42, 4
 BUCKET = 2048
+#: Expected nodes in a bucket from which on buckets get longer keys.
+DENSE = 512
 SLAB = 1 << 16
 STEP_BYTES = 4 << 20
 #: Words of 64 pairs that are given up together.
@@ -242,12 +245,21 @@ def masks(blocks: int, radius: int) -> list[int]:
     return [signed(sum(c)) for c in combinations(one, blocks - radius)]
 
 
-def links(nodes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+def blocks_for(n: int, radius: int = RADIUS) -> int:
+    """The fewest blocks, two more than the radius at least, whose keys leave some DENSE of n random nodes in a bucket."""
+    blocks = radius + 2
+    while n > DENSE << 64 * (blocks - radius) // blocks and blocks < 2 * radius:
+        blocks += 1
+    return blocks
+
+
+def links(nodes: DataFrame, radius: int = RADIUS, blocks: int | None = None) -> DataFrame:
     """(a, b): stars that join the nodes (node, fp; distinct fp) within the radius, some of them more than once."""
-    n = lanes(nodes.sparkSession)
+    n, blocks = lanes(nodes.sparkSession), blocks or blocks_for(nodes.count(), radius)
     keys = F.array(*(F.struct(F.lit(i).alias("choice"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(masks(blocks, radius))))
     rows = nodes.select("node", "fp", F.explode(keys).alias("k")).select("k.choice", "k.key", "fp", "node")
-    hot = cut_lineage(rows.groupBy("choice", "key").agg(F.count("*").alias("size")).where(F.col("size") > BUCKET).select("choice", "key", F.ceil(F.col("size") * 2 / BUCKET).cast("int").alias("groups")))
+    sizes = rows.groupBy("choice", "key").agg(F.count("*").alias("size")).where(F.col("size") > BUCKET)
+    hot = cut_lineage(sizes.select("choice", "key", F.ceil(F.col("size") * 2 / BUCKET).cast("int").alias("groups")))
     group = F.pmod(F.xxhash64("fp"), F.col("groups")).cast("int")
     grid = F.transform(F.sequence(F.lit(0), F.col("groups") - 1), lambda j: F.least(j, group).cast("long") * F.col("groups") + F.greatest(j, group))
     dealt = rows.join(hot, ["choice", "key"], "left").withColumn("groups", F.coalesce("groups", F.lit(1))).select("choice", "key", F.explode(grid).alias("cell"), "fp", "node")
@@ -256,29 +268,35 @@ def links(nodes: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataF
     return arrow(cells, _link(radius), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, blocks: int | None = None) -> DataFrame:
     """doc_id, fingerprint, component_id of every document."""
     printed = cut_lineage(fingerprints(docs))
-    nodes = cut_lineage(printed.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node")))
-    found = components(links(nodes, radius, blocks))
-    roots = nodes.join(found, "node", "left").select(F.col("fp"), F.coalesce("root", "node").alias("component_id"))
-    return printed.join(roots, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = printed.where("doc_id is not null")
+    nodes = cut_lineage(named.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    found = links(nodes.select(F.col("fp").alias("node"), "fp"), radius, blocks)
+    # fingerprints of one doc_id: a star, too
+    same = named.groupBy("doc_id").agg(F.min("fp").alias("b"), F.max("fp").alias("top")).where("b <> top").select("doc_id", "b")
+    shared = named.join(same, "doc_id").select(F.col("fp").alias("a"), "b")
+    roots = nodes.join(components(found.union(shared)).withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
+    by_fp = roots.select("fp", "root").join(least, "root").select("fp", "component_id")
+    return printed.join(by_fp, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each component of fingerprints, with all its columns: one with the least doc_id. Rows without doc_id stay.
+    """One row of each component of fingerprints, with all its columns: one with the least doc_id, nulls last.
 
-    Rows that share a doc_id are told apart by their texts: each stands for its own component. Of several
-    texts with the least doc_id in one component, the one with the least hash stays.
+    Here rows are what is linked, so that no text goes but for one like it: rows that share a doc_id are
+    told apart by their texts, and each stands for its own component. Of several texts with the least
+    doc_id in one component, the one with the least hash stays.
     """
-    key = F.xxhash64("text").alias("key")
-    keyed = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), key, "text")
-    printed = arrow(keyed, _fingerprint, "doc_id long, key long, fp long")
-    nodes = cut_lineage(printed.groupBy("fp").agg(F.min(F.struct("doc_id", "key")).alias("least")).select("fp", F.col("fp").alias("node"), "least"))
-    found = components(links(nodes))
+    doc, key = F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc"), F.xxhash64("text").alias("key")
+    printed = arrow(docs.select(doc, key, "text"), _fingerprint, "doc long, key long, fp long")
+    nodes = cut_lineage(printed.groupBy("fp").agg(F.min(F.struct("doc", "key")).alias("least")).select("fp", F.col("fp").alias("node"), "least"))
+    found = components(links(nodes.select("node", "fp")))
     kept = nodes.join(found, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("least").alias("least")).select("least.*")
     # of rows with the same doc_id and text one stays
-    by = Window.partitionBy("doc_id", "key").orderBy(F.col("text").asc_nulls_first())
-    taken = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.col("doc_id").cast("long"), key, "text")
-    chosen = taken.join(kept, ["doc_id", "key"], "left_semi").withColumn("n", F.row_number().over(by)).where("n = 1")
-    return chosen.select("doc.*").unionByName(docs.where("doc_id is null"))
+    by = Window.partitionBy("doc", "key").orderBy(F.col("text").asc_nulls_first())
+    taken = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), doc, key, "text")
+    chosen = taken.join(kept, ["doc", "key"], "left_semi").withColumn("n", F.row_number().over(by)).where("n = 1")
+    return chosen.select("row.*")

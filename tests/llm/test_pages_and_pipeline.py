@@ -7,10 +7,11 @@ from datetime import date, timedelta
 import numpy as np
 import pytest
 
-from kgsync.llm import bpe_ids, html_extract, html_tree, quality_rules, queries, simhash, url_filters
+from kgsync.llm import bpe_ids, html_extract, html_tree, queries, simhash, url_filters
 
+from . import brute
 from .helpers import edge_docs, empty_docs
-from .test_dedup_operators import brute_components, brute_cut, fingerprint
+from .test_dedup_operators import brute_components, fingerprint
 
 SF = "/root/testdata/sf0.001"
 
@@ -123,11 +124,13 @@ def test_url_filters(spark):
 def test_pipeline_against_brute_force(spark):
     import corpus_pipeline
 
-    docs = spark.read.parquet(f"{SF}/documents.parquet").coalesce(1)
-    kept = quality_rules.filter_documents(docs).collect()
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source").collect()
+    kept = [r for r, k in zip(docs, brute.quality(docs), strict=True) if k]
+    assert 0 < len(kept) < len(docs)
     comp = brute_components([(r.doc_id, fingerprint(r.text)) for r in kept])
     one = [(r.doc_id, r.text) for r in kept if comp[r.doc_id] == r.doc_id]
-    cut = brute_cut(one)
+    cut = brute.cut_repeats(one)
+    assert sum(len(t) for _, t in one) > sum(map(len, cut.values()))
     tok = bpe_ids.load(bpe_ids.tokenizer_path())
     want = {d: np.array(tok.encode(cut[d, t] or "", add_special_tokens=False).ids + [1], "<u4") for d, t in one}
     rows = corpus_pipeline.run(spark, SF).collect()
