@@ -1,12 +1,12 @@
 """Main text of web pages: boosted trees over features of DOM nodes, and hierarchical decoding.
 
 The model says of each block node whether its subtree holds main text. It is trained when first used, in
-a few seconds, on TRAIN_PAGES generated pages of many layouts (`html_tree.Maker`), whose main text is
+some ten seconds on the driver, on TRAIN_PAGES generated pages of many layouts (`html_tree.Maker`), whose main text is
 known; nothing of it comes from the tables. Scores of nodes alone can contradict each other; the decoder
 picks the best labelling of the whole tree in which no node below a rejected one is accepted. The text
 blocks of accepted nodes, white space normalised, are the text.
 
-Pages are independent: nothing is shuffled, memory is bounded by an Arrow batch. Null, empty and damaged
+Pages are independent: nothing is shuffled, memory is bounded by an Arrow batch and a group of pages. Null, empty and damaged
 html give what can be read, or the empty text. Null page_id or url and repeated rows are kept; extra
 columns are ignored; an empty table gives an empty table.
 """
@@ -14,6 +14,7 @@ columns are ignored; an empty table gives an empty table.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -23,13 +24,28 @@ from pyspark.sql import functions as F
 
 from .common import arrow
 from .html_tree import Maker, Node, parse
+from .packing import groups
 
-TRAIN_PAGES, SEED = 900, 11
-TREES, DEPTH, BINS, RATE = 60, 5, 32, 0.25
+TRAIN_PAGES, SEED = 2500, 11
+TREES, DEPTH, BINS, RATE = 80, 5, 32, 0.25
+#: The splits of a tree are sought in one of so many nodes, drawn anew for each tree; its leaves are fitted to all.
+DRAWN = 4
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
-TAGS = ["nav", "header", "footer", "aside", "form", "article", "main", "section", "div", "p", "li", "ul", "table", "figure", "blockquote", "body", "button", "h"]
-_GROUP = {"ol": "ul", "dl": "ul", "menu": "nav", "dt": "li", "dd": "li", "td": "table", "th": "table", "tr": "table", "tbody": "table", "thead": "table", "label": "button", "select": "button", "option": "button", "fieldset": "form", "dialog": "aside", "html": "body", "pre": "p"} | {f"h{i}": "h" for i in range(1, 7)}
+TAGS = ["nav", "header", "footer", "aside", "form", "article", "main", "section", "div", "p", "li", "ul", "table", "figure", "blockquote", "body", "button", "h1", "h"]
+_ALIKE = {
+    "ul": "ol dl",
+    "nav": "menu",
+    "li": "dt dd",
+    "table": "td th tr tbody thead",
+    "button": "label select option",
+    "form": "fieldset",
+    "aside": "dialog",
+    "body": "html",
+    "p": "pre",
+    "h": "h2 h3 h4 h5 h6",
+}
+_GROUP = {t: group for group, tags in _ALIKE.items() for t in tags.split()}
 #: Attribute tokens that speak for one kind of content, by kind.
 TOKENS = {
     "nav": "nav navbar navigation menu topnav breadcrumb breadcrumbs pager pagination toc skip",
@@ -68,7 +84,7 @@ def features(nodes: list[Node]) -> np.ndarray:
     total = max(1, nodes[0].chars)
     above_tags: list[set[int]] = [set()] * len(nodes)
     above_kinds: list[set[int]] = [set()] * len(nodes)
-    start = np.zeros(len(nodes))
+    start, alike = np.zeros(len(nodes)), np.ones(len(nodes))
     a, b, c, d = len(TAGS), 2 * len(TAGS), 2 * len(TAGS) + len(KINDS), 2 * len(TAGS) + 2 * len(KINDS)
     own_kinds = [_kinds(n) for n in nodes]
     own_tag = [TAGS.index(g) if (g := _GROUP.get(n.tag, n.tag)) in TAGS else -1 for n in nodes]
@@ -104,12 +120,14 @@ def features(nodes: list[Node]) -> np.ndarray:
             siblings,
             n.words,
             n.chars / max(1, n.words),
-            sum(x.tag == n.tag for x in p.children) / siblings if p and siblings < 200 else 1,
+            alike[i],
         )
         at = start[i]
         row[d + 14] = at / total
         row[d + 15] = (at + n.chars) / total
+        tags = Counter(x.tag for x in n.children)
         for x in n.children:
+            alike[x.number] = tags[x.tag] / n_children
             start[x.number] = at
             at += x.chars
             out[x.number, d + 16] = np.log1p(prev)
@@ -123,7 +141,7 @@ def features(nodes: list[Node]) -> np.ndarray:
 
 
 class Boosted:
-    """Gradient-boosted regression trees for the logistic loss, on binned features."""
+    """Gradient-boosted regression trees for the logistic loss, on binned features, by stochastic gradients."""
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> Boosted:
         n, f = x.shape
@@ -132,20 +150,21 @@ class Boosted:
         flat = binned + np.arange(f) * BINS
         self.base = float(np.log(y.mean() / (1 - y.mean())))
         score = np.full(n, self.base)
-        inner = (1 << DEPTH) - 1
+        inner, rng = (1 << DEPTH) - 1, np.random.default_rng(SEED)
         self.feature = np.zeros((TREES, inner), np.int32)
         self.cut = np.full((TREES, inner), np.inf, np.float32)
         self.leaf = np.zeros((TREES, 1 << DEPTH), np.float32)
         for t in range(TREES):
             p = 1 / (1 + np.exp(-score))
             g, h = y - p, p * (1 - p)
-            at = np.zeros(n, np.int64)
+            at, some = np.zeros(n, np.int64), rng.choice(n, -(-n // DRAWN), replace=False)
+            some_flat, some_g, some_h = flat[some], np.repeat(g[some], f), np.repeat(h[some], f)
             for level in range(DEPTH):
                 width = 1 << level
-                place = (at[:, None] * (f * BINS) + flat).ravel()
+                place = (at[some, None] * (f * BINS) + some_flat).ravel()
                 shape = (width, f, BINS)
-                gs = np.bincount(place, np.repeat(g, f), width * f * BINS).reshape(shape).cumsum(axis=2)
-                hs = np.bincount(place, np.repeat(h, f), width * f * BINS).reshape(shape).cumsum(axis=2)
+                gs = np.bincount(place, some_g, width * f * BINS).reshape(shape).cumsum(axis=2)
+                hs = np.bincount(place, some_h, width * f * BINS).reshape(shape).cumsum(axis=2)
                 g_all, h_all = gs[:, :, -1:], hs[:, :, -1:]
                 gain = gs**2 / (hs + 1) + (g_all - gs) ** 2 / (h_all - hs + 1) - g_all**2 / (h_all + 1)
                 gain[(hs < 1) | (h_all - hs < 1)] = 0
@@ -223,15 +242,13 @@ def extract(pages: list[str | None], model: Boosted) -> list[str]:
 
 def _extract(model: Boosted):
     def run(batches):
-        for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
-                texts = extract(part.column(2).to_pylist(), model)
-                yield pa.record_batch({"page_id": part.column(0), "url": part.column(1), "text": pa.array(texts, pa.string()), "n_chars": pa.array(map(len, texts), pa.int64())})
+        for part in groups(batches):
+            texts = extract(part.column(1).to_pylist(), model)
+            yield pa.record_batch({"page_id": part.column(0), "url": part.column(2), "text": pa.array(texts, pa.string()), "n_chars": pa.array(map(len, texts), pa.int64())})
 
     return run
 
 
 def main_text(pages: DataFrame, model: Boosted | None = None) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
-    return arrow(pages.select(F.col("page_id").cast("long"), "url", "html"), _extract(model or train()), SCHEMA)
+    return arrow(pages.select(F.col("page_id").cast("long"), "html", "url"), _extract(model or train()), SCHEMA)

@@ -1,6 +1,9 @@
 """A tolerant reader of HTML into block nodes, and pages with known main text to learn from.
 
-Never fails: damaged, truncated and empty pages give what can be read.
+Never fails: damaged, truncated and empty pages give what can be read, in time proportional to their size:
+no tag looks through the elements that are open, as the places of each name in the stack are known.
+Elements that are neither blocks nor RAW (formulas, drawings, objects, noscript among them) are inline:
+their text belongs to the block around them.
 """
 
 from __future__ import annotations
@@ -15,7 +18,9 @@ BLOCKS = frozenset(
     "hgroup hr html label legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style iframe noembed noframes noscript template textarea title xmp svg math object".split())
+#: What stands in these is no text of the page. Without a closing tag scripts and styles reach to the page's end; of the others only the opening tag counts.
+RAW = frozenset("script style iframe noembed noframes template textarea title".split())
+TO_THE_END = frozenset(("script", "style"))
 #: An opening tag ends an open one of these, up to the given container.
 CLOSES = {
     "li": (("li",), ("ul", "ol", "menu", "dir")),
@@ -28,7 +33,11 @@ CLOSES = {
 }
 NOT_IN_P = BLOCKS - {"button", "label", "option", "select", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "body", "html", "legend"}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*)(?:>|\Z)", re.S)
+_NOT_A_TAG = r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
+_TOKEN = re.compile(_NOT_A_TAG + r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
+#: For a tag whose quotes never close, and what follows it: tags end at the next ">".
+_LOOSE = re.compile(_NOT_A_TAG + r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*)(?:>|\Z)", re.S)
+_BEGIN = re.compile(r"<(?:[!?]|/?[a-zA-Z])")
 _ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style|aria-label|itemprop|data-y)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"']+))?", re.I)
 
 
@@ -45,121 +54,143 @@ class Node:
             parent.children.append(self)
 
 
-def parse(html: str) -> tuple[list[Node], list[tuple[Node, str]]]:
-    """Block nodes in page order (the first is the root) and the text blocks with their nodes."""
-    root = Node("#root", {}, None)
-    nodes, texts = [root], []
-    stack: list[tuple[str, Node]] = [("#root", root)]  # inline elements stand in the stack with the block around them
-    buffer: list[str] = []
-    state = [0, 0]  # open links, characters of links in the buffer
-
-    def flush():
-        node = stack[-1][1]
-        text = " ".join("".join(buffer).split())
-        buffer.clear()
+class _Reader:
+    """The elements that are open, as (name, block): inline ones stand with the block around them."""
+
+    def __init__(self):
+        root = Node("#root", {}, None)
+        self.nodes, self.texts = [root], []
+        self.stack: list[tuple[str, Node]] = [("#root", root)]
+        self.open: dict[str, list[int]] = {}  # places in the stack by name, the last one on top
+        self.block_at = [0]  # places of blocks in the stack
+        self.buffer: list[str] = []
+        self.links = self.link_chars = 0  # open links, characters of links in the buffer
+
+    def flush(self) -> None:
+        node = self.stack[-1][1]
+        text = " ".join("".join(self.buffer).split())
+        self.buffer.clear()
         if text:
-            texts.append((node, text))
+            self.texts.append((node, text))
             node.own += len(text)
-            node.link_chars += min(state[1], len(text))
+            node.link_chars += min(self.link_chars, len(text))
             node.marks += sum(map(text.count, ".,;:!?"))
             node.words += text.count(" ") + 1
-        state[1] = 0
+        self.link_chars = 0
 
-    def add(raw: str):
+    def add(self, raw: str) -> None:
         if raw:
             text = unescape(raw) if "&" in raw else raw
-            buffer.append(text)
-            if state[0] and not text.isspace():
-                state[1] += len(text)
-
-    def close(at: int):
-        """Pop the stack down to and with position `at`."""
-        flush()
-        for name, _ in stack[at:]:
-            state[0] -= name == "a"
-        del stack[at:]
-
-    pos, end = 0, len(html)
+            self.buffer.append(text)
+            if self.links and not text.isspace():
+                self.link_chars += len(text)
+
+    def top(self, *names: str) -> int:
+        """The topmost place of an open element of one of these names; -1 if there is none."""
+        return max((self.open[n][-1] for n in names if self.open.get(n)), default=-1)
+
+    def push(self, name: str, node: Node) -> None:
+        self.open.setdefault(name, []).append(len(self.stack))
+        if node is not self.stack[-1][1]:
+            self.block_at.append(len(self.stack))
+        self.stack.append((name, node))
+        self.links += name == "a"
+
+    def drop(self, at: int) -> None:
+        """Take the stack down to and with place `at`."""
+        while len(self.stack) > at:
+            name, _ = self.stack.pop()
+            self.open[name].pop()
+            self.links -= name == "a"
+        while self.block_at[-1] >= at:
+            self.block_at.pop()
+
+    def close(self, at: int) -> None:
+        self.flush()
+        self.drop(at)
+
+    def end_tag(self, name: str) -> None:
+        at = self.top(name)
+        if at > 0 and name in BLOCKS:
+            self.close(at)
+        elif at > self.block_at[-1]:  # inline elements end in their block
+            self.drop(at)
+
+    def block(self, name: str, attr_text: str) -> None:
+        self.flush()
+        if name in NOT_IN_P and self.stack[self.block_at[-1]][0] == "p":
+            self.close(self.block_at[-1])
+        if name in CLOSES:
+            ends, stops = CLOSES[name]
+            if (at := self.top(*ends)) > self.top(*stops):
+                self.close(at)
+        attrs = {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(attr_text)} if attr_text else {}
+        node = Node(name, attrs, self.stack[-1][1])
+        node.number = len(self.nodes)
+        self.nodes.append(node)
+        node.first = len(self.texts)
+        node.controls += name in ("button", "select", "option", "label")
+        self.push(name, node)
+
+    def void(self, name: str) -> None:
+        if name == "hr":
+            self.flush()
+        elif name == "br":
+            self.buffer.append(" ")
+        elif name == "input":
+            self.stack[-1][1].controls += 1
+
+    def finish(self) -> None:
+        """Sums over subtrees."""
+        self.close(1)
+        for node in reversed(self.nodes):
+            node.chars += node.own
+            if p := node.parent:
+                p.chars += node.chars
+                p.link_chars += node.link_chars
+                p.marks += node.marks
+                p.controls += node.controls
+                p.words += node.words
+
+
+def parse(html: str) -> tuple[list[Node], list[tuple[Node, str]]]:
+    """Block nodes in page order (the first is the root) and the text blocks with their nodes."""
+    reader, pos, end = _Reader(), 0, len(html)
+    unclosed: set[str] = set()  # names without a closing tag in the rest of the page
+    token = _TOKEN
     while pos < end:
-        m = _TOKEN.search(html, pos)
-        if not m:
-            add(html[pos:])
+        at = _BEGIN.search(html, pos)
+        if not at:
+            reader.add(html[pos:])
             break
-        add(html[pos : m.start()])
+        m = token.match(html, at.start())
+        if not m:
+            token = _LOOSE
+            m = token.match(html, at.start())
+        reader.add(html[pos : m.start()])
         pos = m.end()
-        name = m[2] or m[5]
+        name, attr_text = (m[2] or "").lower(), m[3] or ""
         if not name:
             continue
-        name, closing, attr_text = name.lower(), m[1] or m[4], m[3] or m[6] or ""
-        if closing:
-            if name == "br":
-                buffer.append(" ")
-                continue
-            is_block = name in BLOCKS
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == name:
-                    if is_block:
-                        close(i)
-                    else:
-                        state[0] -= sum(n == "a" for n, _ in stack[i:])
-                        del stack[i:]
-                    break
-                if not is_block and stack[i][0] in BLOCKS:
-                    break
-            continue
-        if name in RAW:
-            if not attr_text.endswith("/"):
-                tail = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.I).search(html, pos)
-                pos = tail.end() if tail else end
-            if name in ("textarea", "iframe", "object"):
-                stack[-1][1].controls += 1
-            continue
-        if name in VOID:
-            if name == "hr":
-                flush()
-            elif name in ("br", "wbr"):
-                buffer.append(" " if name == "br" else "")
-            elif name == "input":
-                stack[-1][1].controls += 1
-            continue
-        if name not in BLOCKS:
-            state[0] += name == "a"
-            stack.append((name, stack[-1][1]))
-            continue
-        flush()
-        if name in NOT_IN_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == "p":
-                    close(i)
-                    break
-                if stack[i][0] in BLOCKS:
-                    break
-        if name in CLOSES:
-            ends, stops = CLOSES[name]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in ends:
-                    close(i)
-                    break
-                if stack[i][0] in stops:
-                    break
-        attrs = {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(attr_text)} if attr_text else {}
-        node = Node(name, attrs, stack[-1][1])
-        node.number = len(nodes)
-        nodes.append(node)
-        node.first = len(texts)
-        node.controls += name in ("button", "select", "option", "label")
-        stack.append((name, node))
-    close(1) if len(stack) > 1 else flush()
-    for node in reversed(nodes):
-        node.chars += node.own
-        if node.parent:
-            p = node.parent
-            p.chars += node.chars
-            p.link_chars += node.link_chars
-            p.marks += node.marks
-            p.controls += node.controls
-            p.words += node.words
-    return nodes, texts
+        if m[1]:
+            reader.void(name) if name == "br" else reader.end_tag(name)
+        elif name in RAW:
+            if name in ("textarea", "iframe"):
+                reader.stack[-1][1].controls += 1
+            tail = None if name in unclosed or attr_text.endswith("/") else re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(html, pos)
+            if tail:
+                pos = tail.end()
+            elif not attr_text.endswith("/"):
+                unclosed.add(name)
+                pos = end if name in TO_THE_END else pos
+        elif name in VOID:
+            reader.void(name)
+        elif name in BLOCKS:
+            reader.block(name, attr_text)
+        elif not attr_text.endswith("/"):
+            reader.push(name, reader.stack[-1][1])
+    reader.finish()
+    return reader.nodes, reader.texts
 
 
 # ---- pages to learn from -------------------------------------------------------------------------------
@@ -192,10 +223,16 @@ class Maker:
         while n > 0:
             k = min(n, r.randint(1, 14))
             s = ["".join(r.choices(_SYLLABLES, k=r.randint(1, 4))) for _ in range(k)]
-            out.append(s[0].capitalize() + "".join(" " + w + ("," if r.random() < 0.1 else "") for w in s[1:]) + r.choice(("." if r.random() < 0.9 else "", ".", "!", "?")))
+            rest = "".join(" " + w + ("," if r.random() < 0.1 else "") for w in s[1:])
+            out.append(s[0].capitalize() + rest + r.choice(("." if r.random() < 0.9 else "", ".", "!", "?")))
             n -= k
         return " ".join(out)
 
+    def title(self, low: int, high: int) -> str:
+        """Words of a heading, mostly without a mark at their end."""
+        text = self.words(low, high)
+        return text.rstrip(".!?") if self.r.random() < 0.6 else text
+
     def tag(self, name: str, body: str, kind: str = "", y: bool = False) -> str:
         r, attrs = self.r, ""
         if kind:
@@ -225,7 +262,7 @@ class Maker:
     def main_blocks(self) -> list[str]:
         r, out = self.r, []
         if r.random() < 0.85:
-            out.append(self.tag("h1", self.words(1, 12), y=True))
+            out.append(self.tag("h1", self.title(1, 12), y=True))
         count, short = r.choice((1, 1, 1, 2, 2, 3, 5, 8, 12, 20)), r.random() < 0.25
         sizes = ((1, 3), (2, 8), (3, 14)) if short else ((1, 4), (5, 30), (20, 90), (40, 160))
         text = lambda: self.inline(self.words(*r.choice(sizes)))
@@ -234,7 +271,7 @@ class Maker:
             if p < 0.74:
                 out.append(self.tag("p", text(), y=True))
             elif p < 0.8:
-                out.append(self.tag(r.choice(("h2", "h3")), self.words(1, 8), y=True))
+                out.append(self.tag(r.choice(("h2", "h3")), self.title(1, 8), y=True))
             elif p < 0.86:
                 out.append(f"<{(t := r.choice(('ul', 'ol')))}>" + "".join(self.tag("li", text(), y=True) for _ in range(r.randint(2, 6))) + f"</{t}>")
             elif p < 0.9:
@@ -252,13 +289,13 @@ class Maker:
         if kind == "nav":
             return self.tag("nav" if t else "div", self.links(r.randint(3, 12)), "nav")
         if kind == "header":
-            inner = r.choice(("", self.tag("div", self.words(1, 4)), self.tag("h1", self.words(1, 3)), self.tag("p", self.words(2, 8)))) + (self.boiler("nav") if r.random() < 0.6 else "")
+            inner = r.choice(("", self.tag("div", self.words(1, 4)), self.tag("h1", self.title(1, 3)), self.tag("p", self.words(2, 8)))) + (self.boiler("nav") if r.random() < 0.6 else "")
             return self.tag("header" if t else "div", inner or self.words(1, 3), "header")
         if kind == "footer":
             inner = r.choice(("&copy; " + self.words(1, 12), self.tag("p", "&copy; 2024 " + self.words(1, 8)), self.links(4) + self.tag("p", self.words(3, 20))))
             return self.tag("footer" if r.random() < 0.7 else "div", inner, "footer")
         if kind == "side":
-            parts = [r.choice((self.tag("h3", self.words(1, 3)) + self.links(r.randint(2, 8)), self.tag("p", self.words(3, 25)), self.boiler("form"), self.boiler("ad"))) for _ in range(r.randint(1, 4))]
+            parts = [r.choice((self.tag("h3", self.title(1, 3)) + self.links(r.randint(2, 8)), self.tag("p", self.words(3, 25)), self.boiler("form"), self.boiler("ad"))) for _ in range(r.randint(1, 4))]
             return self.tag("aside" if t else "div", "".join(parts), "side")
         if kind == "notice":
             return self.named(r.choice(("div", "section", "aside", "dialog")), self.tag("p", self.words(4, 30)) + r.choice(("", "<button>OK</button>")) if t else self.words(4, 25) + " <button>OK</button>", "notice")
@@ -268,8 +305,8 @@ class Maker:
             return self.tag("form", r.choice(("", self.tag("label", self.words(1, 3)), self.tag("p", self.words(2, 14)))) + "<input name=q>" + r.choice(("<button>Go</button>", "<select><option>A</option><option>B</option></select>", "<textarea>x</textarea>", "")), "form")
         if kind == "share":
             return self.named("div", self.links(r.randint(2, 5)), "share")
-        item = lambda: self.named(r.choice(("li", "div", "article")), r.choice(("", self.tag("span", self.words(1, 2)), self.tag("h4", self.words(1, 2)))) + self.tag("p", self.words(*r.choice(((1, 8), (5, 40), (20, 80))))), "comments")
-        body = r.choice(("", self.tag("h2", self.words(1, 3)), self.tag("h3", self.words(1, 3)))) + "".join(item() for _ in range(r.randint(1, 6))) + (self.boiler("form") if r.random() < 0.3 else "")
+        item = lambda: self.named(r.choice(("li", "div", "article")), r.choice(("", self.tag("span", self.words(1, 2)), self.tag("h4", self.title(1, 2)))) + self.tag("p", self.words(*r.choice(((1, 8), (5, 40), (20, 80))))), "comments")
+        body = r.choice(("", self.tag("h2", self.title(1, 3)), self.tag("h3", self.title(1, 3)))) + "".join(item() for _ in range(r.randint(1, 6))) + (self.boiler("form") if r.random() < 0.3 else "")
         return self.named(r.choice(("section", "div", "ol", "ul", "aside")), body, "comments")
 
     def named(self, tag: str, body: str, kind: str) -> str:

@@ -1,5 +1,7 @@
 import html
 import re
+import sys
+import time
 import zlib
 from collections import Counter
 from datetime import date, timedelta
@@ -75,6 +77,47 @@ def test_damaged_pages(page, model):
     assert len(html_extract.extract([page], model)) == 1
 
 
+LONG = "a paragraph that is long enough to be taken for the text of an article, with a few more words in it."
+
+
+@pytest.mark.parametrize("inner", ["<math><mi>x</mi><mo>=</mo></math>", "<svg><text>x =</text></svg>", "<noscript>x =</noscript>", "<object data=f>x =</object>", "<svg>x =", "<object>x =", "<template>gone</template>x =", "<iframe>x =", "<textarea>x =", "<xmp>x =</xmp>"])
+def test_nothing_else_is_dropped(inner, model):
+    page = f"<body><article><h1>A title</h1><p>One: {LONG}</p><p>{inner} two, {LONG}</p><p>Three, {LONG}</p></article></body>"
+    text = html_extract.extract([page], model)[0].split("\n\n")
+    assert text[:2] == ["A title", f"One: {LONG}"] and text[3] == f"Three, {LONG}"
+    assert re.sub(" ", "", text[2]) == re.sub(" ", "", f"x= two, {LONG}")
+
+
+def test_many_siblings_make_no_switch(model):
+    for n in (2, 199, 200, 201, 1000):
+        nodes, _ = html_tree.parse("<div>" + "<p>x</p><h2>y</h2>" * (n // 2) + "</div>")
+        assert {float(v) for v in html_extract.features(nodes)[2:, 2 * len(html_extract.TAGS) + 2 * len(html_extract.KINDS) + 13]} == {0.5}
+
+
+HOSTILE = ["<b>{n}</i>", "<div>{n}</article>", "<i><div>{o}<b>{n}</i>", "<b>{n}<p></p>", "<li><ul>{o}<div>{n}<li></li>", "<title>{n}", "<svg>{n}", "<a \"'>{n}", "<div class='{n}", "<!--{n}"]
+
+
+@pytest.mark.parametrize("shape", HOSTILE)
+def test_time_is_in_proportion_to_the_page(shape):
+    """Tags read, counted by the work they make: elements pushed and dropped, never looked through."""
+    def cost(n):
+        once, _, rest = shape.rpartition("{o}")
+        parts = rest.split("{n}")
+        page, steps = once + "".join(p * n for p in parts), [0]
+        count = lambda *_: steps.__setitem__(0, steps[0] + 1)
+        sys.setprofile(count)
+        try:
+            html_tree.parse(page)
+        finally:
+            sys.setprofile(None)
+        return steps[0] + 1
+
+    assert cost(4000) <= 4.5 * cost(1000)
+    began = time.process_time()
+    html_tree.parse("".join(p * 60_000 for p in shape.replace("{o}", "").split("{n}")))
+    assert time.process_time() - began < 10
+
+
 def test_edges_of_pages(spark, model):
     df = spark.createDataFrame([(1, None, None), (None, "u", ""), (2, "u", PAGE), (2, "u", PAGE)], "page_id long, url string, html string").selectExpr("*", "1 as text", "2 as n_chars")
     rows = html_extract.main_text(df, model).collect()
