@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +17,15 @@ def list_entries(pages: DataFrame) -> DataFrame:
     number = lambda c: F.conv(F.substring(F.md5(c), 1, 4), 16, 10).cast("int")
     hosts = pages.select(url_filters.host_of(F.col("url")).alias("h")).where("h <> ''").distinct().withColumn("n", number(F.col("h")))
     domains = hosts.select(F.substring_index("h", ".", -3).alias("h")).distinct().withColumn("n", number(F.concat(F.lit("domain:"), F.col("h"))))
-    urls = pages.select(F.concat(url_filters.host_of(F.col("url")), url_filters.path_of(F.col("url"))).alias("h")).distinct().withColumn("n", number(F.col("h")))
-    entry = lambda df, every, rest, scope, action, days, tail="": df.where((F.col("n") % every) == rest).select(F.lit(scope).alias("scope"), F.concat("h", F.lit(tail)).alias("pattern"), F.lit(action).alias("action"), F.date_add(F.lit("2023-10-01").cast("date"), (F.col("n") % 256 + days).cast("int")).alias("listed"))
+    address = F.concat(url_filters.host_of(F.col("url")), url_filters.path_of(F.col("url")))
+    query = url_filters.query_of(F.col("url"))
+    urls = pages.select(address.alias("h")).distinct().withColumn("n", number(F.col("h")))
+    asked = pages.where(query != "").select(F.concat(address, query).alias("h")).distinct().withColumn("n", number(F.col("h")))
+
+    def entry(df: DataFrame, every: int, rest: int, scope: str, action: str, days: int, tail: str = "") -> DataFrame:
+        listed = F.date_add(F.lit("2023-10-01").cast("date"), (F.col("n") % 256 + days).cast("int"))
+        return df.where((F.col("n") % every) == rest).select(F.lit(scope).alias("scope"), F.concat("h", F.lit(tail)).alias("pattern"), F.lit(action).alias("action"), listed.alias("listed"))
+
     parts = [
         entry(hosts, 8, 0, "host", "block", 0),
         entry(hosts, 16, 0, "host", "remove", 60),
@@ -28,11 +36,10 @@ def list_entries(pages: DataFrame) -> DataFrame:
         entry(domains, 16, 2, "domain", "allow", 200),
         entry(urls, 64, 3, "url", "allow", 0),
         entry(urls, 64, 4, "url", "block", 90),
+        entry(asked, 16, 5, "url", "allow", 0),
+        entry(asked, 16, 6, "url", "block", 30),
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,19 +47,22 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     captures = pages.withColumn("fetched", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 366).cast("int")))
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    return url_filters.judge(captures, list_entries(pages)).select("page_id", "url", text("fetched").alias("fetched"), "kept", text("scope").alias("scope"), text("pattern").alias("pattern"), text("listed").alias("listed"))
+    judged = url_filters.judge(captures, list_entries(pages))
+    return judged.select("page_id", "url", "kept", *(text(c).alias(c) for c in ("fetched", "scope", "pattern", "listed")))
 
 
 OP1_SQL = r"""
 WITH p AS (
   SELECT page_id, url, DATE '2024-01-01' + CAST(page_id % 366 AS INT) AS fetched,
-    lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
-    regexp_replace(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*([^?#]*)', 1), '/+$', '') AS path
+    lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:]*)', 1)) AS host,
+    regexp_replace(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*([^?#]*)', 1), '/+$', '') AS path,
+    regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.\-]*://[^?#]*(\?[^#]*)', 1) AS query
   FROM pages),
 hosts AS (SELECT DISTINCT host AS h, CAST('0x' || substr(md5(host), 1, 4) AS INT) AS n FROM p WHERE host <> ''),
 domains AS (SELECT DISTINCT array_to_string(list_slice(string_split(h, '.'), -3, -1), '.') AS h FROM hosts),
 domain_n AS (SELECT h, CAST('0x' || substr(md5('domain:' || h), 1, 4) AS INT) AS n FROM domains),
 urls AS (SELECT DISTINCT host || path AS h, CAST('0x' || substr(md5(host || path), 1, 4) AS INT) AS n FROM p),
+asked AS (SELECT DISTINCT host || path || query AS h, CAST('0x' || substr(md5(host || path || query), 1, 4) AS INT) AS n FROM p WHERE query <> ''),
 rules AS (
   SELECT 'host' AS scope, h AS pattern, 'block' AS action, n, 0 AS days FROM hosts WHERE n % 8 = 0
   UNION ALL SELECT 'host', h, 'remove', n, 60 FROM hosts WHERE n % 16 = 0
@@ -62,7 +72,9 @@ rules AS (
   UNION ALL SELECT 'domain', h, 'block', n, 30 FROM domain_n WHERE n % 8 = 2
   UNION ALL SELECT 'domain', h, 'allow', n, 200 FROM domain_n WHERE n % 16 = 2
   UNION ALL SELECT 'url', h, 'allow', n, 0 FROM urls WHERE n % 64 = 3
-  UNION ALL SELECT 'url', h, 'block', n, 90 FROM urls WHERE n % 64 = 4),
+  UNION ALL SELECT 'url', h, 'block', n, 90 FROM urls WHERE n % 64 = 4
+  UNION ALL SELECT 'url', h, 'allow', n, 0 FROM asked WHERE n % 16 = 5
+  UNION ALL SELECT 'url', h, 'block', n, 30 FROM asked WHERE n % 16 = 6),
 entries AS (
   SELECT scope, pattern, action, DATE '2023-10-01' + CAST(n % 256 + days AS INT) AS listed FROM rules),
 latest AS (
@@ -71,7 +83,7 @@ latest AS (
       ORDER BY e.listed DESC, CASE e.action WHEN 'block' THEN 2 WHEN 'allow' THEN 1 ELSE 0 END DESC) AS r
   FROM p JOIN entries e ON e.listed <= p.fetched AND CASE e.scope
     WHEN 'host' THEN e.pattern = p.host
-    WHEN 'url' THEN e.pattern = p.host || p.path
+    WHEN 'url' THEN e.pattern = p.host || p.path OR e.pattern = p.host || p.path || p.query
     WHEN 'domain' THEN p.host = e.pattern OR ends_with(p.host, '.' || e.pattern)
     ELSE p.host || p.path = e.pattern OR starts_with(p.host || p.path, e.pattern || '/') END),
 best AS (

@@ -131,16 +131,17 @@ DAY = date(2024, 1, 1)
 ENTRIES = [
     ("domain", "bad.org", "block", 10), ("host", "ok.bad.org", "allow", 20), ("host", "ok.bad.org", "remove", 40), ("prefix", "a.com/x", "block", 0), ("url", "a.com/x/y", "allow", 5),
     ("host", "b.com", "block", 10), ("host", "b.com", "remove", 20), ("host", "b.com", "block", 30), ("host", "tie.com", "allow", 10), ("host", "tie.com", "block", 10), ("host", None, "block", 1),
+    ("host", "q.com", "block", 0), ("url", "q.com/x?id=1", "allow", 5), ("url", "q.com/x?id=2", "block", 5), ("host", "[::1]", "block", 5), ("domain", "com", "block", 35),
 ]
 
 
 def brute_verdict(url, day):
-    m = re.match(r"[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)[^/?#]*([^?#]*)", url or "")
+    m = re.match(r"[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:]*)[^/?#]*([^?#]*)(\?[^#]*)?", url or "")
     if not m or day is None or not m[1]:
         return True
     host, path = m[1].lower(), m[2].rstrip("/")
     labels, parts = host.split("."), path.split("/")
-    names = [("url", host + path), ("host", host), *(("domain", ".".join(labels[i:])) for i in range(len(labels))), *(("prefix", host + "/".join(parts[: i + 1])) for i in range(len(parts)))]
+    names = [("url", host + path), ("url", host + path + (m[3] or "")), ("host", host), *(("domain", ".".join(labels[i:])) for i in range(len(labels))), *(("prefix", host + "/".join(parts[: i + 1])) for i in range(len(parts)))]
     best = None
     for scope, pattern in names:
         past = [(d, {"remove": 0, "allow": 1, "block": 2}[a], a) for s, p, a, d in ENTRIES if (s, p) == (scope, pattern) and d <= day]
@@ -150,12 +151,15 @@ def brute_verdict(url, day):
     return not best or best[1] != "block"
 
 
-def test_url_filters(spark):
+def test_url_filters(spark, tmp_path):
     urls = ["http://bad.org/", "https://www.bad.org/a", "http://OK.bad.org/z?q", "http://a.com/x", "http://a.com/x/y/", "http://a.com/x/y/z", "http://a.com/xx", "ftp://u@b.com:21/f", "http://tie.com", "http://notbad.org", "nonsense", "", None]
+    urls += ["http://q.com/x?id=1", "http://q.com/x/?id=1#f", "http://q.com/x?id=2", "http://q.com/x", "http://[::1]:80/a", "http://[::1", "http://a.com/x" + "/y" * 2000, "http://a.com/x?" + "q" * 50_000]
     rows = [(i, u, DAY + timedelta(d) if d is not None else None) for i, u in enumerate(urls) for d in (0, 5, 10, 15, 20, 25, 30, 40, 100, None)]
-    captures = spark.createDataFrame(rows + rows[:3], "page_id int, url string, fetched date").selectExpr("*", "1 as scope_", "2 as entry", "3 as row")
+    captures = spark.createDataFrame(rows + rows[:3], "page_id int, url string, fetched date").selectExpr("*", "1 as Scope", "'x' as kept", "2 as entry", "3 as row", "4 as pattern", "5 as listed", "6 as bucket", "7 as salt", "8 as j1")
     entries = spark.createDataFrame([(s, p, a, DAY + timedelta(d)) for s, p, a, d in ENTRIES], "scope string, pattern string, action string, listed date")
     got = url_filters.judge(captures, entries)
+    assert got.columns == ["page_id", "url", "fetched", "entry", "row", "bucket", "salt", "j1", *url_filters.RESULT]
+    got.write.parquet(str(tmp_path / "judged"))
     want = Counter((i, u, d, brute_verdict(u, (d - DAY).days if d else None)) for i, u, d in rows + rows[:3])
     assert Counter((r.page_id, r.url, r.fetched, r.kept) for r in got.collect()) == want
     assert url_filters.judge(captures, entries.limit(0)).where("kept").count() == captures.count()
