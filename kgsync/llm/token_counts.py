@@ -8,11 +8,13 @@ pre-token frequencies:
 1. `_postings`: each Arrow batch of documents (a block) becomes, for every lane (a hash of the
    pre-token), one compressed posting block: distinct pre-tokens with their (document, frequency) pairs.
    A word that is in every document is one entry in a block, so frequent words do not make hot keys.
-2. `_lookups`: all occurrences of a pre-token meet in the partition of its lane; its pieces are counted
-   once there, joined to the postings, and summed by document into one vector for each block and lane.
+2. `_lookups`: all occurrences of a pre-token meet in the partition of its lane, and lanes come one after
+   the other; a pre-token's pieces are counted once there, joined to the postings, and summed by document
+   into one vector for each block and lane.
 3. `_totals`: the vectors of a block are summed.
 
-Memory is bounded by a block, a lane's part of a block, and MEMO entries. Blocks are named by partition
+There are as many lanes as the input asks for (`common.deal`), MOST_LANES at most, as distinct pre-tokens
+grow more slowly than text. Memory is bounded by a block and a lane's distinct pre-tokens. Blocks are named by partition
 and number and carry a checksum of their documents; the input must be a deterministic scan (a table),
 as Spark's own recomputation of lost tasks presumes.
 
@@ -34,10 +36,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow, lanes
+from .common import MOST_LANES, arrow, deal, text_bytes
 
-#: Distinct pre-tokens whose counts a task remembers before it starts afresh.
-MEMO = 400_000
 #: Documents of a block, and the bytes after which it is closed early.
 BLOCK_DOCS, BLOCK_BYTES = 10_000, 32 << 20
 MARK = "▁"
@@ -154,9 +154,12 @@ def _lookups(path: str):
         sp = model(path)
         check_model(sp)
         known: dict[bytes, int] = {}
+        now = None
         for batch in batches:
             rows = []
-            for block, header, data, words in zip(*(batch.column(k).to_pylist() for k in ("block", "is_header", "data", "words")), strict=True):
+            for block, lane, header, data, words in zip(*(batch.column(k).to_pylist() for k in ("block", "lane", "is_header", "data", "words")), strict=True):
+                if lane != now:
+                    known, now = {}, lane
                 if header:
                     rows.append((block, True, data))
                     continue
@@ -164,8 +167,6 @@ def _lookups(path: str):
                 blob = pa.decompress(words[:-8], decompressed_size=struct.unpack("<q", words[-8:])[0], codec="zstd", asbytes=True)
                 ends = np.cumsum(lengths, dtype=np.int64).tolist()
                 vocab = [blob[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-                if len(known) > MEMO:
-                    known.clear()
                 new = [w for w in vocab if w not in known]
                 # a pre-token whose first mark was cut off and that is empty is a lone mark, which only a longer text shows
                 known.update(zip(new, _count(sp, new), strict=True))
@@ -213,8 +214,10 @@ def _totals(limit: int):
 
 def token_counts(docs: DataFrame, path: str | None = None, limit: int = 4096) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every document; `path` is the model's file on every machine."""
-    n = lanes(docs.sparkSession)
+    parts, n = deal(docs.sparkSession, text_bytes(docs))
     path = path or model_path()
-    posted = arrow(docs.select(F.col("doc_id").cast("long"), "text"), _postings(2 * n), "block string, lane int, is_header boolean, data binary, words binary")
-    counted = posted.repartition(n, "lane").mapInArrow(_lookups(path), "block string, is_header boolean, data binary")
-    return counted.repartition(n, "block").sortWithinPartitions("block").mapInArrow(_totals(limit), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    posted = arrow(docs.select(F.col("doc_id").cast("long"), "text"), _postings(min(n, MOST_LANES)), "block string, lane int, is_header boolean, data binary, words binary")
+    dealt = posted.repartition(min(parts, MOST_LANES), "lane").sortWithinPartitions("lane")
+    counted = dealt.mapInArrow(_lookups(path), "block string, is_header boolean, data binary")
+    by_block = counted.repartition(parts, "block").sortWithinPartitions("block")
+    return by_block.mapInArrow(_totals(limit), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
