@@ -1,8 +1,8 @@
 """Token ids of a byte-level BPE tokenizer for groups of whole texts.
 
-The tokenizer's own pattern never joins a character with a space after it, unless the character is white
-space itself; so a text may be cut before any such space, and its ids are those of the parts, one after
-the other. A group's texts are split at spaces, their words dictionary-encoded by Arrow, each distinct
+The tokenizer must split texts by `public_tokenizers.PATTERN`, which never joins a character with a space
+after it, unless the character is white space itself; so a text may be cut before any such space, and its
+ids are those of the parts, one after the other. `check_tokenizer` tests both when a file is loaded. A group's texts are split at spaces, their words dictionary-encoded by Arrow, each distinct
 word tokenized once, and the words' ids put in the texts' order by one gather. Texts with a space after
 white space, or with the string of a special token, go to the library whole.
 """
@@ -27,6 +27,29 @@ def load(path: str):
     return Tokenizer.from_file(path)
 
 
+#: What one character of each kind is followed by; what comes before a space must not depend on what comes after.
+PROBES = ["a", "Z", "é", "漢", "क", "1", "٣", "_", "'s", "'", "-", "…", "😀", "\u200d", "\u0301", "\x00", "ﬁ"]
+
+
+def check_tokenizer(tokenizer) -> None:
+    """A file whose text is split in another way than ours would give other ids: raise."""
+    import public_tokenizers
+    import regex
+
+    made = tokenizer.pre_tokenizer
+    if made is None or tokenizer.normalizer is not None:
+        raise ValueError("this tokenizer does not split texts by the pattern, or it rewrites them")
+    text = " ".join(a + b for a in PROBES for b in PROBES) + " \n x  \t y\u00a0z  "
+    sizes = [e - b for _, (b, e) in made.pre_tokenize_str(text)]
+    if sizes != [len(m[0]) for m in regex.finditer(public_tokenizers.PATTERN, text)]:
+        raise ValueError("this tokenizer splits texts by another pattern")
+    whole = lambda t: tokenizer.encode(t, add_special_tokens=False).ids
+    for a in PROBES:
+        for b in PROBES:
+            if whole(f"{a} {b}") != whole(a) + whole(f" {b}"):
+                raise ValueError(f"this tokenizer joins {a!r} with a space after it")
+
+
 def load_ranks(path: str, tokenizer):
     """A tiktoken encoding of the same vocabulary; ids of new words come from it, which takes a third of the time."""
     import base64
@@ -73,6 +96,7 @@ class Encoder:
 
     def __init__(self, path: str, ranks: str | None = None):
         self.tokenizer = load(path)
+        check_tokenizer(self.tokenizer)
         self.ranks = load_ranks(ranks, self.tokenizer) if ranks else None
         self.end = _byte_lengths(self.tokenizer)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]

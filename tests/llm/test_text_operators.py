@@ -23,6 +23,25 @@ def small(spark, name="documents"):
 
 # ---- token counts
 
+def test_a_pre_token_is_counted_once(monkeypatch):
+    """In a partition with several lanes and blocks, each distinct pre-token goes to the model once."""
+    class Part:
+        get = staticmethod(lambda: Part)
+        partitionId = staticmethod(lambda: 0)  # noqa: N815
+
+    monkeypatch.setattr(token_counts, "TaskContext", Part)
+    monkeypatch.setattr(token_counts, "BLOCK_DOCS", 7)
+    asked, count = [], token_counts._count
+    monkeypatch.setattr(token_counts, "_count", lambda sp, words: asked.extend(words) or count(sp, words))
+    texts = [text(i % 30, 50) for i in range(90)]
+    posted = pa.Table.from_batches(token_counts._postings(5)([pa.record_batch({"doc_id": list(range(90)), "text": texts})])).sort_by("lane")
+    counted = list(token_counts._lookups(token_counts.model_path())(posted.to_batches(max_chunksize=4)))
+    assert len(asked) == len(set(asked)) == len({w for t in texts for w in t.split(" ")})
+    got = pa.Table.from_batches(token_counts._totals(4096)(pa.Table.from_batches(counted).sort_by("block").to_batches()))
+    sp = token_counts.model(token_counts.model_path())
+    assert dict(zip(got["doc_id"].to_pylist(), got["n_tokens"].to_pylist(), strict=True)) == {i: len(sp.encode(t)) for i, t in enumerate(texts)}
+
+
 def test_token_counts(spark):
     sp = token_counts.model(token_counts.model_path())
     for df in (small(spark), edge_docs(spark)):
@@ -121,6 +140,19 @@ def test_ids_are_the_librarys(ranks):
     assert e.of(pa.array([], pa.string()))[1].tolist() == [0]
 
 
+def test_another_split_rule_is_refused():
+    bpe_ids.check_tokenizer(bpe_ids.load(bpe_ids.tokenizer_path()))
+    for name in ("word_bpe_49k.json",):
+        with pytest.raises(ValueError):
+            bpe_ids.Encoder(bpe_ids.tokenizer_path(name))
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    other = Tokenizer.from_str(bpe_ids.load(bpe_ids.tokenizer_path()).to_str())
+    other.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    with pytest.raises(ValueError):
+        bpe_ids.check_tokenizer(other)
+
+
 def check_pieces(rows, docs, length=2048):
     tok = bpe_ids.load(bpe_ids.tokenizer_path())
     want = Counter((d, tuple(np.array(tok.encode(t or "", add_special_tokens=False).ids + [1], "<u4"))) for d, t in docs)
