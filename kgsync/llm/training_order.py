@@ -6,20 +6,27 @@
 2. The sequences of the table are sent to their global slots: a keyed Feistel network over
    the smallest even number of bits, walked along its cycle until it falls below the number of sequences,
    is a permutation of the indices that anyone can compute for one index, either way.
-3. Slots are dealt to range partitions of `per_shard` slots; each sorts its slots and writes one shard,
-   `length` ids of two bytes each from slot to slot, under a temporary name first, so a task that runs
-   again only replaces a file by its equal. A slot's shard and byte are plain arithmetic; reading is
-   sequential and can resume at any slot.
-
-Texts are tokenized once, and later steps read the table, so a step that runs again sees the same
-sequences. Memory is bounded by a group of documents, a sequence and Spark's sort. Null texts count
-as empty; null and repeated doc_id are kept; extra columns are ignored; an empty table has no sequence.
+3. Slots are dealt to range partitions of `per_shard` slots, those that a task has for one shard together
+   and compressed together. A partition puts its sequences into their places and writes one shard, `length`
+   ids of two bytes each from slot to slot, under a temporary name first, so a task that runs again only
+   replaces a file by its equal. A slot's shard and byte are plain arithmetic; reading is sequential and
+   can resume at any slot.
+4. When all shards are there, a manifest is put beside them; a folder without one is not whole. The
+   sequences' table is removed, and the table of slots, written with the shards, is returned.
+
+The shards are written by the call, once, not when the result is used. Texts are tokenized once, and later
+steps read the table, so a step that runs again sees the same sequences. Memory is bounded by a group of
+documents, the sequences that are dealt together, and a shard. PAD_ID is no id of the vocabulary, so an end
+is told from what fills the last sequence of a task. Null texts count as empty; null and repeated doc_id
+are kept; extra columns are ignored; an empty table has no sequence, no shard and a manifest.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,15 +35,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe_ids import Encoder, ranks_path, tokenizer_path
-from .common import arrow, checkpoint_dir
+from .common import arrow, checkpoint_dir, remove_folder
 from .packing import groups
 
 LENGTH, PER_SHARD = 2048, 8192
-END_ID, PAD_ID = 50256, 50256
+END_ID, PAD_ID = 50256, 65535
+MANIFEST = "_MANIFEST.json"
 KEY = 0x5DEECE66D
 ROUNDS = 6
-#: Sequences that are compressed together in the table.
-BLOCK = 64
+#: Sequences that are compressed together in the table, and that are dealt together.
+BLOCK, DEALT = 64, 4096
 ZSTD = 9
 SCHEMA = "slot long, shard long, byte_offset long, sequence_index long, n_tokens long, first_doc_id long, first_start long, n_docs long, ids_crc32 long"
 
@@ -85,7 +93,7 @@ class Permutation:
 def _sequences(batches, path: str, ranks: str | None, length: int):
     """(first doc_id, its start there, documents, ids as bytes without padding)"""
     encode, end, stride = Encoder(path, ranks), np.array([END_ID], "<u2").tobytes(), 2 * length
-    if encode.tokenizer.get_vocab_size() > 1 << 16:
+    if encode.tokenizer.get_vocab_size() > PAD_ID:
         raise ValueError("ids do not fit two bytes")
     held, size, spans = [], 0, []
     for group in groups(batches):
@@ -134,69 +142,112 @@ def _make(path: str, ranks: str | None, length: int):
     return run
 
 
+REPORT = ["sequence_index", "n_tokens", "first_doc_id", "first_start", "n_docs"]
+PARCEL = "shard int, slot array<long>, " + ", ".join(f"{c} array<long>" for c in REPORT) + ", ids binary"
+
+
 def _emit(per_shard: int, first: np.ndarray, order: Permutation):
+    """Rows of PARCEL: the sequences of some blocks that go to one shard, in the order of their slots."""
+
+    def parcels(codec, held) -> Iterator[pa.RecordBatch]:
+        columns, data = list(zip(*(h[:-1] for h in held), strict=True)), [d for h in held for d in h[-1]]
+        index, n_tokens, doc, start, n_docs = (np.concatenate(c) for c in columns)
+        slots = order.forward(index)
+        by = np.argsort(slots)
+        shard = slots[by] // per_shard
+        edges = np.r_[np.flatnonzero(np.diff(shard, prepend=-1)), len(by)]
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            some = by[a:b]
+            longs = [pa.array([x[some]], pa.list_(pa.int64())) for x in (slots, index, n_tokens)] + [pa.array([[x[i] for i in some]], pa.list_(pa.int64())) for x in (doc, start, n_docs)]
+            ids = codec.compress(b"".join([data[i] for i in some]), asbytes=True)
+            yield pa.record_batch([pa.array([int(shard[a])], pa.int32()), *longs, pa.array([ids], pa.binary())], names=[c.split()[0] for c in PARCEL.split(", ")])
+
     def run(batches):
-        codec = pa.Codec("zstd", compression_level=ZSTD)
+        codec, held, size = pa.Codec("zstd", compression_level=ZSTD), [], 0
         for batch in batches:
             for row in batch.to_pylist():
-                index = int(first[row["part"]]) + row["local"] + np.arange(row["n"])
-                slots = order.forward(index)
-                size = 2 * np.array(row["n_tokens"])
-                ends = np.cumsum(size)
-                data = codec.decompress(row["ids"], int(ends[-1]), asbytes=True)
-                parts = [codec.compress(data[b - n : b], asbytes=True) for b, n in zip(ends.tolist(), size.tolist(), strict=True)]
-                longs = {k: pa.array(row[k], pa.int64()) for k in ("first_doc_id", "first_start", "n_docs", "n_tokens")}
-                yield pa.record_batch({"slot": pa.array(slots), "shard": pa.array((slots // per_shard).astype(np.int32)), "sequence_index": pa.array(index), **longs, "ids": pa.array(parts, pa.binary())})
+                ends = np.cumsum(2 * np.array(row["n_tokens"]))
+                raw = codec.decompress(row["ids"], int(ends[-1]), asbytes=True)
+                data = [raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+                named = [np.array(row[k], object) for k in ("first_doc_id", "first_start", "n_docs")]  # doc_id may be null
+                held.append((int(first[row["part"]]) + row["local"] + np.arange(row["n"]), np.array(row["n_tokens"], np.int64), *named, data))
+                size += row["n"]
+                if size >= DEALT:
+                    yield from parcels(codec, held)
+                    held, size = [], 0
+        if held:
+            yield from parcels(codec, held)
 
     return run
 
 
-class _Shard:
-    """One file, written under a temporary name and renamed once whole."""
+def _store(folder: str):
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(folder)
 
-    def __init__(self, folder: str, number: int):
-        from pyarrow import fs
 
-        self.fs, base = fs.FileSystem.from_uri(folder)
-        self.name = f"{base}/shard-{number:08d}.bin"
-        self.part = f"{base}/.{number:08d}-{uuid.uuid4().hex}"
-        self.number, self.stream = number, self.fs.open_output_stream(self.part)
+def _put(folder: str, name: str, data: bytes) -> None:
+    """A file that is there whole or not at all."""
+    store, base = _store(folder)
+    part = f"{base}/.{name}-{uuid.uuid4().hex}"
+    with store.open_output_stream(part) as f:
+        f.write(data)
+    store.move(part, f"{base}/{name}")
 
-    def close(self) -> None:
-        self.stream.close()
-        self.fs.move(self.part, self.name)
 
+def _shard_name(number: int) -> str:
+    return f"shard-{number:08d}.bin"
 
-def _write(folder: str, length: int, per_shard: int):
-    pad = np.array([PAD_ID], "<u2").tobytes()
+
+def _write(folder: str, length: int, per_shard: int, total: int):
     stride = 2 * length
 
+    def shard(number: int, parcels: list[dict]) -> pa.RecordBatch:
+        begin = number * per_shard
+        n = min(per_shard, total - begin)
+        out, columns = np.full((n, length), PAD_ID, "<u2"), {c: [None] * n for c in REPORT}
+        there = np.zeros(n, bool)
+        for p in parcels:
+            sizes = 2 * np.array(p["n_tokens"])
+            raw = pa.decompress(p["ids"], decompressed_size=int(sizes.sum()), codec="zstd", asbytes=True)
+            at = 0
+            for k, (slot, size) in enumerate(zip(p["slot"], sizes.tolist(), strict=True)):
+                i = slot - begin
+                if there[i]:
+                    raise RuntimeError(f"slot {slot} came twice")
+                there[i] = True
+                out[i, : size // 2] = np.frombuffer(raw, "<u2", size // 2, at)
+                at += size
+                for c in REPORT:
+                    columns[c][i] = p[c][k]
+        if not there.all():
+            raise RuntimeError(f"{n - int(there.sum())} sequences of shard {number} are missing")
+        _put(folder, _shard_name(number), out.tobytes())
+        where = np.arange(n)
+        return pa.record_batch(
+            {
+                "slot": pa.array(begin + where),
+                "shard": pa.array(np.full(n, number)),
+                "byte_offset": pa.array(where * stride),
+                **{c: pa.array(columns[c], pa.int64()) for c in REPORT},
+                "ids_crc32": pa.array([zlib.crc32(x) for x in out], pa.int64()),
+            }
+        ).select([c.split()[0] for c in SCHEMA.split(", ")])
+
     def run(batches):
-        shard, expected = None, -1
+        parcels: dict[int, list[dict]] = {}
         for b in batches:
-            rows = []
-            cols = (b.column(k).to_pylist() for k in ("slot", "shard", "sequence_index", "n_tokens", "first_doc_id", "first_start", "n_docs", "ids"))
-            for slot, number, index, n, doc, start, n_docs, ids in zip(*cols, strict=True):
-                if shard is None or shard.number != number:
-                    if shard is not None:
-                        shard.close()
-                    shard, expected = _Shard(folder, number), number * per_shard
-                if slot != expected:
-                    raise RuntimeError(f"slot {slot} where {expected} was due")
-                expected += 1
-                data = pa.decompress(ids, decompressed_size=2 * n, codec="zstd", asbytes=True) + pad * (length - n)
-                shard.stream.write(data)
-                rows.append((slot, number, (slot - number * per_shard) * stride, index, n, doc, start, n_docs, zlib.crc32(data)))
-            if rows:
-                yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=[c.split()[0] for c in SCHEMA.split(", ")])
-        if shard is not None:
-            shard.close()
+            for p in b.to_pylist():
+                parcels.setdefault(p["shard"], []).append(p)
+        for number, some in parcels.items():
+            yield shard(number, some)
 
     return run
 
 
 def materialise(docs: DataFrame, folder: str | None = None, path: str | None = None, ranks: str | None = None, length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY) -> DataFrame:
-    """Writes the shards when the result is used; one row for each slot. `folder` must be shared by all machines (default: one in the checkpoint folder)."""
+    """Writes the shards and their manifest; one row for each slot. `folder` must be shared by all machines (default: one in the checkpoint folder)."""
     spark = docs.sparkSession
     if path is None:
         path, ranks = tokenizer_path(), ranks_path()
@@ -209,30 +260,38 @@ def materialise(docs: DataFrame, folder: str | None = None, path: str | None = N
     for r in counted:
         counts[r.part] = r.n
     total = int(counts.sum())
-    if not total:
-        return spark.createDataFrame([], SCHEMA)
-    from pyarrow import fs
-
-    store, base = fs.FileSystem.from_uri(folder)
+    store, base = _store(folder)
     store.create_dir(base, recursive=True)
-    emitted = table.mapInArrow(
-        _emit(per_shard, np.cumsum(counts) - counts, Permutation(total, key)),
-        "slot long, shard int, sequence_index long, first_doc_id long, first_start long, n_docs long, n_tokens long, ids binary",
-    )
-    dealt = emitted.repartitionById(-(-total // per_shard), F.col("shard")).sortWithinPartitions("slot")
-    return dealt.mapInArrow(_write(folder, length, per_shard), SCHEMA)
-
-
-def read_slots(folder: str, start: int, stop: int, length: int = LENGTH, per_shard: int = PER_SHARD):
+    shards = -(-total // per_shard)
+    if total:
+        emitted = table.mapInArrow(_emit(per_shard, np.cumsum(counts) - counts, Permutation(total, key)), PARCEL)
+        written = emitted.repartitionById(shards, F.col("shard")).mapInArrow(_write(folder, length, per_shard, total), SCHEMA)
+    else:
+        written = spark.createDataFrame([], SCHEMA)
+    written.write.parquet(f"{work}/slots")
+    about = {"sequences": total, "length": length, "shards": shards, "per_shard": per_shard, "key": key, "end_id": END_ID, "pad_id": PAD_ID}
+    _put(folder, MANIFEST, json.dumps(about).encode())
+    remove_folder(spark, f"{work}/sequences")
+    return spark.read.schema(SCHEMA).parquet(f"{work}/slots")
+
+
+def manifest(folder: str) -> dict:
+    """What the folder's shards are; raises where they are not all there."""
+    store, base = _store(folder)
+    with store.open_input_file(f"{base}/{MANIFEST}") as f:
+        return json.loads(f.read())
+
+
+def read_slots(folder: str, start: int, stop: int):
     """Sequences of the slots start..stop-1, read one after the other; resume with a later start."""
-    from pyarrow import fs
-
-    store, base = fs.FileSystem.from_uri(folder)
-    stride, slot = 2 * length, start
+    about = manifest(folder)
+    store, base = _store(folder)
+    length, per_shard = about["length"], about["per_shard"]
+    slot, stop = start, min(stop, about["sequences"])
     while slot < stop:
-        shard = slot // per_shard
-        with store.open_input_file(f"{base}/shard-{shard:08d}.bin") as f:
-            f.seek((slot - shard * per_shard) * stride)
-            for _ in range(slot, min(stop, (shard + 1) * per_shard)):
-                yield slot, np.frombuffer(f.read(stride), "<u2")
+        number = slot // per_shard
+        with store.open_input_file(f"{base}/{_shard_name(number)}") as f:
+            f.seek((slot - number * per_shard) * 2 * length)
+            for _ in range(slot, min(stop, (number + 1) * per_shard)):
+                yield slot, np.frombuffer(f.read(2 * length), "<u2")
                 slot += 1

@@ -227,7 +227,9 @@ def test_materialise(spark, tmp_path):
     rows = {r.slot: r for r in training_order.materialise(df, folder, length=64, per_shard=50).collect()}
     assert sorted(rows) == list(range(len(rows)))
     tok = bpe_ids.load(bpe_ids.tokenizer_path())
-    stream = list(training_order.read_slots(folder, 0, len(rows), 64, 50))
+    stream = list(training_order.read_slots(folder, 0, len(rows)))
+    assert training_order.manifest(folder)["sequences"] == len(rows) == len(stream)
+    assert {x for slot, ids in stream for x in ids[rows[slot].n_tokens :]} == {training_order.PAD_ID}
     for slot, ids in stream:
         r = rows[slot]
         assert zlib.crc32(ids.tobytes()) == r.ids_crc32 and r.shard == slot // 50 and r.byte_offset == slot % 50 * 128
@@ -235,8 +237,24 @@ def test_materialise(spark, tmp_path):
     got = Counter(x for _, ids in by_index for x in ids)
     want = Counter(x for r in df.collect() for x in [*tok.encode(r.text or "", add_special_tokens=False).ids, 50256])
     assert got == want
-    assert [s for s, _ in training_order.read_slots(folder, 49, 53, 64, 50)] == [49, 50, 51, 52]
-    assert training_order.materialise(empty_docs(spark)).count() == 0
+    assert [s for s, _ in training_order.read_slots(folder, 49, 53)] == [49, 50, 51, 52]
+    again = str(tmp_path / "again")
+    training_order.materialise(df, again, length=64, per_shard=50).limit(1).collect()  # whatever is asked of the result
+    assert all((a == b).all() for (_, a), (_, b) in zip(stream, training_order.read_slots(again, 0, len(rows)), strict=True))
+    empty = str(tmp_path / "empty")
+    assert training_order.materialise(empty_docs(spark), empty).count() == 0 and training_order.manifest(empty)["sequences"] == 0
+    assert list(training_order.read_slots(empty, 0, 10)) == []
+
+
+def test_shards_that_are_not_whole_are_refused(tmp_path):
+    with pytest.raises(FileNotFoundError):
+        list(training_order.read_slots(str(tmp_path), 0, 1))
+    write = training_order._write(str(tmp_path), 4, 3, 3)
+    parcel = lambda *slots: pa.record_batch({"shard": pa.array([0], pa.int32()), "slot": [list(slots)], **{c: [[4] * len(slots)] for c in training_order.REPORT}, "ids": [pa.compress(b"\1\0" * 4 * len(slots), codec="zstd", asbytes=True)]})
+    for given in ([parcel(0, 1)], [parcel(0, 1), parcel(1, 2)]):
+        with pytest.raises(RuntimeError):
+            list(write(given))
+    assert len(list(write([parcel(2, 0), parcel(1)]))) == 1
 
 
 # ---- media
