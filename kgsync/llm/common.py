@@ -83,8 +83,9 @@ def text_bytes(docs: DataFrame) -> int:
 
 
 def deal(spark: SparkSession, size: int) -> tuple[int, int]:
-    """Partitions and lanes of a keyed exchange of so many text bytes."""
-    return lanes(spark), 2 * lanes(spark)
+    """Partitions and lanes of a keyed exchange of so many text bytes: both grow with the input, neither task nor lane does."""
+    parts = max(lanes(spark), -(-size // PARTITION_BYTES))
+    return parts, max(2 * lanes(spark), -(-size // LANE_BYTES))
 
 
 def arrow(df: DataFrame, function, schema) -> DataFrame:
