@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from kgsync.llm import packing, quality_rules, simhash, substring_dedup
-from kgsync.llm.common import checkpoint_dir, table
+from kgsync.llm.common import checkpoint_dir, remove_folder, table, work_folder
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +33,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each stage's output is a table in the shared folder; what a stage wrote for itself, and the output before, go when it is whole."""
     docs, folder = table(spark, sf_dir, "documents"), f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES[:-1]):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        with work_folder(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        if k:
+            remove_folder(spark, f"{folder}/{k - 1}")
         docs = spark.read.parquet(f"{folder}/{k}")
     return STAGES[-1][1](spark, docs, sf_dir)
