@@ -172,10 +172,10 @@ def quality(docs: DataFrame) -> DataFrame:
 def filter_documents(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep, with all their columns.
 
-    The fences need a first pass; the second one computes the features again, beside the text, which costs
-    less than carrying all texts through a shuffle.
+    Features are computed once and written down beside their documents; the sketches read the features
+    of that table alone, and the filter reads it as a whole.
     """
     names = docs.columns
-    taken = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("doc"), F.col("doc_id"), F.col("lang"), F.col("source"), F.col("text"))
-    limits = cut_lineage(fences(cut_lineage(sketches(with_features(taken.drop("doc"))))))
-    return judge(with_features(taken), limits).where("kept").select("doc.*")
+    taken = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("doc"), F.col("lang"), F.col("source"), F.col("text"))
+    features = write_down(with_features(taken).drop("text"))
+    return judge(features, cut_lineage(fences(sketches(features)))).where("kept").select("doc.*")
