@@ -2,19 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """In the folder that spark.checkpoint.dir names; in a temporary one only where none is set (tests)."""
-    spark: SparkSession = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="kgsync-checkpoint-"))
-    return df.checkpoint(eager=True)
+from ..written import checkpointed
 
 
 def numbered(df: DataFrame, *order: Column | str, name: str = "n") -> DataFrame:

@@ -16,7 +16,7 @@ from ..functions.hashing import entity_hash, statement_hash, statement_json
 from ..functions.identifiers import normalize, normalized_local_name, property_key, squeeze, strip
 from ..sources.triples import Predicates
 from ..terms import DESCRIPTIONS, LABEL, META_TYPES, NOTHING, OWL, PROPERTY_TYPES, RDF_TYPE, SUB_CLASS_OF, THING, TYPE_PRECEDENCE
-from .numbering import checkpointed
+from ..written import checkpointed
 
 
 def entity_type(types: Column) -> Column:

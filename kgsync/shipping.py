@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -30,4 +32,5 @@ def ship(spark: SparkSession) -> None:
         for f in sorted((_ROOT / "kgsync").rglob("*.py")):
             z.write(f, f.relative_to(_ROOT))
     sc.addPyFile(path)
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)  # it is served from there while the application runs
     _shipped.add(sc.applicationId)

@@ -10,7 +10,8 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from itertools import count
+from io import BytesIO
+from itertools import count, islice
 from urllib.parse import urljoin
 from xml.etree import ElementTree
 
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..shipping import ship
 from ..terms import RDF, RDF_TYPE, TRIPLES
+from ..written import new_folder, remove
 from .triples import TableSource
 
 XML = "{http://www.w3.org/XML/1998/namespace}"
@@ -343,15 +345,18 @@ def read_documents(spark: SparkSession, path: str, syntax: str) -> DataFrame:
         for batch in batches:
             for name, data in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
                 scope = f"{name.rsplit('/', 1)[-1]}-"
-                rows = [tuple(scope + x if k in (0, 3) and t[k + 1] == "bnode" else x for k, x in enumerate(t)) for t in parse(data, name)]
-                for i in range(0, len(rows), 50_000):
-                    yield pa.record_batch([pa.array(c, pa.string()) for c in zip(*rows[i : i + 50_000], strict=True)], names=NAMES)
+                named = (tuple(scope + x if k in (0, 3) and t[k + 1] == "bnode" else x for k, x in enumerate(t)) for t in parse(data, name))
+                while rows := list(islice(named, 50_000)):
+                    yield pa.record_batch([pa.array(c, pa.string()) for c in zip(*rows, strict=True)], names=NAMES)
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, TRIPLES)
 
 
-def load_ontology(spark: SparkSession, path: str, syntax: str | None = None) -> TableSource:
-    """A graph of a file. Without a syntax, that of its ending is tried first, then all in turn; the first that reads it counts."""
+def load_ontology(spark: SparkSession, path: str, syntax: str | None = None, folder: str | None = None) -> TableSource:
+    """A graph of a file, or of the files in a folder, parsed once and written down as a table at `folder` (default: in the shared one).
+
+    Without a syntax, that of its ending is tried first, then all in turn; the first that reads it counts.
+    """
     try:
         files = spark.read.format("binaryFile").load(path).select("length").collect()
     except AnalysisException as e:
@@ -362,12 +367,40 @@ def load_ontology(spark: SparkSession, path: str, syntax: str | None = None) ->
         raise OntologyLoadError(f"{path} is empty")
     guessed = BY_ENDING.get(path.rsplit(".", 1)[-1].lower())
     tried, errors = [syntax] if syntax else list(dict.fromkeys([guessed, *ORDER] if guessed else ORDER)), []
+    folder = folder or new_folder(spark, "triples")
     for s in tried:
         triples = read_ntriples(spark, path) if s == "nt" else read_documents(spark, path, s)
         try:
-            if not triples.isEmpty():
-                return TableSource(triples)
+            source = TableSource.written(triples, folder)
+            if not source.triples.isEmpty():
+                return source
             errors.append(f"{s}: no triple")
         except Exception as e:  # noqa: BLE001  the next syntax may do
             errors.append(f"{s}: {str(e).strip().splitlines()[-1][:200]}")
+        remove(spark, folder)
     raise OntologyLoadError(f"{path} can't be read: " + "; ".join(errors))
+
+
+def declared_prefixes(spark: SparkSession, path: str, syntax: str) -> DataFrame:
+    """(prefix, namespace) that the files declare; N-Triples declare none."""
+    ship(spark)
+
+    def found(data: bytes) -> set[tuple[str, str]]:
+        if syntax == "xml":
+            return {tuple(x) for _, x in ElementTree.iterparse(BytesIO(data), ["start-ns"])}
+        if syntax in ("turtle", "n3"):
+            reader = _Turtle(data.decode("utf-8"), "")
+            reader.run()
+            return set(reader.prefixes.items())
+        if syntax == "json-ld":
+            document = json.loads(data)
+            contexts = [d.get("@context", {}) for d in (document if isinstance(document, list) else [document])]
+            return {(k, v) for c in contexts if isinstance(c, dict) for k, v in c.items() if isinstance(v, str) and v.endswith(("#", "/"))}
+        return set()
+
+    def run(batches):
+        for batch in batches:
+            rows = sorted(set().union(*map(found, batch.column("content").to_pylist())))
+            yield pa.record_batch({"prefix": pa.array([r[0] for r in rows], pa.string()), "namespace": pa.array([r[1] for r in rows], pa.string())})
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "prefix string, namespace string").distinct().orderBy("prefix", "namespace")

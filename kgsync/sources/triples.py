@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.identifiers import normalized_local_name
+from ..terms import TRIPLES
 
 
 def python_local_name(identifier: str) -> str:
@@ -52,6 +53,14 @@ class TableSource:
     def __init__(self, triples: DataFrame, distinct: bool = True):
         self.triples = triples.distinct() if distinct else triples
 
+    @classmethod
+    def written(cls, triples: DataFrame, folder: str) -> TableSource:
+        """The set of triples as a table, made once and laid out by predicate and subject, so that a scan for some predicates skips the row groups of others."""
+        spark = triples.sparkSession
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        triples.distinct().repartitionByRange(parts, "p", "s").sortWithinPartitions("p", "s").write.parquet(folder)
+        return cls(spark.read.schema(TRIPLES).parquet(folder), distinct=False)
+
     def scan(self, keep: Predicates | None = None) -> DataFrame:
         return self.triples if keep is None else self.triples.where(keep.column(F.col("p")))
 
@@ -103,3 +112,14 @@ class MappedSource:
         for p in parts[1:]:
             out = out.unionAll(p)
         return out
+
+
+def sample(source, n: int = 15) -> DataFrame:
+    """The first triples in order: (subject, predicate, object)."""
+    return source.scan().select(F.col("s").alias("subject"), F.col("p").alias("predicate"), F.col("o").alias("object")).orderBy("subject", "predicate", "object").limit(n)
+
+
+def namespaces(source) -> DataFrame:
+    """(namespace, n): of the predicates in use, most used first; an identifier up to its last mark."""
+    namespace = F.regexp_extract("p", "^(.*[#/])", 1)
+    return source.scan().groupBy(F.when(namespace == "", F.col("p")).otherwise(namespace).alias("namespace")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "namespace")
