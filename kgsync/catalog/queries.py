@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,15 +11,14 @@ from pyspark.sql import functions as F
 from ..config import Config
 from ..functions import identifiers as ids
 from ..functions import values
-
 from ..operators import profile, validate
 from ..operators.ontology import Ontology
 from ..plans import plan as plans
 from ..plans.execute import Execution, number_new_items
 from ..plans.plan import Existing, Planner
-from ..sources import fixtures, stores
-from ..sources.remote import claim_values
-from ..terms import LABEL, PLAN_COLUMNS
+from ..sources import fixtures, rdf, stores, triples
+from ..sources.remote import claim_values, remote_matches
+from ..terms import LABEL, PLAN_COLUMNS, SUB_CLASS_OF, THING
 from . import sql
 from .sql import NS, PRELUDE
 
@@ -121,14 +121,8 @@ def conversions(statements: DataFrame) -> DataFrame:
     return out.select("s", "map_key", "value", "dt", "c.comparable_value", "c.error")
 
 
-@query(f"{_CONVERSIONS} WHERE s LIKE '%Supplier%' OR s LIKE '%Page%' OR s LIKE '%Nation%')")
-def convert_values(spark, d):
-    """Of suppliers, pages and nations alone; convert_all_values is the whole."""
-    return conversions(onto(spark, d).statements.where("s like '%Supplier%' or s like '%Page%' or s like '%Nation%'"))
-
-
 @query(f"{_CONVERSIONS})")
-def convert_all_values(spark, d):
+def convert_values(spark, d):
     return conversions(onto(spark, d).statements)
 
 
@@ -178,6 +172,52 @@ def scan_triples(spark, d):
     return fixtures.graph(spark, d).scan().withColumns({c: F.coalesce(c, F.lit("")) for c in ("o_datatype", "o_lang")})
 
 
+_NS = f"'{NS}"
+_TRIPLE = "SELECT '{syntax}' AS syntax, {s} AS s, '{p}' AS p, {o} AS o, '{kind}' AS o_kind, '{datatype}' AS o_datatype, '{lang}' AS o_lang FROM {table}"
+
+
+def _parsed() -> str:
+    customer, supplier, region, nation = (f"{_NS}{n}_' || {k}" for n, k in (("Customer", "c_custkey"), ("Supplier", "s_suppkey"), ("Region", "r_regionkey"), ("Nation", "n_nationkey")))
+    xsd, individual = "http://www.w3.org/2001/XMLSchema#", f"'{sql.OWL}NamedIndividual'"
+    rows = [
+        ("nt", customer, sql.RDF_TYPE, individual, "iri", "", "", "customer"),
+        ("nt", customer, LABEL, "c_name", "literal", "", "en", "customer"),
+        ("nt", customer, NS + "balance", "CAST(c_acctbal AS VARCHAR)", "literal", xsd + "decimal", "", "customer"),
+        ("turtle", supplier, sql.RDF_TYPE, individual, "iri", "", "", "supplier"),
+        ("turtle", supplier, LABEL, "s_name", "literal", "", "en", "supplier"),
+        ("turtle", supplier, NS + "hasNation", f"{_NS}Nation_' || s_nationkey", "iri", "", "", "supplier"),
+        ("turtle", supplier, NS + "rank", "CAST(s_suppkey AS VARCHAR)", "literal", xsd + "integer", "", "supplier"),
+        ("xml", region, sql.RDF_TYPE, f"'{sql.OWL}Class'", "iri", "", "", "region"),
+        ("xml", region, LABEL, "r_name", "literal", "", "en", "region"),
+        ("xml", region, SUB_CLASS_OF, f"'{THING}'", "iri", "", "", "region"),
+        ("json-ld", nation, sql.RDF_TYPE, individual, "iri", "", "", "nation"),
+        ("json-ld", nation, NS + "inRegion", f"{_NS}Region_' || n_regionkey", "iri", "", "", "nation"),
+        ("json-ld", nation, NS + "name", "n_name", "literal", "", "", "nation"),
+    ]
+    names = ("syntax", "s", "p", "o", "kind", "datatype", "lang", "table")
+    return " UNION ALL ".join(_TRIPLE.format(**dict(zip(names, r, strict=True))) for r in rows)
+
+
+@query(_parsed(), prelude=False)
+def scan_parsed(spark, d):
+    """Files of each syntax, made from the tables, parsed and read back."""
+    parts = []
+    for syntax, folder in fixtures.documents(spark, d).items():
+        read = rdf.load_ontology(spark, folder, syntax).scan()
+        parts.append(read.select(F.lit(syntax).alias("syntax"), "s", "p", "o", "o_kind", F.coalesce("o_datatype", F.lit("")).alias("o_datatype"), F.coalesce("o_lang", F.lit("")).alias("o_lang")))
+    return reduce(DataFrame.unionAll, parts)
+
+
+@query("SELECT s AS subject, p AS predicate, o AS object FROM t ORDER BY s, p, o LIMIT 15")
+def triple_sample(spark, d):
+    return triples.sample(fixtures.graph(spark, d))
+
+
+@query("SELECT CASE WHEN x = '' THEN p ELSE x END AS namespace, count(*) AS n FROM (SELECT p, regexp_extract(p, '^(.*[#/])', 1) AS x FROM t) GROUP BY 1")
+def namespaces(spark, d):
+    return triples.namespaces(fixtures.graph(spark, d))
+
+
 _TYPED = (
     f"(SELECT s AS resource, CASE WHEN bool_or(o = '{sql.OWL}Class') THEN 'OwlClass' WHEN bool_or(o = '{sql.OWL}NamedIndividual') THEN 'NamedIndividual' WHEN bool_or(o = '{sql.OWL}ObjectProperty') THEN 'ObjectProperty' "
     f"WHEN bool_or(o = '{sql.OWL}DatatypeProperty') THEN 'DatatypeProperty' WHEN bool_or(o = '{sql.OWL}AnnotationProperty') THEN 'AnnotationProperty' ELSE 'Unknown' END AS entity_type FROM t WHERE p = '{sql.RDF_TYPE}' AND s_kind = 'iri' GROUP BY s)"
@@ -379,6 +419,11 @@ def all_findings(spark, d):
     return validate.all_findings(onto(spark, d), mapping(spark))
 
 
+@query(f'SELECT * FROM {_ALL} ORDER BY severity, "check", source_identifier, message, details LIMIT 20')
+def findings_preview(spark, d):
+    return validate.preview(validate.all_findings(onto(spark, d), mapping(spark)))
+
+
 @query(f"SELECT v.severity, count(f.severity) AS n FROM (VALUES ('INFO'), ('WARNING'), ('ERROR'), ('BLOCKING')) AS v(severity) LEFT JOIN {_ALL} f ON f.severity = v.severity GROUP BY v.severity")
 def findings_summary(spark, d):
     return validate.summary(validate.all_findings(onto(spark, d), mapping(spark)))
@@ -402,7 +447,17 @@ def cache_records(spark, d):
     return fixtures.entity_cache_fx(spark, d)
 
 
-@query(f"SELECT qid, {sql.jlist('list_sort(list(canonical_id))')} AS canonical_ids FROM cache GROUP BY qid HAVING count(*) > 1")
+@query(f"SELECT canonical_id, qid, entity_type FROM cache WHERE canonical_id = '{NS}Customer_4'")
+def cache_lookup(spark, d):
+    return stores.entry_of(fixtures.entity_cache_fx(spark, d), NS + "Customer_4").select("canonical_id", "qid", "entity_type")
+
+
+@query("SELECT canonical_id, 'https://kg.example.org/entity/' || qid AS uri FROM cache")
+def entity_uris(spark, d):
+    return fixtures.entity_cache_fx(spark, d).select("canonical_id", ids.entity_uri(F.lit("https://kg.example.org/"), F.col("qid")).alias("uri"))
+
+
+@query(f"SELECT qid, {sql.jlist('list_sort(list(canonical_id))')} AS canonical_ids FROM cache GROUP BY qid HAVING count(*) > 1 AND coalesce(qid, '') <> ''")
 def duplicate_qids(spark, d):
     return validate.duplicate_qids(fixtures.entity_cache_fx(spark, d)).withColumn("canonical_ids", F.to_json("canonical_ids"))
 
@@ -419,13 +474,15 @@ def lookup_batches(spark, d):
 
 @query(f"SELECT qid FROM rem WHERE identity_value = '{NS}Part_11'")
 def remote_identity_single(spark, d):
-    return fixtures.remote_matches_fx(spark, d).where(F.col("identity_value") == NS + "Part_11").select(ids.qid_of(F.concat(F.lit("http://kg.example.org/entity/"), F.col("qid"))).alias("qid"))
+    found = fixtures.lookup_client().find_one("P17", NS + "Part_11")
+    return spark.createDataFrame([(q,) for q in found], "qid string")
 
 
 @query(f"SELECT identity_value, {sql.jlist('list_sort(list(qid))')} AS qids FROM rem WHERE identity_value IN (SELECT canonical_id FROM ent WHERE canonical_id NOT IN (SELECT canonical_id FROM cache)) GROUP BY identity_value")
 def remote_identity_batch(spark, d):
-    wanted = planner(spark, d).cache_miss().select(F.col("canonical_id").alias("identity_value")).distinct()
-    return fixtures.remote_matches_fx(spark, d).join(wanted, "identity_value", "left_semi").groupBy("identity_value").agg(F.to_json(F.sort_array(F.collect_list("qid"))).alias("qids"))
+    """One request for each batch, made on the executors."""
+    found = remote_matches(planner(spark, d).lookup_batches(), fixtures.lookup_client, "P17")
+    return found.groupBy("identity_value").agg(F.to_json(F.sort_array(F.collect_list("qid"))).alias("qids"))
 
 
 @query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'Q' || json_extract_string(props, '$.k') WHEN 1 THEN 'text ' || json_extract_string(props, '$.k') WHEN 2 THEN '+2024-01-01T00:00:00Z' ELSE json_extract_string(props, '$.k') END AS value FROM events", prelude=False)
@@ -502,6 +559,11 @@ def full_plan(spark, d):
     return planner(spark, d).plan().drop("datavalue")
 
 
+@query(_PLAN("plan") + f" ORDER BY {', '.join(PLAN_COLUMNS)} LIMIT 20")
+def plan_preview(spark, d):
+    return plans.preview(planner(spark, d).plan())
+
+
 @query("SELECT action, count(*) AS n FROM plan GROUP BY action")
 def action_counts(spark, d):
     return plans.action_counts(planner(spark, d).plan())

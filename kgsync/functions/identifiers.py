@@ -83,6 +83,16 @@ def qid_of(uri: Column) -> Column:
     return F.substring_index(uri, "/", -1)
 
 
+def entity_uri(base: Column, qid: Column) -> Column:
+    """Where an installation names its item."""
+    return F.concat(F.rtrim(base, F.lit("/")), F.lit("/entity/"), qid)
+
+
+def direct_predicate_uri(base: str, pid: str) -> str:
+    """By which its query service knows a property's plain values."""
+    return "/".join((base.rstrip("/"), "prop", "direct", pid))
+
+
 def escape_sparql(value: str) -> str:
     return value.replace("\\", "\\\\").replace('"', '\\"').replace("\n", "\\n")
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..terms import CALENDAR, DATATYPES
 from .identifiers import SCHEME, comparable_squeezed_uri, comparable_uri, let, quoted, squeeze
 
+# What a day, a month, a year and a quantity look like.
 _FULL = r"^([+-]?[0-9]{1,9})-([0-9]{2})-([0-9]{2})(?:T.*)?$"
 _MONTH = r"^([+-]?[0-9]{1,9})-([0-9]{2})$"
 _YEAR = r"^[+-]?[0-9]{1,9}$"

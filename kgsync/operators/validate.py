@@ -163,10 +163,15 @@ def all_findings(onto: Ontology, mapping: DataFrame) -> DataFrame:
 
 
 def summary(findings: DataFrame) -> DataFrame:
-    """(severity, n) for all four severities."""
+    """(severity, n) for all four severities, in the order of their names."""
     spark = findings.sparkSession
     every = spark.createDataFrame([(s,) for s in SEVERITIES], "severity string")
-    return every.join(findings.groupBy("severity").agg(F.count("*").alias("n")), "severity", "left").select("severity", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    return every.join(findings.groupBy("severity").agg(F.count("*").alias("n")), "severity", "left").select("severity", F.coalesce("n", F.lit(0)).cast("long").alias("n")).orderBy("severity")
+
+
+def preview(findings: DataFrame, n: int = 20) -> DataFrame:
+    """The first findings: by severity, then by check and where they are."""
+    return findings.orderBy("severity", "check", "source_identifier", "message", "details").limit(n)
 
 
 def has_blocking(findings: DataFrame) -> DataFrame:
@@ -206,7 +211,8 @@ def missing_qids(entities: DataFrame, cache: DataFrame) -> DataFrame:
 
 
 def duplicate_qids(cache: DataFrame) -> DataFrame:
-    return cache.groupBy("qid").agg(F.sort_array(F.collect_list("canonical_id")).alias("canonical_ids")).where(F.size("canonical_ids") > 1)
+    """(qid, canonical_ids) of items that stand for several identifiers. Entries without an item are none of these."""
+    return cache.where("coalesce(qid, '') <> ''").groupBy("qid").agg(F.sort_array(F.collect_list("canonical_id")).alias("canonical_ids")).where(F.size("canonical_ids") > 1)
 
 
 def not_live(cache: DataFrame, live: DataFrame) -> DataFrame:

@@ -19,10 +19,11 @@ from pyspark.sql import functions as F
 
 from ..functions.identifiers import squeeze
 from ..functions.values import comparable, convert
-from ..operators.numbering import checkpointed, numbered
+from ..operators.numbering import numbered
 from ..operators.ontology import Ontology
 from ..operators.validate import message
 from ..terms import ATTENTION, NEW_ITEM, PLAN_COLUMNS
+from ..written import checkpointed
 
 
 @dataclass
@@ -250,7 +251,8 @@ class Planner:
 
 
 def action_counts(plan: DataFrame) -> DataFrame:
-    return plan.groupBy("action").agg(F.count("*").alias("n"))
+    """(action, n), most frequent first."""
+    return plan.groupBy("action").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "action")
 
 
 def plan_summary(plan: DataFrame) -> DataFrame:
@@ -262,3 +264,8 @@ def plan_summary(plan: DataFrame) -> DataFrame:
 
 def attention(plan: DataFrame) -> DataFrame:
     return plan.where(F.col("action").isin(list(ATTENTION)))
+
+
+def preview(plan: DataFrame, n: int = 20) -> DataFrame:
+    """The first rows of a plan, in the order of its columns."""
+    return plan.select(*PLAN_COLUMNS).orderBy(*PLAN_COLUMNS).limit(n)

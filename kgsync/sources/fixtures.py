@@ -6,10 +6,15 @@ have subjects of their own. So the graph needs no `distinct`.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import Config, Credentials
 from ..terms import COMMENT, DC_DESCRIPTION, DCTERMS_DESCRIPTION, LABEL, NOTHING, OWL, PROPERTY_MAP, RDF_TYPE, SUB_CLASS_OF, THING, TRIPLES
+from ..written import new_folder
+from .remote import Client
 from .triples import MappedSource, Rule
 
 NS, EXT = "http://kg.example.org/onto#", "http://purl.example.org/item/"
@@ -188,6 +193,27 @@ def remote_matches_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select(text(NS + "Part_", k).alias("identity_value"), F.explode(second).alias("qid"))
 
 
+_LISTED = re.compile(r'"((?:[^"\\]|\\.)*)"')
+_PART = re.compile(re.escape(NS) + r"Part_([0-9]+)$")
+
+
+def query_service(kind: str, payload: dict) -> list[dict]:
+    """A stand-in for a query service that knows the items of `remote_matches_fx`: it reads the values in a lookup's query and answers as a service does."""
+    if kind != "sparql":
+        raise ValueError(kind)
+    out = []
+    for value in _LISTED.findall(payload["query"]):
+        part = _PART.match(value)
+        k = int(part[1]) if part else -1
+        numbers = {0: [20000000 + k], 1: [20000000 + k, 30000000 + k]}.get(k % 5, []) if part else []
+        out += [{"value": {"value": value}, "item": {"value": f"http://kg.example.org/entity/Q{n}"}} for n in numbers]
+    return out
+
+
+def lookup_client() -> Client:
+    return Client(query_service, Config(), Credentials(url="http://kg.example.org/"), sleep=lambda _: None)
+
+
 def existing_items_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(qid) whose state could be read."""
     c = spark.read.parquet(f"{sf_dir}/customer.parquet").where("c_custkey % 4 = 0").select(text("Q", 100000 + F.col("c_custkey")).alias("qid"))
@@ -210,3 +236,41 @@ def existing_claims_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = spark.read.parquet(f"{sf_dir}/customer.parquet").where("c_custkey % 8 = 0")
     qid = text("Q", 100000 + F.col("c_custkey"))
     return o.unionAll(c.select(qid, F.lit("P3"), text("  ", F.col("c_mktsegment"), " "))).unionAll(c.select(qid, F.lit("P13"), text("C", F.col("c_custkey"))))
+
+
+# ---- documents of each syntax
+
+def documents(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Files made from the tables, by syntax: customers as N-Triples, suppliers as Turtle, regions as RDF/XML, nations as JSON-LD (a file for each of the last two)."""
+    c = F.col
+    read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    iri = lambda kind, key: text("<", NS, kind, key, ">")
+    quoted = lambda v: text('"', F.replace(F.replace(v, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), '"')
+    customer = iri("Customer_", c("c_custkey"))
+    lines = F.array(
+        text(customer, f" <{RDF_TYPE}> <{OWL}NamedIndividual> ."),
+        text(customer, f" <{LABEL}> ", quoted(c("c_name")), "@en . # ", c("c_custkey")),
+        text(customer, f" <{NS}balance> ", quoted(c("c_acctbal")), "^^<http://www.w3.org/2001/XMLSchema#decimal> ."),
+    )
+    turtle = text(
+        f"@prefix o: <{NS}> . @prefix rdfs: <{LABEL.rpartition('#')[0]}#> . o:Supplier_", c("s_suppkey"), f" a <{OWL}NamedIndividual> ; rdfs:label ", quoted(c("s_name")), "@en ; o:hasNation o:Nation_", c("s_nationkey"), " ; o:rank ", c("s_suppkey"), " .",
+    )
+    xml = text(
+        f'<rdf:RDF xmlns:rdf="{RDF_TYPE.rpartition("#")[0]}#" xmlns:rdfs="{LABEL.rpartition("#")[0]}#" xmlns:owl="{OWL}" xml:base="{NS[:-1]}"><owl:Class rdf:about="#Region_', c("r_regionkey"), '"><rdfs:label xml:lang="en">', c("r_name"),
+        f'</rdfs:label><rdfs:subClassOf rdf:resource="{THING}"/></owl:Class></rdf:RDF>',
+    )
+    linked = F.to_json(
+        F.struct(
+            F.from_json(F.lit('{"o":"' + NS + '"}'), "o string").alias("@context"),
+            text("o:Nation_", c("n_nationkey")).alias("@id"),
+            F.lit(OWL + "NamedIndividual").alias("@type"),
+            F.struct(text("o:Region_", c("n_regionkey")).alias("@id")).alias("o:inRegion"),
+            c("n_name").alias("o:name"),
+        )
+    )
+    made = {"nt": read("customer").select(F.explode(lines)), "turtle": read("supplier").select(turtle), "xml": read("region").select(xml), "json-ld": read("nation").select(linked)}
+    out = {}
+    for syntax, rows in made.items():
+        out[syntax] = new_folder(spark, f"documents-{syntax}")
+        rows.write.option("maxRecordsPerFile", 1 if syntax in ("xml", "json-ld") else 0).text(out[syntax])
+    return out

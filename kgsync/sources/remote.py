@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Config, Credentials
-from ..functions.identifiers import escape_sparql
+from ..functions.identifiers import direct_predicate_uri, escape_sparql
 from ..plans.execute import DryRunError
 from ..shipping import ship
 
@@ -95,7 +95,7 @@ class Client:
     @staticmethod
     def lookup_query(base: str, pid: str, values: Iterable[str]) -> str:
         listed = " ".join(f'"{escape_sparql(v)}"' for v in values)
-        return f"SELECT ?item ?value WHERE {{ VALUES ?value {{ {listed} }} ?item <{base.rstrip('/')}/prop/direct/{pid}> ?value . }}"
+        return f"SELECT ?item ?value WHERE {{ VALUES ?value {{ {listed} }} ?item <{direct_predicate_uri(base, pid)}> ?value . }}"
 
     def find(self, pid: str, values: list[str]) -> dict[str, list[str]]:
         """Items of each value that has any, the same item twice if it is given twice. A failure finds nothing."""
