@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kgsync import report
-from kgsync.config import Config, Credentials, property_map
+from kgsync.config import Config, Credentials, overridden, property_map
 from kgsync.functions import identifiers as ids
 from kgsync.functions import values
 from kgsync.operators import validate
@@ -14,49 +14,42 @@ from kgsync.operators.numbering import numbered
 from kgsync.operators.ontology import Ontology
 from kgsync.plans.execute import DryRunError, Execution, guard, number_new_items
 from kgsync.plans.plan import Existing, Planner, action_counts
-from kgsync.sources import rdf, stores
-from kgsync.sources.remote import Client, RetryableError, claim_values
-from kgsync.sources.triples import TableSource
-from kgsync.terms import ENTITY_CACHE, THING, TRIPLES
-
-BASE = "http://example.org/onto"
-DOCUMENT = f"""<?xml version="1.0"?>
-<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:rdfs="http://www.w3.org/2000/01/rdf-schema#" xmlns:owl="http://www.w3.org/2002/07/owl#" xmlns:o="{BASE}#" xml:base="{BASE}">
-  <owl:Ontology rdf:about="{BASE}"/>
-  <owl:ObjectProperty rdf:about="#hasPart"><rdfs:label>has part</rdfs:label></owl:ObjectProperty>
-  <owl:AnnotationProperty rdf:about="#aliase"/>
-  <owl:Class rdf:about="#Widget"><rdfs:subClassOf rdf:resource="http://www.w3.org/2002/07/owl#Thing"/><rdfs:label>Widget</rdfs:label></owl:Class>
-  <owl:Class rdf:about="http://purl.example.org/GADGET_1"><rdfs:subClassOf rdf:resource="http://www.w3.org/2002/07/owl#Thing"/><rdfs:label xml:lang="de">Gerät</rdfs:label></owl:Class>
-  <owl:NamedIndividual rdf:about="#thing1">
-    <rdf:type rdf:resource="#Widget"/>
-    <rdfs:label xml:lang="en"> thing one </rdfs:label>
-    <rdfs:comment>first comment</rdfs:comment>
-    <o:hasPart rdf:resource="{BASE}#http://purl.example.org/GADGET_1"/>
-    <o:hasPart rdf:resource="#Nowhere"/>
-    <o:source>  a   source </o:source>
-    <o:aliase>One</o:aliase><o:aliase> One </o:aliase>
-    <o:wikidata_uri rdf:resource="https://kb.example.org/Q7"/>
-    <o:homepage>None</o:homepage>
-    <o:part rdf:parseType="Resource"><o:source>inner</o:source></o:part>
-  </owl:NamedIndividual>
-</rdf:RDF>"""
-MAP = [
-    ("rdf:type", "P1", "wikibase-item", None),
-    ("rdfs:subClassOf", "P2", "wikibase-item", None),
-    ("source", "P3", "string", None),
-    ("hasPart", "P4", "wikibase-item", None),
-    ("ontology_iri", "P5", "url", "identity"),
-    ("wikidata_uri", "P6", "url", None),
-    ("homepage", "P7", "url", None),
+from kgsync.sources import rdf, stores, triples
+from kgsync.sources.remote import Client, RetryableError, claim_values, remote_matches
+from kgsync.sources.triples import Predicates, TableSource
+from kgsync.streaming import incremental
+from kgsync.terms import ATTENTION, ENTITY_CACHE, LABEL, THING, TRIPLES
+
+R = "http://rivers.example.net/o#"
+SOURCE, OLD = "https://old.example.net/Ilm", "http://rivers.example.net/o#https://old.example.net/Ilm"
+RIVERS = f"""
+@prefix r: <{R}> . @prefix owl: <http://www.w3.org/2002/07/owl#> . @prefix rdfs: <http://www.w3.org/2000/01/rdf-schema#> .
+r:Watercourse a owl:Class ; rdfs:label "watercourse"@en, "Gewässer"@de ; rdfs:subClassOf owl:Thing .
+r:Brook a owl:Class ; rdfs:subClassOf r:Watercourse ; rdfs:comment "  a small one " .
+r:flowsInto a owl:ObjectProperty ; rdfs:label "flows into" .
+r:Elbe a owl:NamedIndividual, r:Watercourse ; rdfs:label "Elbe", "Alb" ; r:flowsInto r:NorthSea ; r:length "1094 km" ; r:named "0950" ;
+  r:alias "Labe"@cs, "  Labe "@cs, "Albis"@la .
+r:Saale a owl:NamedIndividual ; r:flowsInto r:Elbe ; r:page <HTTP://maps.example.net/Saale/>, "unknown" ; r:basin [ r:length "5" ] ; r:named "long ago" .
+<{OLD}> a owl:NamedIndividual, r:Brook ; rdfs:label "Ilm"@xx ; r:flowsInto r:Saale .
+r:Ilmbach a owl:NamedIndividual ; rdfs:label "Elbe" ; r:flowsInto <{SOURCE}> ; r:length "about nine" .
+"""
+PROPERTIES = [
+    ("ontology_iri", "P1", "url", "identity"),
+    ("rdf:type", "P2", "wikibase-item", None),
+    ("rdfs:subClassOf", "P3", "wikibase-item", None),
+    ("flowsInto", "P4", "wikibase-item", None),
+    ("length", "P5", "quantity", None),
+    ("named", "P6", "time", None),
+    ("page", "P7", "url", None),
 ]
+ALL = {THING, SOURCE, *(R + n for n in ("Watercourse", "Brook", "Elbe", "Saale", "Ilmbach"))}
 
 
 @pytest.fixture(scope="module")
 def onto(spark, tmp_path_factory):
-    path = tmp_path_factory.mktemp("rdf") / "small.owl"
-    path.write_text(DOCUMENT, encoding="utf-8")
-    triples = rdf.load_ontology(spark, str(path)).triples.collect()
-    return Ontology(TableSource(spark.createDataFrame(triples, TRIPLES)), Config())
+    path = tmp_path_factory.mktemp("rdf") / "rivers.ttl"
+    path.write_text(RIVERS, encoding="utf-8")
+    return Ontology(rdf.load_ontology(spark, str(path)), Config())
 
 
 def evaluate(spark, f, *given):
@@ -65,7 +58,7 @@ def evaluate(spark, f, *given):
 
 
 def planner(spark, onto, cache=(), **existing):
-    return Planner(onto, property_map(spark, MAP), Existing(spark.createDataFrame(list(cache), ENTITY_CACHE), **existing))
+    return Planner(onto, property_map(spark, PROPERTIES), Existing(spark.createDataFrame(list(cache), ENTITY_CACHE), **existing))
 
 
 # ---- scalar functions
@@ -121,14 +114,15 @@ def test_claim_values(spark):
 
 def test_entities(onto):
     found = {r.canonical_id: r for r in onto.nested().collect()}
-    assert set(found) == {THING, f"{BASE}#Widget", "http://purl.example.org/GADGET_1", f"{BASE}#thing1"}
-    one = found[f"{BASE}#thing1"]
-    assert (one.entity_type, one.labels, one.descriptions, one.aliases) == ("NamedIndividual", {"en": "thing one"}, {"en": "first comment"}, {"en": ["One"]})
-    by_key = {(s.predicate_local_name, s.value_kind, s.value) for s in one.statements}
-    assert ("hasPart", "resource", "http://purl.example.org/GADGET_1") in by_key
-    assert ("source", "literal", "a   source") in by_key
-    assert any(k == "blank_node" for _, k, _ in by_key)
-    assert len({r.content_hash for r in found.values()}) == 4
+    assert set(found) == ALL and len({r.content_hash for r in found.values()}) == len(ALL)
+    elbe, brook, ilm = found[R + "Elbe"], found[R + "Brook"], found[SOURCE]
+    assert (elbe.entity_type, elbe.labels, elbe.aliases) == ("NamedIndividual", {"en": "Alb"}, {"cs": ["Labe"], "la": ["Albis"]})
+    assert (brook.entity_type, brook.labels, brook.descriptions) == ("OwlClass", {}, {"en": "a small one"})
+    assert (ilm.original_id, ilm.labels, ilm.local_name) == (OLD, {"xx": "Ilm"}, "Ilm")
+    assert found[R + "Watercourse"].labels == {"de": "Gewässer", "en": "watercourse"}
+    kinds = {(s.predicate_local_name, s.value_kind) for s in found[R + "Saale"].statements}
+    assert kinds == {("flowsInto", "resource"), ("page", "resource"), ("page", "literal"), ("basin", "blank_node"), ("named", "literal")}
+    assert [(s.predicate_local_name, s.value) for s in ilm.statements if s.predicate_local_name != "type"] == [("flowsInto", R + "Saale")]
 
 
 def test_no_thing_without_reference(spark):
@@ -145,9 +139,16 @@ def test_empty_graph(spark):
 
 
 def test_findings(spark, onto):
-    found = {(r.check, r.source_identifier) for r in validate.all_findings(onto, property_map(spark, MAP)).collect()}
-    me = f"{BASE}#thing1"
-    assert {("unresolved_object", me), ("invalid_url_value", me), ("blank_node_statement", me), ("predicate_without_mapping", me) } - found == {("predicate_without_mapping", me)}  # the unmapped one is a blank node
+    findings = validate.all_findings(onto, property_map(spark, PROPERTIES))
+    found = {(r.check, r.source_identifier) for r in findings.collect()}
+    expected = {
+        ("unresolved_object", R + "Elbe"), ("malformed_uri", SOURCE), ("unsupported_language_tag", SOURCE), ("missing_label", R + "Brook"), ("missing_label", R + "Saale"),
+        ("invalid_url_value", R + "Saale"), ("blank_node_statement", R + "Saale"), ("invalid_time_value", R + "Saale"), ("invalid_quantity_value", R + "Ilmbach"),
+    }
+    assert expected <= found
+    assert not {c for c, _ in found} & {"duplicate_canonical_id", "missing_identifier"}
+    rows = validate.preview(findings, 5).collect()
+    assert len(rows) == 5 and [r.severity for r in rows] == sorted(r.severity for r in rows) and rows[0].severity == "ERROR"
 
 
 # ---- plan
@@ -155,36 +156,39 @@ def test_findings(spark, onto):
 def test_plan_without_lookup(spark, onto):
     p = planner(spark, onto)
     n = {r.action: r.n for r in action_counts(p.plan()).collect()}
-    assert n["CREATE_ITEM"] == 4
-    assert n["UNRESOLVED_OBJECT"] == 1
-    assert n["ERROR"] == 1
+    # the sea; "unknown", "long ago" and "about nine"; the basin
+    assert (n["CREATE_ITEM"], n["UNRESOLVED_OBJECT"], n["ERROR"], n["SKIP_UNMAPPED_PROPERTY"]) == (len(ALL), 1, 3, 1)
+    assert (n["UPDATE_LABEL"], n["ADD_DESCRIPTION"], n["ADD_ALIAS"]) == (6, 1, 2) and "SKIP_UNCHANGED" not in n
     assert {r.severity for r in p.resolved_rows().collect()} == {"WARNING"}
+    assert [r.action for r in action_counts(p.plan()).collect()] == sorted(n, key=lambda a: (-n[a], a))
 
 
 def test_plan_with_lookup(spark, onto):
-    widget, gadget, one = f"{BASE}#Widget", "http://purl.example.org/GADGET_1", f"{BASE}#thing1"
-    matches = spark.createDataFrame([(widget, "Q2"), (gadget, "Q3"), (gadget, "Q3")], "identity_value string, qid string")
-    items = spark.createDataFrame([("Q9",)], "qid string")
-    claims = spark.createDataFrame([("Q9", "P3", "a source"), ("Q9", "P6", "HTTPS://KB.example.org/Q7/")], "qid string, pid string, value string")
-    metadata = spark.createDataFrame([("Q9", "label", "en", " thing  one"), ("Q9", "description", "en", "other"), ("Q9", "alias", "en", "One")], "qid string, kind string, lang string, text string")
-    p = planner(spark, onto, [(one, "Q9", *[None] * 5)], matches=matches, items=items, claims=claims, metadata=metadata)
+    elbe, saale, brook = R + "Elbe", R + "Saale", R + "Brook"
+    matches = spark.createDataFrame([(saale, "Q20"), (brook, "Q30"), (brook, "Q31"), (elbe, "Q11")], "identity_value string, qid string")
+    items = spark.createDataFrame([("Q10",)], "qid string")
+    claims = spark.createDataFrame([("Q10", "P5", "+1094|km"), ("Q10", "P1", elbe.upper().replace("/O#ELBE", "/o#Elbe"))], "qid string, pid string, value string")
+    metadata = spark.createDataFrame([("Q10", "label", "en", "Alb  "), ("Q10", "alias", "cs", " Labe")], "qid string, kind string, lang string, text string")
+    p = planner(spark, onto, [(elbe, "Q10", *[None] * 5)], matches=matches, items=items, claims=claims, metadata=metadata)
     r = {x.canonical_id: (x.source, x.qid) for x in p.resolution.collect()}
-    assert r == {one: ("cache", "Q9"), widget: ("wikibase_lookup", "Q2"), gadget: ("conflict", None), THING: ("new", None)}
-    rows = [(x.action, x.source_identifier, x.property_name) for x in p.plan().collect()]
-    assert ("UPDATE_DESCRIPTION", one, "description@en") in rows
-    assert not [x for x in rows if x[0] in ("UPDATE_LABEL", "ADD_ALIAS") and x[1] == one]
-    assert {x for x in rows if x[0] == "SKIP_UNCHANGED"} == {("SKIP_UNCHANGED", one, "source"), ("SKIP_UNCHANGED", one, "wikidata_uri"), ("SKIP_UNCHANGED", widget, "")}
-    assert not [x for x in rows if x[1] == gadget and x[0] != "CONFLICT"]
-    assert ("UNRESOLVED_OBJECT", one, "hasPart") in rows
+    assert (r[elbe], r[saale], r[brook], r[THING]) == (("cache", "Q10"), ("wikibase_lookup", "Q20"), ("conflict", None), ("new", None))
+    rows = {(x.action, x.source_identifier, x.property_name) for x in p.plan().collect()}
+    assert {(a, n) for a, i, n in rows if i == elbe} == {
+        ("SKIP_UNCHANGED", "length"), ("SKIP_UNCHANGED", "ontology_iri"), ("ADD_ALIAS", "alias@la"), ("ADD_STATEMENT", "named"), ("ADD_STATEMENT", "rdf:type"), ("UNRESOLVED_OBJECT", "flowsInto"),
+    }
+    assert ("SKIP_UNCHANGED", saale, "") in rows  # its item could not be read
+    assert {a for a, i, _ in rows if i == brook} == {"CONFLICT"}
+    assert ("UNRESOLVED_OBJECT", SOURCE, "rdf:type") in rows  # what it is is in conflict
 
 
 def test_execution(spark, onto):
-    e = Execution(planner(spark, onto), number_new_items(100))
-    assert {r.canonical_id: r.qid for r in e.qids.collect()} == {THING: "Q100", f"{BASE}#Widget": "Q101", f"{BASE}#thing1": "Q102", "http://purl.example.org/GADGET_1": "Q103"}
+    e = Execution(planner(spark, onto), number_new_items(500))
+    qids = {r.canonical_id: r.qid for r in e.qids.collect()}
+    assert set(qids) == ALL and qids[THING] == "Q500" and set(qids.values()) == {f"Q{500 + i}" for i in range(len(ALL))}
     bound = {(r.source_identifier, r.property_name): json.loads(r.datavalue) for r in e.bound.collect()}
-    assert bound[f"{BASE}#thing1", "hasPart"]["value"] == {"entity-type": "item", "id": "Q103"}
+    assert bound[R + "Ilmbach", "flowsInto"]["value"] == {"entity-type": "item", "id": qids[SOURCE]}
     result = e.result("r").first()
-    assert (result.status, result.items_created, result.labels_updated, result.statements_added) == ("completed", 4, 0, len(bound))
+    assert (result.status, result.items_created, result.labels_updated, result.statements_added) == ("completed", len(ALL), 0, len(bound))
     with pytest.raises(DryRunError):
         guard(Config())
 
@@ -205,6 +209,37 @@ def test_ntriples(spark, tmp_path):
     assert got == {("u:a", "iri", "u:p", 'x "y" é\n', "literal", None, None), ("b", "bnode", "u:p", "u:c", "iri", None, None), ("u:a", "iri", "u:q", "z", "literal", None, "en-GB"), ("u:a", "iri", "u:q", "5", "literal", "u:int", None)}
 
 
+def test_the_graph_is_parsed_once(spark, onto, tmp_path):
+    (tmp_path / "g.ttl").write_text(RIVERS, encoding="utf-8")
+    source = rdf.load_ontology(spark, str(tmp_path / "g.ttl"), folder=str(tmp_path / "table"))
+    (tmp_path / "g.ttl").unlink()
+    assert source.scan().count() == onto.source.scan().count() and len(list((tmp_path / "table").glob("*.parquet"))) > 0
+    plan = source.scan(Predicates((LABEL,)))._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(p), EqualTo(p," in plan or "PushedFilters: [In(p," in plan
+
+
+def test_samples_and_namespaces(spark, onto, tmp_path):
+    assert [tuple(r) for r in triples.sample(onto.source, 3).collect()] == sorted((r.s, r.p, r.o) for r in onto.source.scan().collect())[:3]
+    n = {r.namespace: r.n for r in triples.namespaces(onto.source).collect()}
+    assert set(n) == {R, "http://www.w3.org/1999/02/22-rdf-syntax-ns#", "http://www.w3.org/2000/01/rdf-schema#"} and sum(n.values()) == onto.source.scan().count()
+    (tmp_path / "g.ttl").write_text(RIVERS, encoding="utf-8")
+    (tmp_path / "g.rdf").write_text('<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:z="u:z#"/>')
+    (tmp_path / "g.json").write_text('{"@context": {"e": "http://e.org/", "t": "e:t"}, "@id": "e:a"}')
+    found = {k: {r.prefix: r.namespace for r in rdf.declared_prefixes(spark, str(tmp_path / f), k).collect()} for f, k in (("g.ttl", "turtle"), ("g.rdf", "xml"), ("g.json", "json-ld"))}
+    assert found["turtle"]["r"] == R and found["xml"]["z"] == "u:z#" and found["json-ld"] == {"e": "http://e.org/"}
+
+
+XML = """<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:o="http://e.org/o#" xml:base="http://e.org/o" xml:lang="fr">
+ <o:Lake rdf:ID="L1" o:depth="9"><o:name>Lac</o:name><o:near rdf:resource="#L2"/><o:area rdf:datatype="u:int">5</o:area>
+  <o:shore rdf:parseType="Resource"><o:length>7</o:length></o:shore><o:fedBy><o:River rdf:nodeID="n"/></o:fedBy></o:Lake></rdf:RDF>"""
+SAME = """@prefix o: <http://e.org/o#> . o:L1 a o:Lake ; o:depth "9"@fr ; o:name "Lac"@fr ; o:near o:L2 ; o:area "5"^^<u:int> ; o:shore [ o:length "7"@fr ] ; o:fedBy [ a o:River ] ."""
+
+
+def test_xml_and_turtle_agree():
+    plain = lambda rows: sorted(tuple("_" if k in (0, 3) and t[k + 1] == "bnode" else x or "" for k, x in enumerate(t)) for t in rows)
+    assert plain(rdf.parse_xml(XML.encode())) == plain(rdf.parse_turtle(SAME.encode()))
+
+
 def test_turtle_and_jsonld_agree():
     turtle = b'@prefix e: <http://e.org/> . @base <http://b.org/> . e:a a e:C ; e:p "v"@de , 5, true ; e:q <x>, [ e:r "w"^^e:t ] . # end\n'
     jsonld = json.dumps({"@context": {"e": "http://e.org/"}, "@id": "e:a", "@type": "e:C", "e:p": [{"@value": "v", "@language": "de"}, 5, True], "e:q": [{"@id": "http://b.org/x"}, {"e:r": {"@value": "w", "@type": "e:t"}}]}).encode()
@@ -227,15 +262,19 @@ def test_load_errors(spark, tmp_path):
 
 
 def test_streaming(spark, tmp_path):
-    from kgsync.streaming.incremental import stream_ntriples
-
     (tmp_path / "in").mkdir()
-    run = lambda: stream_ntriples(spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination()
+    run = lambda: incremental.stream_ntriples(spark, str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination()
     (tmp_path / "in" / "1.nt").write_text(NT, encoding="utf-8")
     run()
     (tmp_path / "in" / "2.nt").write_text(NT + "<u:n> <u:p> <u:m> .\n", encoding="utf-8")
     run()
-    assert spark.read.parquet(str(tmp_path / "t")).count() == 5
+    assert incremental.source(spark, str(tmp_path / "t")).scan().count() == 5
+    again = spark.read.text(str(tmp_path / "in")).where("value like '<u:n>%' or value like '_:b%'")
+    incremental.append_new(rdf.ntriples(again), str(tmp_path / "t"))  # a batch that runs again
+    assert incremental.source(spark, str(tmp_path / "t")).scan().count() == 5
+    next((tmp_path / "t").glob("bucket=*/*.parquet")).write_bytes(b"damaged")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        incremental.append_new(rdf.ntriples(spark.read.text(str(tmp_path / "in"))), str(tmp_path / "t"))
 
 
 def test_cache_files(spark, tmp_path):
@@ -248,25 +287,111 @@ def test_cache_files(spark, tmp_path):
     assert stores.backup(path).exists() and stores.backup(tmp_path / "none") is None
     path.write_text("{")
     assert stores.load_cache(spark, path)[0].count() == 0
-    assert (tmp_path / "c.json.corrupt.1").exists()
+    assert (tmp_path / "c.json.corrupt.0").exists()
     late = spark.createDataFrame([("u:a", "Q5", "OwlClass", "u:a", "A", "h", "t2")], ENTITY_CACHE)
     assert {r.canonical_id: r.qid for r in stores.upsert(cache, late).collect()} == {"u:a": "Q5", "u:b": "Q1"}
 
 
-def test_state(tmp_path):
-    path = tmp_path / "s.json"
-    args = ("f", "c", "u", "t0")
-    s = stores.RunState.load_or_start(path, "r1", *args)
-    s.mark_entity_processed("a")
-    s.mark_entity_processed("a")
-    s.finish("completed_with_errors")
-    s.save()
-    again = stores.RunState.load_or_start(path, "r2", *args)
-    assert (again.run_id, again.processed_entity_ids, again.completion_status) == ("r1", ["a"], "in_progress")
-    assert stores.RunState.load_or_start(path, "r2", "other", *args[1:]).run_id == "r2"
-    s.finish("completed")
-    s.save()
-    assert stores.RunState.load_or_start(path, "r3", *args).run_id == "r3"
+def test_caches_as_tables(spark, tmp_path, caplog):
+    entries = spark.createDataFrame([(f"u:{i}", f"Q{i}", "OwlClass", f"u:{i}", "x", "h", "t") for i in range(50)], ENTITY_CACHE)
+    for round_ in range(3):
+        stores.save_cache(entries, tmp_path / "cache", "https://kb", str(round_))
+        again, about = stores.load_cache(spark, tmp_path / "cache", "https://kb")
+        assert (again.count(), about["last_updated"]) == (50, str(round_))
+        entries = again
+    assert len(list((tmp_path / "cache").glob("entities-*"))) == 2 and not caplog.records
+    assert [r.qid for r in stores.entry_of(again, "u:7").collect()] == ["Q7"]
+    stores.load_cache(spark, tmp_path / "cache", "https://other")
+    assert "can't be trusted" in caplog.text
+
+
+def test_entries_without_an_item_are_no_duplicates(spark):
+    cache = spark.createDataFrame([("u:a", "", *[None] * 5), ("u:b", "", *[None] * 5), ("u:c", None, *[None] * 5), ("u:d", None, *[None] * 5), ("u:e", "Q1", *[None] * 5)], ENTITY_CACHE)
+    assert validate.duplicate_qids(cache).count() == 0
+
+
+INPUTS = {"owl_file_hash": "f", "config_hash": "c", "wikibase_url": "u"}
+
+
+def test_run_log(tmp_path):
+    path = tmp_path / "run.jsonl"
+    first = stores.RunLog(path, "r1", "t0", **INPUTS)
+    first.add("made", canonical_id="a", source_identifier="a", qid="Q1", is_thing=False)
+    first.add("claim", digest=first.claim_digest("Q1", "P1", "{}"))
+    first.add("failed", action="CREATE_ITEM", source_identifier="b", error="x")
+    first.add("phase", name="creations")
+    with path.open("a") as f:
+        f.write('{"event": "made", "canon')  # cut short
+    again = stores.RunLog(path, "r2", "t1", **INPUTS)
+    assert again.resumed and again.run_id == "r1" and set(again.made) == {("a", False)} and again.claims == first.claims and again.phase == "creations"
+    assert again.summary()["processed_entity_ids"] == ["a"] and again.summary()["failed_actions"] == first.failures
+    again.add("ended", status="completed_with_errors")
+    assert stores.RunLog(path, "r3", **INPUTS).run_id == "r1"
+    other = stores.RunLog(path, "r4", **INPUTS | {"owl_file_hash": "other"})
+    assert not other.resumed and other.run_id == "r4" and set(other.made) == {("a", False)} and not other.claims  # its items are there, whoever made them
+    other.add("ended", status="completed")
+    last = stores.RunLog(path, "r5", **INPUTS | {"owl_file_hash": "other"})
+    assert not last.resumed and not last.made
+    path.write_text("rubbish")
+    assert not stores.RunLog(path, "r6", **INPUTS).made and (tmp_path / "run.jsonl.corrupt.0").exists()
+
+
+class Broken(BaseException):
+    """The process ends."""
+
+
+def stub(breaks_at: int | None = None):
+    """A knowledge base in memory that breaks off before its n-th write."""
+    made, claims, writes = [], [], []
+
+    def send(kind, payload):
+        if kind in ("create", "claim"):
+            if len(writes) == breaks_at:
+                raise Broken
+            writes.append(kind)
+        if kind == "create":
+            made.append(payload["labels"])
+            return f"Q{1000 + len(made)}"
+        if kind == "claim":
+            claims.append((payload["qid"], payload["pid"], payload["datavalue"]))
+        return None
+
+    return send, made, claims
+
+
+def test_a_broken_run_goes_on_where_it_was(spark, onto, tmp_path):
+    from kgsync.plans.live import run_live
+
+    config = Config(dry_run=False, sleep_time_seconds=0.0)
+    cred = Credentials("https://kb", "https://kb/api")
+
+    def run(folder, send):
+        cache, _ = stores.load_cache(spark, folder / "cache.json")
+        p = Planner(Ontology(onto.source, config), property_map(spark, PROPERTIES), Existing(cache))
+        return run_live(p, Client(send, config, cred), folder / "cache.json", stores.RunLog(folder / "run.jsonl", "r", "t", **INPUTS), "2024-01-01")
+
+    (tmp_path / "whole").mkdir()
+    send, made, claims = stub()
+    whole = run(tmp_path / "whole", send)
+    assert whole["items_created"] == len(made) == len(ALL) and whole["status"] == "completed" and len(claims) == len(set(claims)) == whole["statements_added"]
+    for k in (0, 3, len(ALL), len(ALL) + 5):
+        folder = tmp_path / str(k)
+        folder.mkdir()
+        send, first, early = stub(k)
+        with pytest.raises(Broken):
+            run(folder, send)
+        assert len(first) + len(early) == k
+        send, second, late = stub()
+        number = lambda out, n=len(first): f"Q{int(out[1:]) + n}" if out else out
+        result = run(folder, lambda kind, payload, send=send, number=number: number(send(kind, payload)))
+        items = first + second
+        assert len(items) == len(ALL) and result["items_created"] == len(second)
+        assert sorted(early + late) == sorted(claims)
+        entries = {r.canonical_id: r.qid for r in stores.load_cache(spark, folder / "cache.json")[0].collect()}
+        assert set(entries) == ALL and len(set(entries.values())) == len(ALL)
+    stores.save_cache(spark.createDataFrame([], ENTITY_CACHE), tmp_path / "0" / "cache.json", "https://another", "t")
+    with pytest.raises(ValueError, match="another"):
+        run(tmp_path / "0", stub()[0])
 
 
 def test_client():
@@ -288,6 +413,16 @@ def test_client():
     assert failing.find("P1", ["v"]) == {} and failing.snapshot("Q1") is None
 
 
+def test_remote_matches_ask_once_a_batch(spark):
+    from kgsync.sources import fixtures
+
+    batches = spark.createDataFrame([(i // 4, f"{fixtures.NS}Part_{i}") for i in range(20)], "batch long, canonical_id string")
+    found = {}
+    for r in remote_matches(batches, fixtures.lookup_client, "P1").collect():
+        found.setdefault(r.identity_value, []).append(r.qid)
+    assert {k.rpartition("_")[2]: len(v) for k, v in found.items()} == {str(i): 1 if i % 5 == 0 else 2 for i in range(20) if i % 5 < 2}
+
+
 def test_live_run_against_a_server(spark, onto, tmp_path):
     """The API of a knowledge base, on this machine: items are numbered, claims kept."""
     import threading
@@ -341,17 +476,17 @@ def test_live_run_against_a_server(spark, onto, tmp_path):
         status = client.connect(require_write=True)
         assert status.ready_for_live_writes and status.sparql and not status.errors
         live = Ontology(onto.source, config)
-        state = stores.RunState(str(tmp_path / "state.json"), "r", "f", "c", at)
-        result = run_live(planner(spark, live), client, str(tmp_path / "cache.json"), state, "r", "2024-01-01")
+        done = stores.RunLog(tmp_path / "run.jsonl", "r", **INPUTS)
+        result = run_live(planner(spark, live), client, tmp_path / "cache.json", done, "2024-01-01")
     finally:
         server.shutdown()
-    assert (result["items_created"], result["status"], len(items), result["errors"]) == (4, "completed", 4, 0)
+    assert (result["items_created"], result["status"], len(items), result["errors"]) == (len(ALL), "completed", len(ALL), 0)
     assert result["statements_added"] == len(claims) and result["retries"] == 1
     names = {i[0]["labels"][k]["value"]: q for q, i in items.items() for k in i[0]["labels"]}
-    assert (names["thing one"], "P1", {"entity-type": "item", "id": names["Widget"]}) in claims
-    assert stores.load_cache(spark, tmp_path / "cache.json")[0].count() == 4
+    assert (names["Alb"], "P2", {"entity-type": "item", "id": names["watercourse"]}) in claims
+    assert stores.load_cache(spark, tmp_path / "cache.json")[0].count() == len(ALL)
     with pytest.raises(DryRunError):
-        run_live(planner(spark, onto), client, str(tmp_path / "x.json"), state, "r", "t")
+        run_live(planner(spark, onto), client, tmp_path / "x.json", done, "t")
 
 
 def test_reports(spark, onto, tmp_path):
@@ -361,7 +496,7 @@ def test_reports(spark, onto, tmp_path):
     assert summary["total_actions"] == sum(summary["action_counts"].values()) == len((tmp_path / "dry_run_plan.csv").read_text(encoding="utf-8").splitlines()) - 1
     findings = validate.all_findings(onto, p.mapping)
     assert set(report.save_findings(tmp_path, findings)) == {"INFO", "WARNING", "ERROR", "BLOCKING"}
-    assert report.save_unresolved(tmp_path, plan) == 2 + summary["action_counts"].get("SKIP_UNMAPPED_PROPERTY", 0)
+    assert report.save_unresolved(tmp_path, plan) == sum(summary["action_counts"].get(a, 0) for a in ATTENTION) == 5
     assert json.loads((tmp_path / "dry_run_plan.json").read_text())["total_actions"] == summary["total_actions"]
     import hashlib
 
@@ -373,3 +508,12 @@ def test_config():
     a, b = Config(), Config(update_labels=False)
     assert a.config_hash() == Config(report_dir="x").config_hash() != b.config_hash()
     assert Credentials(password="x").describe_safe()["password"] == "<redacted>"
+    assert overridden(a, {"batch_size": 7, "supported_languages": ["fr"]}) == Config(batch_size=7, supported_languages=("fr",))
+    with pytest.raises(KeyError, match="bach_size"):
+        overridden(a, {"bach_size": 7})
+    assert Credentials("u", "a").has_read_endpoints and not Credentials("u", "a").is_complete and Credentials("u", "a").lacking("username", "url") == ["username"]
+
+
+def test_folders(tmp_path):
+    made = Config(cache_dir=str(tmp_path / "a"), report_dir=str(tmp_path / "b"), log_dir=str(tmp_path / "a")).folders()
+    assert all(f.is_dir() for f in made) and len(made) == 3
