@@ -6,7 +6,7 @@ the source for its predicates alone. "First" always means by a stated order, nev
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -183,10 +183,14 @@ class Ontology:
         )
         return out.withColumn("map_key", property_key(F.col("predicate_original")))
 
+    @staticmethod
+    def hashed(statements: DataFrame) -> DataFrame:
+        names = ("subject_canonical_id", "predicate_local_name", "value_kind", "value", "literal_datatype", "language")
+        return statements.withColumn("statement_hash", statement_hash(*map(F.col, names)))
+
     @cached_property
     def hashed_statements(self) -> DataFrame:
-        c = F.col
-        return self.statements.withColumn("statement_hash", statement_hash(c("subject_canonical_id"), c("predicate_local_name"), c("value_kind"), c("value"), c("literal_datatype"), c("language")))
+        return self.hashed(self.statements)
 
     @cached_property
     def identity_statements(self) -> DataFrame:
@@ -200,30 +204,37 @@ class Ontology:
     # ---- nested entities
 
     def nested(self) -> DataFrame:
-        """One row for each entity with maps of labels, descriptions and aliases, an array of statements, and the content hash."""
+        """One row for each entity with maps of labels, descriptions and aliases, an array of statements, and the content hash.
+
+        All that is said of a subject meets in one exchange; what is said of no entity goes there.
+        """
         self.settle()
-        by = ["s", "is_thing"]
-        flag = lambda df: df.withColumn("is_thing", F.lit(False))
-        as_map = lambda df, name: df.groupBy(*by).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("lang", "text")))).alias(name))
-        listed = self.aliases.groupBy("s", "lang").agg(F.sort_array(F.collect_list("text")).alias("text"))
+        c = F.col
         statement = F.struct("subject_canonical_id", "predicate_original", "predicate_local_name", "value_kind", "value", "literal_datatype", "language", "statement_hash")
-        gathered = self.hashed_statements.groupBy("s").agg(F.array_sort(F.collect_list(statement)).alias("statements"))
-        out = self.entities
-        for part in (as_map(self.labels, "labels"), as_map(flag(self.descriptions), "descriptions"), as_map(flag(listed), "aliases"), flag(gathered)):
-            out = out.join(part, by, "left")
-        out = out.select(
-            "canonical_id",
-            F.col("s").alias("original_id"),
-            "entity_type",
-            "local_name",
-            F.coalesce("labels", F.create_map().cast("map<string,string>")).alias("labels"),
-            F.coalesce("descriptions", F.create_map().cast("map<string,string>")).alias("descriptions"),
-            F.coalesce("aliases", F.create_map().cast("map<string,array<string>>")).alias("aliases"),
-            F.coalesce("statements", F.array().cast(gathered.schema["statements"].dataType)).alias("statements"),
+        parts = {
+            "entity": self.entities.select("s", "is_thing", F.struct("canonical_id", "entity_type", "local_name").alias("entity")),
+            "label": self.all_labels.select("s", "is_thing", F.struct("lang", "text").alias("label")),
+            "description": self.all_descriptions.select("s", F.lit(False).alias("is_thing"), F.struct("lang", "text").alias("description")),
+            "alias": self.all_aliases.groupBy("s", "lang").agg(F.sort_array(F.collect_list("text")).alias("text")).select("s", F.lit(False).alias("is_thing"), F.struct("lang", "text").alias("alias")),
+            "statement": self.hashed(self.all_statements).select("s", F.lit(False).alias("is_thing"), statement.alias("statement")),
+        }
+        kinds = {n: df.schema[n].dataType for n, df in parts.items()}
+        tagged = [df.select("s", "is_thing", *(c(n) if n == mine else F.lit(None).cast(t).alias(n) for n, t in kinds.items())) for mine, df in parts.items()]
+        by_subject = reduce(DataFrame.unionAll, tagged).groupBy("s", "is_thing")
+        listed = by_subject.agg(F.first("entity", ignorenulls=True).alias("entity"), *(F.array_sort(F.collect_list(n)).alias(n) for n in kinds if n != "entity")).where("entity is not null")
+        out = listed.select(
+            "entity.canonical_id",
+            c("s").alias("original_id"),
+            "entity.entity_type",
+            "entity.local_name",
+            F.map_from_entries("label").alias("labels"),
+            F.map_from_entries("description").alias("descriptions"),
+            F.map_from_entries("alias").alias("aliases"),
+            c("statement").alias("statements"),
             "is_thing",
         )
         texts = F.sort_array(F.transform("statements", statement_json))
-        return out.withColumn("content_hash", entity_hash(F.col("canonical_id"), F.col("entity_type"), F.col("labels"), F.col("descriptions"), F.col("aliases"), texts))
+        return out.withColumn("content_hash", entity_hash(c("canonical_id"), c("entity_type"), c("labels"), c("descriptions"), c("aliases"), texts))
 
 
 def in_order(entities: DataFrame) -> DataFrame:

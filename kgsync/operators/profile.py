@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..terms import DESCRIPTIONS, LABEL, META_TYPES, OWL, RDF_TYPE, SUB_CLASS_OF
+from ..written import checkpointed
 from .ontology import Ontology, in_order
 
 
@@ -36,18 +37,19 @@ def unlabeled_sample(onto: Ontology, n: int = 25) -> DataFrame:
 
 
 def ontology_statistics(onto: Ontology, mapping: DataFrame) -> DataFrame:
-    """(metric, value): counts as text, lists as JSON text. The graph is passed over once for its counts, exact distinct ones included."""
+    """(metric, value): counts as text, lists as JSON text.
+
+    One pass over the graph for its plain counts; each distinct count is one of its own columns alone, combined
+    before its exchange, where one aggregate of all three would carry every triple three times more. What
+    is asked of statements comes from one small table of their keys and kinds.
+    """
     onto.settle()
     triples = onto.source.scan()
     p, o = F.col("p"), F.col("o")
-    node = lambda kind, term: F.struct(kind, term)
     when = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
     typed = lambda name: when((p == RDF_TYPE) & (o == OWL + name))  # noqa: E731  triples are a set: each counts one subject
     counts = triples.agg(
         F.count("*").alias("total_triples"),
-        F.count_distinct(node("s_kind", "s")).alias("unique_subjects"),
-        F.count_distinct("p").alias("unique_predicates"),
-        F.count_distinct(F.struct("o_kind", "o", F.coalesce("o_datatype", F.lit("")), F.coalesce("o_lang", F.lit("")))).alias("unique_objects"),
         typed("Class").alias("owl_classes"),
         typed("NamedIndividual").alias("named_individuals"),
         typed("ObjectProperty").alias("object_properties"),
@@ -60,9 +62,14 @@ def ontology_statistics(onto: Ontology, mapping: DataFrame) -> DataFrame:
         when((p == RDF_TYPE) & ~o.isin(META_TYPES)).alias("instance_of_statements"),
     )
     blank = triples.where("s_kind = 'bnode'").select("s").union(triples.where("o_kind = 'bnode'").select("o")).distinct().agg(F.count("*").alias("blank_nodes"))
-    kinds = onto.statements.agg(*(when(F.col("value_kind") == k).alias(f"{n}_valued_statements") for k, n in (("literal", "literal"), ("resource", "resource"), ("blank_node", "blank_node"))))
-    usage = onto.statements.select("map_key").distinct().join(mapping.select(F.col("source_predicate").alias("map_key")), "map_key", "left_anti")
-    unmapped = usage.agg(F.count("*").alias("unmapped_predicate_count"), F.to_json(F.sort_array(F.collect_list("map_key"))).alias("unmapped_predicates"))
+    distinct = lambda name, *columns: triples.select(*columns).distinct().agg(F.count("*").alias(name))
+    subjects, predicates = distinct("unique_subjects", "s_kind", "s"), distinct("unique_predicates", "p")
+    objects = distinct("unique_objects", "o_kind", "o", F.coalesce("o_datatype", F.lit("")).alias("d"), F.coalesce("o_lang", F.lit("")).alias("l"))
+    usage = checkpointed(onto.statements.groupBy("map_key", "value_kind").agg(F.count("*").alias("n")))  # a row for each predicate and kind
+    of_kind = lambda k: F.coalesce(F.sum(F.when(F.col("value_kind") == k, F.col("n"))), F.lit(0))
+    kinds = usage.agg(*(of_kind(k).alias(f"{k}_valued_statements") for k in ("literal", "resource", "blank_node")))
+    unused = usage.select("map_key").distinct().join(mapping.select(F.col("source_predicate").alias("map_key")), "map_key", "left_anti")
+    unmapped = unused.agg(F.count("*").alias("unmapped_predicate_count"), F.to_json(F.sort_array(F.collect_list("map_key"))).alias("unmapped_predicates"))
     bare = unlabeled(onto).agg(F.count("*").alias("entities_without_labels"))
     sample = unlabeled_sample(onto).agg(F.to_json(F.sort_array(F.collect_list("canonical_id"))).alias("entities_without_labels_sample"))
     total = onto.entities.agg(F.count("*").alias("total_entities_parsed"))
@@ -73,7 +80,7 @@ def ontology_statistics(onto: Ontology, mapping: DataFrame) -> DataFrame:
         return df.select(F.explode(F.array(*(F.struct(F.lit(c).alias("metric"), F.col(c).cast("string").alias("value")) for c in df.columns))).alias("m")).select("m.*")
 
     out = long(counts)
-    for part in (blank, kinds, unmapped, bare, sample, total, langs, doubles):
+    for part in (subjects, predicates, objects, blank, kinds, unmapped, bare, sample, total, langs, doubles):
         out = out.unionAll(long(part))
     return out
 

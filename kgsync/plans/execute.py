@@ -62,8 +62,7 @@ class Execution:
 
     def metadata_rows(self) -> DataFrame:
         """Metadata of items that were there before: those made now have theirs already. (source_identifier, action, field, lang, new_value)"""
-        p = self.planner
-        rows = p.label_rows().unionAll(p.description_rows()).unionAll(p.alias_rows())
+        rows = self.planner.metadata_rows("label", "description", "alias")
         rows = rows.join(self.created.select(F.col("canonical_id").alias("source_identifier")), "source_identifier", "left_anti")
         return rows.select("source_identifier", "action", F.substring_index("property_name", "@", 1).alias("field"), F.expr("substr(property_name, locate('@', property_name) + 1)").alias("lang"), "new_value")
 
@@ -114,13 +113,19 @@ class Execution:
             status("error").alias("statement_errors"),
             status("unresolved_target").alias("unresolved_targets"),
         )
-        conflicts = self.planner.resolution.where("source = 'conflict'").agg(F.count("*").alias("conflicts"))
+        conflict = F.count_if(F.col("source") == "conflict")
+        resolved = self.planner.resolution.agg(conflict.alias("conflicts"), F.count_distinct(F.when(F.col("qid").isNotNull(), F.col("canonical_id"))).alias("items_reused"))
         made = self.created.agg(F.count("*").alias("items_created"))
-        reused = self.planner.resolution.where("qid is not null").agg(F.count_distinct("canonical_id").alias("items_reused"))
-        size = lambda c: F.coalesce(F.sum(F.size(c)), F.lit(0)).cast("long")
-        meta = self.metadata_updates().agg(F.count_if(F.col("qid").isNull()).alias("metadata_errors"), size(F.when(F.col("qid").isNotNull(), F.map_keys("labels")).otherwise(F.array())).alias("labels_updated"), size(F.when(F.col("qid").isNotNull(), F.map_keys("descriptions")).otherwise(F.array())).alias("descriptions_updated"), size(F.when(F.col("qid").isNotNull(), F.col("aliases")).otherwise(F.array())).alias("aliases_added"))
+        size = lambda c: F.coalesce(F.sum(F.when(c.isNotNull(), F.size(c))), F.lit(0)).cast("long")
+        has = lambda v: F.when(F.col("qid").isNotNull(), v)
+        meta = self.metadata_updates().agg(
+            F.count_if(F.col("qid").isNull()).alias("metadata_errors"),
+            size(has(F.map_keys("labels"))).alias("labels_updated"),
+            size(has(F.map_keys("descriptions"))).alias("descriptions_updated"),
+            size(has(F.col("aliases"))).alias("aliases_added"),
+        )
         out = planned.withColumn("k", F.lit(1))
-        for part in (conflicts, made, reused, meta):
+        for part in (resolved, made, meta):
             out = out.join(part.withColumn("k", F.lit(1)), "k")
         errors = F.col("metadata_errors") + F.col("statement_errors")
         return out.select(

@@ -128,42 +128,53 @@ class Planner:
         joined = values.join(r, ["s", "is_thing"])
         return joined.withColumn("item", F.coalesce("qid", F.concat(F.lit(" "), F.col("s")))).withColumn("shown_qid", F.when(F.col("is_new"), NEW_ITEM).otherwise(F.col("qid")))
 
-    def _metadata(self, values: DataFrame, kind: str, missing: str, differing: str) -> DataFrame:
-        wanted, c = self._with_item(values), F.col
+    def metadata_values(self) -> DataFrame:
+        """(kind, s, is_thing, lang, text, key): what the graph says; an alias is one of many and its own key, others have none."""
+        kinds = {"label": self.onto.all_labels, "description": self.onto.all_descriptions.withColumn("is_thing", F.lit(False)), "alias": self.onto.all_aliases.withColumn("is_thing", F.lit(False))}
+        key = lambda kind: F.col("text") if kind == "alias" else F.lit("")
+        return _all([df.select(F.lit(kind).alias("kind"), "s", "is_thing", "lang", "text", key(kind).alias("key")) for kind, df in kinds.items()])
+
+    def metadata_rows(self, *kinds: str) -> DataFrame:
+        """Labels, descriptions and aliases meet their entities, and what the items have of them, together."""
+        c, alias = F.col, F.col("kind") == "alias"
+        wanted = self._with_item(self.metadata_values().where(c("kind").isin(*kinds)))
         known = self._read(self.existing.metadata)
         if known is None:
             wanted = wanted.withColumn("old", F.lit(None).cast("string"))
         else:
-            known = known.where(c("kind") == kind).groupBy(c("qid").alias("item"), "lang").agg(F.min("text").alias("old"))
-            wanted = wanted.join(known, ["item", "lang"], "left")
-        changed = wanted.where(c("old").isNull() | (squeeze(c("old")) != squeeze(c("text"))))
+            known = known.withColumn("key", F.when(alias, squeeze(c("text"))).otherwise("")).groupBy("kind", c("qid").alias("item"), "lang", "key").agg(F.min("text").alias("old"))
+            wanted = wanted.join(known, ["item", "kind", "lang", "key"], "left")
+        none = c("old").isNull()
+        changed = wanted.where(none | (~alias & (squeeze(c("old")) != squeeze(c("text")))))
+        action = F.when(alias, "ADD_ALIAS").when(c("kind") == "label", "UPDATE_LABEL").when(none, "ADD_DESCRIPTION").otherwise("UPDATE_DESCRIPTION")
+        reason = F.when(alias, "alias not present on existing item").when(none, F.concat("kind", F.lit(" missing for this language"))).otherwise(F.concat("kind", F.lit(" differs from OWL source")))
         return rows(
-            changed, action=F.when(c("old").isNull(), missing).otherwise(differing), entity_type=c("entity_type"), source_identifier=c("canonical_id"), qid=c("shown_qid"), label=c("label"),
-            property_name=F.concat(F.lit(kind + "@"), c("lang")), old_value=c("old"), new_value=c("text"), severity="INFO",
-            reason=F.when(c("old").isNull(), f"{kind} missing for this language").otherwise(f"{kind} differs from OWL source"),
-        )
+            changed,
+            action=action,
+            entity_type=c("entity_type"),
+            source_identifier=c("canonical_id"),
+            qid=c("shown_qid"),
+            label=c("label"),
+            property_name=F.concat("kind", F.lit("@"), "lang"),
+            old_value=F.when(~alias, c("old")),
+            new_value=c("text"),
+            severity="INFO",
+            reason=reason,
+        )
 
     def label_rows(self) -> DataFrame:
-        return self._metadata(self.onto.all_labels, "label", "UPDATE_LABEL", "UPDATE_LABEL")
+        return self.metadata_rows("label")
 
     def description_rows(self) -> DataFrame:
-        return self._metadata(self.onto.all_descriptions.withColumn("is_thing", F.lit(False)), "description", "ADD_DESCRIPTION", "UPDATE_DESCRIPTION")
+        return self.metadata_rows("description")
 
     def alias_rows(self) -> DataFrame:
-        c = F.col
-        wanted = self._with_item(self.onto.all_aliases.withColumn("is_thing", F.lit(False)))
-        known = self._read(self.existing.metadata)
-        if known is not None:
-            known = known.where("kind = 'alias'").select(c("qid").alias("item"), "lang", squeeze(c("text")).alias("text")).distinct()
-            wanted = wanted.join(known, ["item", "lang", "text"], "left_anti")
-        return rows(wanted, action="ADD_ALIAS", entity_type=c("entity_type"), source_identifier=c("canonical_id"), qid=c("shown_qid"), label=c("label"), property_name=F.concat(F.lit("alias@"), c("lang")), new_value=c("text"), reason="alias not present on existing item", severity="INFO")
+        return self.metadata_rows("alias")
 
     def pass_a(self) -> DataFrame:
-        parts = [self.resolved_rows()]
-        parts += [self.label_rows()] * self.config.update_labels
-        parts += [self.description_rows()] * self.config.update_descriptions
-        parts += [self.alias_rows()] * self.config.update_aliases
-        return _all(parts)
+        wanted = {"label": self.config.update_labels, "description": self.config.update_descriptions, "alias": self.config.update_aliases}
+        kinds = [kind for kind, asked in wanted.items() if asked]
+        return _all([self.resolved_rows(), *([self.metadata_rows(*kinds)] if kinds else [])])
 
     # ---- pass B
 
