@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import contextlib
 import contextvars
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -12,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import ship
+from ..written import checkpointed, remove, shared_folder
 
 #: ASCII white space: U+0020 and U+0009 to U+000D. Words are the runs of all other characters.
 SPACES = " \t\n\x0b\x0c\r"
@@ -31,20 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named in spark.checkpoint.dir; a temporary one only on a local master where none is set (tests)."""
-    sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    current = sc.getCheckpointDir()
-    if current is None:
-        if not named and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="kgsync-checkpoint-"))
-        current = sc.getCheckpointDir()
-    return named or current
+    return shared_folder(spark)
 
 
 def remove_folder(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    remove(spark, folder)
 
 
 @contextlib.contextmanager
@@ -68,8 +59,7 @@ def write_down(df: DataFrame) -> DataFrame:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """A reliable checkpoint: survives the loss of any executor."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return checkpointed(df)
 
 
 def lanes(spark: SparkSession) -> int:

@@ -28,6 +28,8 @@ from .common import arrow
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 WIDTH = 64
 IDAT_BYTES = 1 << 16
+#: Samples that are filtered together.
+BAND_BYTES = 1 << 20
 LEVEL = 3
 SIDE, LOW = 32, 8
 SCHEMA = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
@@ -41,18 +43,28 @@ def _chunk(kind: bytes, data: bytes) -> bytes:
     return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
 
 
-def encode_png(image: np.ndarray) -> bytes:
-    """Each line takes the filter (none, sub or up) whose residuals, read as signed, are smallest in sum."""
-    h, w = image.shape
-    sub, up = image.copy(), image.copy()
-    sub[:, 1:] -= image[:, :-1]
-    up[1:] -= image[:-1]
-    tried = np.stack([image, sub, up])
+def _filtered(image: np.ndarray, a: int, b: int) -> np.ndarray:
+    """Lines a..b-1, each led by the filter (none, sub or up) whose residuals, read as signed, are smallest in sum."""
+    band = image[a:b]
+    sub, up = band.copy(), band.copy()
+    sub[:, 1:] -= band[:, :-1]
+    up[1:] -= band[:-1]
+    if a:
+        up[0] -= image[a - 1]
+    tried = np.stack([band, sub, up])
     best = np.abs(tried.view(np.int8).astype(np.int16)).sum(axis=2, dtype=np.int64).argmin(axis=0)
-    lines = np.empty((h, w + 1), np.uint8)
+    lines = np.empty((b - a, image.shape[1] + 1), np.uint8)
     lines[:, 0] = best
-    lines[:, 1:] = tried[best, np.arange(h)]
-    body = zlib.compress(lines.tobytes(), LEVEL)
+    lines[:, 1:] = tried[best, np.arange(b - a)]
+    return lines
+
+
+def encode_png(image: np.ndarray) -> bytes:
+    """Lines are filtered and compressed a band at a time, so that only the image and its compressed form are held whole."""
+    h, w = image.shape
+    z = zlib.compressobj(LEVEL)
+    step = max(1, BAND_BYTES // w)
+    body = b"".join([z.compress(_filtered(image, a, min(a + step, h)).tobytes()) for a in range(0, h, step)] + [z.flush()])
     parts = [_chunk(b"IDAT", body[i : i + IDAT_BYTES]) for i in range(0, len(body), IDAT_BYTES)]
     return SIGNATURE + _chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 0, 0, 0, 0)) + b"".join(parts) + _chunk(b"IEND", b"")
 

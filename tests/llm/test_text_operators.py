@@ -274,6 +274,13 @@ def test_png_round_trip_and_damage():
         media.decode_png(data + b"x")
 
 
+def test_bands_make_no_difference(monkeypatch):
+    image = np.frombuffer(text(6, 4000).encode().ljust(32_000)[:32_000], np.uint8).reshape(-1, 64)
+    whole = media.encode_png(image)
+    monkeypatch.setattr(media, "BAND_BYTES", 640)
+    assert media.encode_png(image) == whole and (media.decode_png(whole) == image).all()
+
+
 def test_all_row_filters():
     rng = np.random.default_rng(5)
     image = rng.integers(0, 256, (60, 9), dtype=np.uint8)
