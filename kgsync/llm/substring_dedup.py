@@ -51,7 +51,10 @@ from .common import MOST_LANES, arrow, deal, text_bytes, write_down
 DIVISOR = 4
 #: Of so many words in a row, one ends a chunk.
 REACH = 6
-MIN_WORDS = 22
+#: What is sought are passages of over 50 words. Two copies of one have the same cuts from the first REACH words on
+#: whose hashes lie within it (some three words in) and up to its last REACH ones: a window of so many words, and
+#: the chunk by which it may be longer, fits in between.
+MIN_WORDS = 32
 #: Bytes of a run without white space before which it is a word like others.
 RUN = 32
 #: In a longer run: how rarely a character ends a chunk, of how many one does, and the bytes that count as a word.

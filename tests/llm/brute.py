@@ -55,8 +55,8 @@ def pieces(raw):
     edges = [0, *chunk_ends(raw)]
     found = set()
     for i, a in enumerate(edges):
-        after = next((j for j in range(i, len(edges)) if size[edges[j]] - size[a] >= 132), None)
-        before = next((j for j in range(i, -1, -1) if size[a] - size[edges[j]] >= 132), None)
+        after = next((j for j in range(i, len(edges)) if size[edges[j]] - size[a] >= 192), None)
+        before = next((j for j in range(i, -1, -1) if size[a] - size[edges[j]] >= 192), None)
         if after is not None:
             found.add((i, after))
         if before is not None:

@@ -211,9 +211,9 @@ def test_chunks_of_text_without_spaces_fall_into_step():
 
 @pytest.mark.parametrize("kind", ["han", "code", "one", "period", "lines"])
 def test_passages_without_spaces_go(spark, kind):
-    """Three texts with one passage each of some 60 words' length: the first stays, most of it goes from the others, and nothing else."""
+    """Three texts with one passage each of some 80 words' length: the first stays, most of it goes from the others, and nothing else."""
     rng = random.Random(kind)
-    passages = [KINDS[kind](rng, 60) for _ in range(10)]
+    passages = [KINDS[kind](rng, 80) for _ in range(10)]
     around = lambda: KINDS["han" if kind != "code" else "code"](rng, rng.randint(30, 60))
     rows = [(3 * i + j, around() + p + around(), "zh", "a") for i, p in enumerate(passages) for j in range(3)]
     got = {r.doc_id: r for r in substring_dedup.report(spark.createDataFrame(rows, SCHEMA)).collect()}

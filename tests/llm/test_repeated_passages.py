@@ -50,6 +50,20 @@ def test_what_goes_occurred_before_in_one_place(spark):
         parts = [words(rng, 18) for _ in range(3)]
         texts += [f"{words(rng, 40)} {p} {words(rng, 40)}" for p in parts]
         texts.append(f"{words(rng, 40)} {' '.join(parts)} {words(rng, 40)}")
-    assert not any(map(any, repeated(texts, 22)))
+    assert not any(map(any, repeated(texts, substring_dedup.MIN_WORDS)))
     df = spark.createDataFrame([(i, t, "en", "a") for i, t in enumerate(texts)], SCHEMA)
     assert [r.text for r in substring_dedup.documents(df).select("doc_id", "text").orderBy("doc_id").collect()] == texts
+
+
+def test_every_passage_of_51_words_is_caught_and_shorter_repeats_stay(spark):
+    """Against a plain search of windows of words: passages of 51 words, and of one word less than a window needs."""
+    rng = random.Random(13)
+    long, short = ([words(rng, n) for _ in range(150)] for n in (51, substring_dedup.MIN_WORDS - 1))
+    texts = [f"{words(rng, rng.randint(5, 90))} {p} {words(rng, rng.randint(5, 90))}" for p in long + short for _ in range(2)]
+    df = spark.createDataFrame([(i, t, "en", "a") for i, t in enumerate(texts)], SCHEMA)
+    left = {r.doc_id: r.text for r in substring_dedup.documents(df).select("doc_id", "text").collect()}
+    flags = repeated(texts, substring_dedup.MIN_WORDS)
+    for i, t in enumerate(texts):
+        gone = len(t.split()) - len(left[i].split())
+        assert gone <= sum(flags[i])  # nothing but what occurred before as a whole
+        assert (gone >= substring_dedup.MIN_WORDS) == (i < 300 and i % 2 == 1)
