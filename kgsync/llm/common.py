@@ -20,7 +20,7 @@ LANE_BYTES = 32 << 20
 #: Lanes into which one exchange deals; with more of them the rows of a block would become too small.
 MOST_LANES = 4096
 #: Text bytes for each partition of such an exchange.
-PARTITION_BYTES = 256 << 20
+PARTITION_BYTES = 128 << 20
 
 _work: contextvars.ContextVar[str | None] = contextvars.ContextVar("kgsync_work", default=None)
 

@@ -302,11 +302,18 @@ class Maker:
         if kind == "ad":
             return self.named(r.choice(("div", "div", "aside", "section", "p")), r.choice((self.words(2, 18), self.tag("span", self.words(2, 12)), f'<a href="/a">{self.words(2, 10)}</a>')), "ad")
         if kind == "form":
-            return self.tag("form", r.choice(("", self.tag("label", self.words(1, 3)), self.tag("p", self.words(2, 14)))) + "<input name=q>" + r.choice(("<button>Go</button>", "<select><option>A</option><option>B</option></select>", "<textarea>x</textarea>", "")), "form")
+            inner = r.choice(("", self.tag("label", self.words(1, 3)), self.tag("p", self.words(2, 14)))) + "<input name=q>"
+            inner += r.choice(("<button>Go</button>", "<select><option>A</option><option>B</option></select>", "<textarea>x</textarea>", ""))
+            return self.tag("form", inner, "form")
         if kind == "share":
             return self.named("div", self.links(r.randint(2, 5)), "share")
-        item = lambda: self.named(r.choice(("li", "div", "article")), r.choice(("", self.tag("span", self.words(1, 2)), self.tag("h4", self.title(1, 2)))) + self.tag("p", self.words(*r.choice(((1, 8), (5, 40), (20, 80))))), "comments")
-        body = r.choice(("", self.tag("h2", self.title(1, 3)), self.tag("h3", self.title(1, 3)))) + "".join(item() for _ in range(r.randint(1, 6))) + (self.boiler("form") if r.random() < 0.3 else "")
+
+        def item() -> str:
+            outer, head = r.choice(("li", "div", "article")), r.choice(("", self.tag("span", self.words(1, 2)), self.tag("h4", self.title(1, 2))))
+            return self.named(outer, head + self.tag("p", self.words(*r.choice(((1, 8), (5, 40), (20, 80))))), "comments")
+
+        body = r.choice(("", self.tag("h2", self.title(1, 3)), self.tag("h3", self.title(1, 3))))
+        body += "".join(item() for _ in range(r.randint(1, 6))) + (self.boiler("form") if r.random() < 0.3 else "")
         return self.named(r.choice(("section", "div", "ol", "ul", "aside")), body, "comments")
 
     def named(self, tag: str, body: str, kind: str) -> str:
