@@ -64,15 +64,33 @@ def mapping_findings(onto: Ontology, mapping: DataFrame) -> DataFrame:
     typed = both & kind.isNotNull()
     rows = from_rows(
         used_mappings(onto, mapping),
-        F.when(F.col("used") & ~F.col("configured"), finding("unmapped_predicate", "WARNING", message("Predicate '{map_key}' is used {n} time(s) in the OWL file but has no PROPERTY_MAP entry."), key, count=F.col("n"), value_kinds=kinds)),
+        F.when(
+            F.col("used") & ~F.col("configured"),
+            finding("unmapped_predicate", "WARNING", message("Predicate '{map_key}' is used {n} time(s) in the OWL file but has no PROPERTY_MAP entry."), key, count=F.col("n"), value_kinds=kinds),
+        ),
         F.when(F.col("configured") & ~F.col("used"), finding("unused_property_mapping", "INFO", message("PROPERTY_MAP entry '{map_key}' is configured but not used by any statement in the OWL file."), key)),
         F.when(both & F.col("pid").isNull(), finding("missing_pid", "ERROR", message("Predicate '{map_key}' is used in the OWL file but PROPERTY_MAP['{map_key}']['pid'] is None."), key)),
         F.when(both & kind.isNull(), finding("missing_datatype", "ERROR", message("PROPERTY_MAP['{map_key}'] has no wikibase_datatype configured."), key)),
-        F.when(typed & F.array_contains(kinds, "resource") & ~kind.isin(RESOURCE_DATATYPES), finding("incompatible_datatype", "ERROR", message("Predicate '{map_key}' has resource-valued statements in the OWL file, but is mapped to wikibase_datatype='{wikibase_datatype}', which cannot represent a resource reference."), key)),
-        F.when(typed & (kinds == F.array(F.lit("literal"))) & (kind == "wikibase-item"), finding("incompatible_datatype", "ERROR", message("Predicate '{map_key}' only has literal-valued statements in the OWL file, but is mapped to wikibase_datatype='wikibase-item'."), key)),
-        F.when(typed & F.array_contains(kinds, "blank_node"), finding("blank_node_statement", "WARNING", message("Predicate '{map_key}' has blank-node-valued statements, which cannot become Wikibase items."), key)),
+        F.when(
+            typed & F.array_contains(kinds, "resource") & ~kind.isin(RESOURCE_DATATYPES),
+            finding(
+                "incompatible_datatype",
+                "ERROR",
+                message("Predicate '{map_key}' has resource-valued statements in the OWL file, but is mapped to wikibase_datatype='{wikibase_datatype}', which cannot represent a resource reference."),
+                key,
+            ),
+        ),
+        F.when(
+            typed & (kinds == F.array(F.lit("literal"))) & (kind == "wikibase-item"),
+            finding("incompatible_datatype", "ERROR", message("Predicate '{map_key}' only has literal-valued statements in the OWL file, but is mapped to wikibase_datatype='wikibase-item'."), key),
+        ),
+        F.when(
+            typed & F.array_contains(kinds, "blank_node"),
+            finding("blank_node_statement", "WARNING", message("Predicate '{map_key}' has blank-node-valued statements, which cannot become Wikibase items."), key),
+        ),
     )
-    doubles = from_rows(duplicate_pids(mapping), finding("duplicate_pid_assignment", "BLOCKING", message("PID {pid} is assigned to multiple PROPERTY_MAP entries: {list}.", list=F.array_join("keys", ", ")), None, pid=F.col("pid"), keys=F.col("keys")))
+    text = message("PID {pid} is assigned to multiple PROPERTY_MAP entries: {list}.", list=F.array_join("keys", ", "))
+    doubles = from_rows(duplicate_pids(mapping), finding("duplicate_pid_assignment", "BLOCKING", text, None, pid=F.col("pid"), keys=F.col("keys")))
     return rows.unionByName(doubles)
 
 
@@ -148,7 +166,17 @@ def quality_findings(onto: Ontology, mapping: DataFrame) -> DataFrame:
         F.when((kind == "resource") & ~value.rlike(WELL_FORMED), finding("malformed_uri", "WARNING", text("Resource value '{value}' for predicate '{map_key}' is not a well-formed URI."), me)),
         F.when(
             literal & (datatype == "url") & ~strip(value).rlike(WELL_FORMED),
-            finding("invalid_url_value", "WARNING", text("Value '{value}' for predicate '{map_key}' is not a well-formed URL and will be reported as an ERROR in the synchronization plan rather than written to Wikibase (commonly a placeholder like 'None' left by the authoring tool when no value was set)."), me, predicate=key, value=value),
+            finding(
+                "invalid_url_value",
+                "WARNING",
+                text(
+                    "Value '{value}' for predicate '{map_key}' is not a well-formed URL and will be reported as an ERROR in the synchronization plan rather than written to "
+                    "Wikibase (commonly a placeholder like 'None' left by the authoring tool when no value was set)."
+                ),
+                me,
+                predicate=key,
+                value=value,
+            ),
         ),
         F.when(real & ~c("has_entry"), finding("predicate_without_mapping", "WARNING", text("Entity '{me}' uses predicate '{map_key}', which has no PROPERTY_MAP entry."), me, predicate=key)),
         F.when(literal & (datatype == "time") & ~strip(value).rlike(_TIME), finding("invalid_time_value", "ERROR", text("Value '{value}' for predicate '{map_key}' cannot be parsed as a time."), me)),

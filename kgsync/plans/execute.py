@@ -68,14 +68,13 @@ class Execution:
 
     def metadata_updates(self) -> DataFrame:
         """One row for each item: its labels and descriptions by language (the greatest, should there be two), its aliases."""
-        rows = self.metadata_rows()
-        one = rows.where("field <> 'alias'").groupBy("source_identifier", "field", "lang").agg(F.max("new_value").alias("text"))
-        pick = lambda f: F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("field") == f, F.struct("lang", "text")))))
-        single = one.groupBy("source_identifier").agg(pick("label").alias("labels"), pick("description").alias("descriptions"))
-        many = rows.where("field = 'alias'").groupBy("source_identifier").agg(F.array_sort(F.collect_list(F.struct("lang", F.col("new_value").alias("text")))).alias("aliases"))
-        out = single.join(many, "source_identifier", "full").join(self.qids.withColumnRenamed("canonical_id", "source_identifier"), "source_identifier", "left")
-        empty = F.create_map().cast("map<string,string>")
-        return out.select("source_identifier", "qid", F.coalesce("labels", empty).alias("labels"), F.coalesce("descriptions", empty).alias("descriptions"), F.coalesce("aliases", F.array().cast("array<struct<lang:string,text:string>>")).alias("aliases"))
+        c = F.col
+        one = self.metadata_rows().groupBy("source_identifier", "field", "lang").agg(F.max("new_value").alias("text"), F.collect_list("new_value").alias("texts"))
+        pick = lambda f: F.map_from_entries(F.array_sort(F.collect_list(F.when(c("field") == f, F.struct("lang", "text")))))
+        named = F.transform("texts", lambda t: F.struct("lang", t.alias("text")))
+        aliases = F.array_sort(F.flatten(F.collect_list(F.when(c("field") == "alias", named))))
+        out = one.groupBy("source_identifier").agg(pick("label").alias("labels"), pick("description").alias("descriptions"), aliases.alias("aliases"))
+        return out.join(self.qids.withColumnRenamed("canonical_id", "source_identifier"), "source_identifier", "left").select("source_identifier", "qid", "labels", "descriptions", "aliases")
 
     # ---- statements
 
@@ -132,5 +131,3 @@ class Execution:
             F.lit(run_id).alias("run_id"), F.when(errors == 0, "completed").otherwise("completed_with_errors").alias("status"), "items_created", "items_reused", "labels_updated", "descriptions_updated", "aliases_added",
             "statements_added", "statements_skipped_unchanged", (F.col("unresolved_objects") + F.col("conflicts")).alias("unresolved_entities"), "unresolved_properties", "unresolved_targets", "conflicts", errors.alias("errors"),
         )
-
-
