@@ -47,6 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
 from .common import MOST_LANES, arrow, deal, text_bytes, write_down
+from .packing import groups
 
 DIVISOR = 4
 #: Of so many words in a row, one ends a chunk.
@@ -60,7 +61,7 @@ RUN = 32
 #: In a longer run: how rarely a character ends a chunk, of how many one does, and the bytes that count as a word.
 RUN_DIVISOR, RUN_REACH, WORD_BYTES = 16, 32, 6
 SEED = 7
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _GEAR = np.random.default_rng(SEED).integers(0, 1 << 16, 256, dtype=np.uint16)
@@ -92,17 +93,20 @@ def _running(op: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
     return op(x[:n], x[width - have : width - have + n])
 
 
-def _in_runs(b: np.ndarray, space: np.ndarray) -> np.ndarray:
-    """For each byte, how many bytes of its run without white space are before it, less RUN, plus one; 0 if none."""
-    i = np.arange(len(b))
-    last = np.maximum.accumulate(np.where(space, i, -1))
-    return np.maximum(i - last - RUN, 0)
+def _runs(space: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the bytes are (from, up to) that have RUN bytes of their run without white space before them."""
+    edges = np.r_[-1, np.flatnonzero(space), len(space)]
+    long = np.diff(edges) > RUN + 1
+    return edges[:-1][long] + 1 + RUN, edges[1:][long]
 
 
-def _run_cuts(b: np.ndarray, h: np.ndarray, beyond: np.ndarray) -> np.ndarray:
+def _run_cuts(b: np.ndarray, h: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
     """Bytes in runs after which a chunk ends."""
-    whole = np.r_[(b[1:] & 0xC0) != 0x80, True]  # the last byte of a character
-    at = np.flatnonzero((beyond > 0) & whole)
+    flips = np.zeros(len(b) + 1, np.int8)
+    flips[start], flips[stop] = 1, -1
+    inside = np.cumsum(flips[:-1], dtype=np.int8).view(bool)
+    inside[:-1] &= (b[1:] & 0xC0) != 0x80  # the last byte of a character
+    at = np.flatnonzero(inside)
     fits = (h[at] >> np.uint16(8)) % RUN_DIVISOR == 0
     chosen = np.flatnonzero(_least(h[at], fits, RUN_REACH))
     if len(chosen):
@@ -121,26 +125,24 @@ def cuts(raw: bytes) -> np.ndarray:
     h, space = _hashes(b), _SPACE[b]
     at = np.flatnonzero(space & ~np.r_[True, space[:-1]])  # the bytes after words
     ends = [at[_least(h[at], (h[at] >> np.uint16(8)) % DIVISOR == 0, REACH)] + 1, [len(raw)]]
-    if _has_run(space):
-        ends.append(_run_cuts(b, h, _in_runs(b, space)) + 1)
+    start, stop = _runs(space)
+    if len(start):
+        ends.append(_run_cuts(b, h, start, stop) + 1)
     return np.unique(np.concatenate(ends)).astype(np.int64)
 
 
-def _has_run(space: np.ndarray) -> bool:
-    at = np.flatnonzero(space)
-    return bool(np.diff(at, prepend=-1, append=len(space)).max() > RUN + 1)
-
-
 def windows(raw: bytes, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The windows' first chunks, and the chunks after their last ones."""
     if not raw:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    b = np.frombuffer(raw, np.uint8)
-    space = _SPACE[b]
-    size = (~space & np.r_[True, space[:-1]]).astype(np.int64) * WORD_BYTES
-    if _has_run(space):
-        size += _in_runs(b, space) > 0
-    before = np.r_[0, np.cumsum(size)[ends - 1]]  # what begins before each chunk, and in all
+    space = _SPACE[np.frombuffer(raw, np.uint8)]
+    begins = np.flatnonzero(~space & np.r_[True, space[:-1]])
+    size = np.searchsorted(begins, ends) * WORD_BYTES
+    start, stop = _runs(space)
+    if len(start):
+        n = np.searchsorted(start, ends)  # runs that begin before each end, and what of the last one lies behind it
+        size += np.r_[0, np.cumsum(stop - start)][n] - np.where(n > 0, np.maximum(stop[n - 1] - ends, 0), 0)
+    before = np.r_[0, size]  # what begins before each chunk, and in all
     k = np.arange(len(before))
     after = np.searchsorted(before, before + MIN_WORDS * WORD_BYTES)
     first = np.searchsorted(before, before - MIN_WORDS * WORD_BYTES, side="right") - 1
@@ -356,7 +358,7 @@ def cut(text: str, places) -> tuple[str, list[tuple[int, int]]]:
 
 
 def _cut_rows(batches):
-    for batch in batches:
+    for batch in groups(batches):
         texts, starts, lengths = [], [], []
         for t, places in zip(batch.column("text"), batch.column("places"), strict=True):
             if places.is_valid and t.is_valid:
