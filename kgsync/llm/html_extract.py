@@ -158,13 +158,19 @@ class Boosted:
             p = 1 / (1 + np.exp(-score))
             g, h = y - p, p * (1 - p)
             at, some = np.zeros(n, np.int64), rng.choice(n, -(-n // DRAWN), replace=False)
-            some_flat, some_g, some_h = flat[some], np.repeat(g[some], f), np.repeat(h[some], f)
+            held = np.stack([g[some], h[some]])
+            sums = self._sums(flat[some], held, np.zeros(len(some), np.int64), 1, f)
             for level in range(DEPTH):
                 width = 1 << level
-                place = (at[some, None] * (f * BINS) + some_flat).ravel()
-                shape = (width, f, BINS)
-                gs = np.bincount(place, some_g, width * f * BINS).reshape(shape).cumsum(axis=2)
-                hs = np.bincount(place, some_h, width * f * BINS).reshape(shape).cumsum(axis=2)
+                if level:  # of two siblings the smaller one is summed up, the other is what is left of their parent
+                    side, parent = at[some] & 1, at[some] >> 1
+                    right = np.bincount(parent, side, width // 2) * 2 < np.bincount(parent, minlength=width // 2)
+                    less = np.flatnonzero(side == right[parent])
+                    small = self._sums(flat[some[less]], held[:, less], parent[less], width // 2, f)
+                    both = np.stack([small, sums - small], axis=2)  # the smaller one, the other
+                    both[:, right] = both[:, right][:, :, ::-1]
+                    sums = both.reshape(2, width, f, BINS)
+                gs, hs = sums.cumsum(axis=3)
                 g_all, h_all = gs[:, :, -1:], hs[:, :, -1:]
                 gain = gs**2 / (hs + 1) + (g_all - gs) ** 2 / (h_all - hs + 1) - g_all**2 / (h_all + 1)
                 gain[(hs < 1) | (h_all - hs < 1)] = 0
@@ -183,6 +189,12 @@ class Boosted:
             score += self.leaf[t][at]
         return self
 
+    @staticmethod
+    def _sums(flat: np.ndarray, held: np.ndarray, slot: np.ndarray, slots: int, f: int) -> np.ndarray:
+        """Sums of both rows of `held` by slot, feature and bin."""
+        place = (slot[:, None] * (f * BINS) + flat).ravel()
+        return np.stack([np.bincount(place, np.repeat(x, f), slots * f * BINS) for x in held]).reshape(2, slots, f, BINS)
+
     def predict(self, x: np.ndarray) -> np.ndarray:
         """Log odds."""
         out, rows = np.full(len(x), self.base), np.arange(len(x))
